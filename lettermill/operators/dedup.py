@@ -91,9 +91,3 @@ def new_lineage(edges: DataFrame, committed_lineage: DataFrame) -> DataFrame:
 
 def lineage_rows(edges: DataFrame, now: Column) -> DataFrame:
     return edges.withColumn("discovered_at", now).select(*[f.name for f in S.LINEAGE.fields])
-
-
-def first_per_key(rows: DataFrame, key: str, order: Column, *payload: str) -> DataFrame:
-    """First row of each key by `order`, reduced inside each task first."""
-    best = rows.groupBy(key).agg(F.min(F.struct(order.alias("o"), *payload)).alias("w"))
-    return best.select(key, *[F.col("w")[c].alias(c) for c in payload])

@@ -14,7 +14,8 @@ from pyspark.sql import types as T
 SEPARATOR = r"(?<![^\n])From [^\n]*(?:\n|\z)"
 FRAMING_BLANK = r"(?<![^\n])\n\z"
 
-_ALL = 2147483647
+# More messages than a row can hold; start + length must stay an int.
+_ALL = 1 << 30
 
 
 def split_messages(raw: Column | str) -> Column:

@@ -144,7 +144,8 @@ class Unpacked:
     spark: SparkSession
     root: str
     waves: int = 0
-    refused: DataFrame | None = None
+    refused: DataFrame | None = None  # source_id of big archives with a bad member
+    failed: DataFrame | None = None   # source_id of files that broke while being read
     schema: object = field(default=None, repr=False)
 
     def path(self, wave: int) -> str:
@@ -167,15 +168,18 @@ class Unpacked:
 
     def read(self, entry: str, waves=None) -> DataFrame | None:
         rows = self.raw_read(entry, range(self.waves) if waves is None else waves)
-        if rows is None or self.refused is None or entry not in (LEAF, SKIP, ZIP):
+        if rows is None or entry not in (LEAF, SKIP, ZIP):
+            return rows
+        if self.failed is not None:
+            rows = rows.join(self.failed, "source_id", "left_anti")
+        if self.refused is None:
             return rows
         if entry != SKIP:
             return rows.join(self.refused, "source_id", "left_anti")
         # A refused archive leaves its own reason and nothing from inside.
         inside = F.col("container_depth") > 0
-        return (
-            rows.filter(~inside)
-            .unionByName(rows.filter(inside).join(self.refused, "source_id", "left_anti"))
+        return rows.filter(~inside).unionByName(
+            rows.filter(inside).join(self.refused, "source_id", "left_anti")
         )
 
     def _or_empty(self, rows: DataFrame | None) -> DataFrame:
