@@ -51,14 +51,14 @@ def derived_ledger(files):
     )
 
 
-def hash_rows(rows):
+def content_hash():
     """Content hash of files whose content is a column."""
-    return rows.withColumn("content_sha256", identity.content_sha256("raw"))
+    return identity.content_sha256("raw")
 
 
 def verdicts(spark, sf_dir):
     files = bucket_files(spark, sf_dir)
-    return cdc.classify(files, derived_ledger(files), hash_rows)
+    return cdc.classify(files, derived_ledger(files), content_hash())
 
 
 @query(
@@ -117,14 +117,14 @@ def rerun_unchanged(spark, sf_dir):
     """A second run over the same files finds nothing to do."""
     files = bucket_files(spark, sf_dir)
     now = F.timestamp_seconds(F.lit(1_721_000_000))
-    first = cdc.classify(files, spark.createDataFrame([], S.SOURCE_FILES), hash_rows)
+    first = cdc.classify(files, spark.createDataFrame([], S.SOURCE_FILES), content_hash())
     started = cdc.started(first, 1, now)
     outcome = first.select(
         "source_id", F.col("content_sha256").alias("file_sha256"),
         F.lit(None).cast("string").alias("error"),
     )
     ledger = cdc.current_ledger(started.unionByName(cdc.finished(started, outcome, 1, now)))
-    return reports.decision_counts(cdc.classify(files, ledger, hash_rows))
+    return reports.decision_counts(cdc.classify(files, ledger, content_hash()))
 
 
 @query(

@@ -20,15 +20,11 @@ def two_runs(spark, sf_dir):
     return mail.filter(early), mail.filter(~early)
 
 
-def emails_of(mail, committed):
+def emails_of(mail, committed=None):
     now = F.timestamp_seconds(F.lit(1_721_000_000))
     return dedup.new_emails(dedup.email_winners(dedup.blob_winners(mail)), committed, now)
 
 
-def no_emails(spark):
-    return spark.createDataFrame([], S.EMAILS)
-
-
 WINNERS_CTE = f"""{LEAVES_CTE}, ranked AS (
   SELECT *, row_number() OVER (PARTITION BY email_id ORDER BY namespace, partition, path_key) AS rn,
     count(*) OVER (PARTITION BY email_id) AS copies FROM leaves),
@@ -81,7 +77,7 @@ def pool_blobs(spark, sf_dir):
 def dedup_across_runs(spark, sf_dir):
     """Which run staged each email: the second run stages only what is new."""
     first, second = two_runs(spark, sf_dir)
-    one = emails_of(first, no_emails(spark))
+    one = emails_of(first)
     two = emails_of(second, one)
     return one.select("email_id", F.lit(1).alias("run")).unionByName(
         two.select("email_id", F.lit(2).alias("run"))
@@ -148,7 +144,7 @@ def manifest_lines(spark, sf_dir):
 def run_stats(spark, sf_dir):
     """Counters and summary line of two runs, one row each."""
     first, second = two_runs(spark, sf_dir)
-    one = emails_of(first, no_emails(spark))
+    one = emails_of(first)
     two = emails_of(second, one)
     rows = None
     for number, mail, staged in ((1, first, one), (2, second, two)):

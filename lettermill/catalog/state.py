@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from lettermill.catalog import query
 from lettermill.catalog.changes import LEDGER_CTE, derived_ledger
-from lettermill.catalog.dedup import WINNERS_CTE, emails_of, no_emails
+from lettermill.catalog.dedup import WINNERS_CTE, emails_of
 from lettermill.catalog.derived import (
     FILES_CTE,
     LEAVES_CTE,
@@ -28,7 +28,7 @@ def lineage(spark, sf_dir):
 
 
 def emails(spark, sf_dir):
-    return emails_of(leaves(spark, sf_dir), no_emails(spark))
+    return emails_of(leaves(spark, sf_dir))
 
 
 def skipped(spark, sf_dir):

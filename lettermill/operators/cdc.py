@@ -67,32 +67,38 @@ def step_two(content_sha256: Column) -> Column:
 
 
 def classify(
-    scanned: DataFrame,
-    ledger: DataFrame,
-    hash_fn: Callable[[DataFrame], DataFrame],
-    hash_all: bool = True,
+    scanned: DataFrame, ledger: DataFrame, content: Column | Callable[[DataFrame], DataFrame]
 ) -> DataFrame:
     """Scanned files with `source_id`, `previous`, `decision`, `content_sha256`.
 
-    `hash_fn` adds `content_sha256` to the rows it gets and is the only part
-    that reads content; unchanged files never reach it. With `hash_all=False`
-    it gets only the rows whose decision needs the hash, so that a new file is
-    read once, when it is opened, and not a first time here.
+    `content` is the only part that reads content, and unchanged files never
+    reach it: either an expression for the hash, or a function that adds
+    `content_sha256` to the rows it gets. With a function `scanned` is read
+    twice, for the rows it gets and for the others; pass a stored table.
     """
     if "source_id" not in scanned.columns:
         scanned = with_source_id(scanned)
+    joined = decide_by_metadata(scanned, ledger)
+    reads = F.col("decision").isNull() | (F.col("decision") != S.UNCHANGED)
+    if isinstance(content, Column):
+        hashed = joined.withColumn("content_sha256", F.when(reads, content))
+        return decide_by_content(hashed)
+    settled = joined.filter(~reads).withColumn("content_sha256", F.lit(None).cast("string"))
+    hashed = decide_by_content(content(joined.filter(reads)))
+    return settled.unionByName(hashed.select(*settled.columns))
+
+
+def decide_by_metadata(scanned: DataFrame, ledger: DataFrame) -> DataFrame:
+    """First step: `previous`, and `decision` where no content is needed."""
     joined = lookup(scanned, ledger)
-    joined = joined.withColumn("decision", step_one(joined))
-    open_ = F.col("decision").isNull()
-    needs_hash = (open_ | (F.col("decision") != S.UNCHANGED)) if hash_all else open_
-    hashed = hash_fn(joined.filter(needs_hash))
-    hashed = hashed.withColumn(
+    return joined.withColumn("decision", step_one(joined))
+
+
+def decide_by_content(hashed: DataFrame) -> DataFrame:
+    """Second step, for rows the first one left open."""
+    return hashed.withColumn(
         "decision", F.coalesce("decision", step_two(F.col("content_sha256")))
     )
-    settled = joined.filter(~needs_hash).withColumn(
-        "content_sha256", F.lit(None).cast("string")
-    )
-    return settled.unionByName(hashed.select(*settled.columns))
 
 
 def source_id_collisions(scanned: DataFrame) -> DataFrame:

@@ -53,17 +53,19 @@ def email_winners(blobs: DataFrame) -> DataFrame:
     )
 
 
-def unseen(candidates: DataFrame, committed: DataFrame, *keys: str) -> DataFrame:
-    """Candidates whose key is not committed yet.
+def unseen(candidates: DataFrame, committed: DataFrame | None, *keys: str) -> DataFrame:
+    """Candidates whose key is not committed yet (None: nothing is).
 
     The committed side, which only grows, is first reduced to the candidates'
     keys: a small run filters the history where it lies instead of shuffling it.
     """
+    if committed is None:
+        return candidates
     seen = committed.select(*keys).join(candidates.select(*keys), list(keys), "left_semi")
     return candidates.join(seen, list(keys), "left_anti")
 
 
-def new_emails(winners: DataFrame, committed_emails: DataFrame, now: Column) -> DataFrame:
+def new_emails(winners: DataFrame, committed_emails: DataFrame | None, now: Column) -> DataFrame:
     """Rows to append to the emails table, with the winner's leaf key."""
     fresh = unseen(winners, committed_emails, "email_id")
     return fresh.select(
@@ -85,7 +87,7 @@ def lineage_edges(leaves: DataFrame) -> DataFrame:
     ).dropDuplicates(["email_id", "source_id", "internal_path"])
 
 
-def new_lineage(edges: DataFrame, committed_lineage: DataFrame) -> DataFrame:
+def new_lineage(edges: DataFrame, committed_lineage: DataFrame | None) -> DataFrame:
     return unseen(edges, committed_lineage, "email_id", "source_id", "internal_path")
 
 

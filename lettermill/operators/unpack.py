@@ -17,7 +17,7 @@ from lettermill import schemas as S
 from lettermill.functions import identity, paths
 from lettermill.operators.archive import explode_zip, spread
 from lettermill.operators.mbox import rewrite_bodies, split_messages
-from lettermill.storage import exists
+from lettermill.storage import BLOB_SETTINGS, exists, session_settings
 
 LEAF, SKIP, ZIP = "leaf", "skip", "zip"
 
@@ -155,7 +155,8 @@ class Unpacked:
         """Write one wave; its rows are split by entry so that later reads touch
         only the kind they need."""
         wave = self.waves
-        rows.write.mode("overwrite").partitionBy("entry").parquet(self.path(wave))
+        with session_settings(self.spark, BLOB_SETTINGS):
+            rows.write.mode("overwrite").partitionBy("entry").parquet(self.path(wave))
         self.schema = self.schema or rows.drop("entry").schema
         self.waves += 1
         return wave

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from contextlib import contextmanager
 from dataclasses import asdict, dataclass, field, fields
 from datetime import datetime, timezone
 
@@ -27,9 +26,11 @@ from lettermill.operators.unpack import (
 from lettermill.plans.state import LEDGER, StateStore
 from lettermill.sources.large_mbox import read_large_mboxes
 from lettermill.sources.opening import ReadLimits, hash_files, open_slices, open_sources
-from lettermill.storage import delete, new_work_dir
+from lettermill.storage import BLOB_SETTINGS, delete, new_work_dir, session_settings
 
 MODES = ("backfill", "incremental")
+# Manifest lines that a single task may write without trouble.
+SMALL_MANIFEST = 1_000_000
 _CARRY = ("file_sha256", "error", "abspath", "slice_lo", "slice_hi")
 
 
@@ -88,18 +89,6 @@ class SourcesFailed(RuntimeError):
     """Some sources failed; everything else of the run is committed."""
 
 
-@contextmanager
-def _session_settings(spark: SparkSession, settings: dict[str, str]):
-    before = {k: spark.conf.get(k, None) for k in settings}
-    for k, v in settings.items():
-        spark.conf.set(k, v)
-    try:
-        yield
-    finally:
-        for k, v in before.items():
-            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
-
-
 def ingest(
     spark: SparkSession, bucket: str, state: str, options: RunOptions = RunOptions()
 ) -> RunStats:
@@ -109,7 +98,9 @@ def ingest(
     is work.
     """
     sources.register(spark)
-    scanned = spark.read.format("bucket_scan").options(**options.scan).load(bucket)
+    # Far more tasks than cores would each list a handful of files.
+    scan = {"tasks": 4 * spark.sparkContext.defaultParallelism} | options.scan
+    scanned = spark.read.format("bucket_scan").options(**scan).load(bucket)
     return ingest_scanned(spark, scanned, state, options)
 
 
@@ -119,9 +110,7 @@ def ingest_scanned(
     """The same for files listed by the caller (columns of `schemas.SCANNED`)."""
     if options.mode not in MODES:
         raise ValueError(f"mode must be one of {MODES}")
-    # The few kinds a wave is split by are written side by side, without a sort
-    # of the mail bytes.
-    with _session_settings(spark, {"spark.sql.maxConcurrentOutputFileWriters": "16"}):
+    with session_settings(spark, BLOB_SETTINGS):
         return _Run(spark, scanned, state, options).execute()
 
 
@@ -183,6 +172,9 @@ class _Run:
             self.added.setdefault(table, []).append(part)
         return rows if table == "manifest" else self.spark.read.schema(rows.schema).parquet(path)
 
+    def _committed(self, table: str) -> DataFrame | None:
+        return None if self.store.is_empty(table) else self.store.read(table)
+
     # --- steps --------------------------------------------------------------
 
     def _recover(self) -> None:
@@ -199,42 +191,58 @@ class _Run:
 
     def _decide(self) -> None:
         """Verdicts; only files that need something are kept."""
-        ledger = self.store.source_files()
-        verdicts = cdc.classify(
-            cdc.with_source_id(self.scanned), ledger, self._hash, hash_all=False
+        by_metadata = cdc.decide_by_metadata(
+            cdc.with_source_id(self.scanned), self.store.source_files()
         )
+        # The scan is listed once: counted on the fly, and only what is not
+        # settled as unchanged is kept.
         seen = Observation()
-        is_work = F.col("decision").isin(S.NEW, S.CHANGED)
-        verdicts = verdicts.observe(
-            seen,
-            F.count("*").alias("scanned"),
-            *[F.count_if(F.col("decision") == d).alias(d) for d in S.DECISIONS],
-            F.coalesce(F.sum(F.when(is_work, F.col("size_bytes"))), F.lit(0)).alias("bytes"),
-        )
-        todo = verdicts.filter(F.col("decision") != S.UNCHANGED).withColumn(
-            "kind", paths.classify_item("relpath", self.options.cut_hash)
+        open_ = F.col("decision").isNull()
+        kept = (
+            by_metadata.observe(
+                seen,
+                F.count("*").alias("scanned"),
+                F.count_if(F.col("decision") == S.UNCHANGED).alias("unchanged"),
+                F.count_if(open_).alias("open"),
+            )
+            .filter(open_ | (F.col("decision") != S.UNCHANGED))
+            .withColumn("kind", paths.classify_item("relpath", self.options.cut_hash))
         )
-        self.todo = self._scratch("verdicts", todo)
+        kept = self._scratch("by_metadata", kept)
         counts = seen.get
         self.stats.files_scanned = counts["scanned"]
-        self.stats.files_new = counts[S.NEW]
-        self.stats.files_changed = counts[S.CHANGED]
-        self.stats.files_unchanged = counts[S.UNCHANGED]
-        self.stats.files_metadata_only = counts[S.METADATA_ONLY]
-        self.n_candidates = counts[S.NEW] + counts[S.CHANGED]
-        self.candidates = self.todo.filter(F.col("decision").isin(S.NEW, S.CHANGED))
-        self.tasks = int(
-            max(
-                1,
-                counts["bytes"] // self.options.bytes_per_task,
-                self.n_candidates // self.options.files_per_task,
-                min(self.n_candidates, self.spark.sparkContext.defaultParallelism),
+        self.stats.files_unchanged = counts["unchanged"]
+
+        # Content is read here only where the decision hangs on it; new files
+        # are read, and hashed, when they are opened.
+        no_hash = F.lit(None).cast("string")
+        self.todo = kept.withColumn("content_sha256", no_hash)
+        if counts["open"]:
+            hashed = cdc.decide_by_content(hash_files(kept.filter(open_)).drop("hash_error"))
+            self.todo = self._scratch(
+                "verdicts", self.todo.filter(~open_).unionByName(hashed)
             )
+        by_decision = {
+            r["decision"]: r
+            for r in self.todo.groupBy("decision")
+            .agg(F.count("*").alias("files"), F.sum("size_bytes").alias("bytes")).collect()
+        }
+
+        def total(column: str, *decisions: str) -> int:
+            return sum(by_decision[d][column] for d in decisions if d in by_decision)
+
+        self.stats.files_new = total("files", S.NEW)
+        self.stats.files_changed = total("files", S.CHANGED)
+        self.stats.files_metadata_only = total("files", S.METADATA_ONLY)
+        self.n_candidates = total("files", S.NEW, S.CHANGED)
+        self.candidates = self.todo.filter(F.col("decision").isin(S.NEW, S.CHANGED))
+        self.tasks = max(
+            1,
+            total("bytes", S.NEW, S.CHANGED) // self.options.bytes_per_task,
+            self.n_candidates // self.options.files_per_task,
+            min(self.n_candidates, self.spark.sparkContext.defaultParallelism),
         )
 
-    def _hash(self, rows: DataFrame) -> DataFrame:
-        return hash_files(rows).drop("hash_error")
-
     def _started_rows(self) -> DataFrame:
         return cdc.started(self.candidates, self.run, self.now)
 
@@ -320,7 +328,7 @@ class _Run:
         n_leaves = total.get["leaves"]
         winners = self._scratch("winners", dedup.email_winners(blobs))
         emails = self._write(
-            "emails", dedup.new_emails(winners, self.store.read("emails"), self.now)
+            "emails", dedup.new_emails(winners, self._committed("emails"), self.now)
         )
         self.stats.emails_staged = emails.count()
         self.stats.emails_relinked = n_leaves - self.stats.emails_staged
@@ -331,11 +339,15 @@ class _Run:
         self.stats.skipped = self._write("skipped", skips).count()
 
     def _publish_pool(self, leaves: DataFrame, blobs: DataFrame, n_leaves: int) -> None:
-        keys = blobs.select("email_id", "ext", F.col("w.source_id"), F.col("w.leaf_key"))
-        if not self.store.is_empty("pool"):
-            keys = dedup.unseen(keys, self.store.read("pool"), "email_id", "ext")
-        fresh = self._scratch("fresh_blobs", keys.select("source_id", "leaf_key"))
-        n_fresh = fresh.count()
+        keys = blobs.select(
+            "email_id", "ext", F.col("w.source_id"), F.col("w.leaf_key"), F.col("w.size_bytes")
+        )
+        keys = dedup.unseen(keys, self._committed("pool"), "email_id", "ext")
+        fresh = self._scratch("fresh_blobs", keys.select("source_id", "leaf_key", "size_bytes"))
+        n_fresh, n_bytes = fresh.agg(
+            F.count("*"), F.coalesce(F.sum("size_bytes"), F.lit(0))
+        ).first()
+        fresh = fresh.drop("size_bytes")
         on = ["source_id", "leaf_key"]
         # Mail bytes meet the shorter of the two lists: leaves to keep or leaves
         # to leave out. Written out, its size is known and decides the join.
@@ -352,13 +364,20 @@ class _Run:
             "raw",
             identity.shard("email_id").alias("shard"),
         )
-        self._write("pool", pool.hint("rebalance", "shard"), partition_by=("shard",))
+        # Ids are uniform digests: equal ranges of their first digits are equal
+        # shares, without sampling. Every file covers a narrow range of ids, so
+        # lookups by shard or id skip the others by their column statistics.
+        files = min(65536, max(1, n_bytes // self.options.bytes_per_task))
+        if n_bytes > 1024 * 1024:
+            files = max(files, self.spark.sparkContext.defaultParallelism)
+        prefix = F.conv(F.substring("email_id", 1, 4), 16, 10).cast("bigint")
+        self._write("pool", pool.repartitionById(files, F.floor(prefix * files / 65536).cast("int")))
 
     def _publish_lineage(self, ids: DataFrame) -> None:
         edges = dedup.lineage_edges(ids)
         # A source that is new to the ledger has no committed lineage.
-        if self.stats.files_changed and not self.store.is_empty("lineage"):
-            edges = dedup.new_lineage(self._scratch("all_edges", edges), self.store.read("lineage"))
+        if self.stats.files_changed:
+            edges = dedup.new_lineage(self._scratch("all_edges", edges), self._committed("lineage"))
         edges = self._scratch("edges", edges)
         self._write("lineage", dedup.lineage_rows(edges, self.now))
         lines = edges.select(
@@ -366,11 +385,14 @@ class _Run:
             "namespace",
             F.substring("partition", len("timestamp=") + 1, 10).alias("timestamp"),
         ).select("m.*", "namespace", "timestamp")
-        self._write(
-            "manifest",
-            lines.hint("rebalance", "namespace", "timestamp"),
-            partition_by=("namespace", "timestamp"),
-        )
+        # One file per date directory. Where there is much to write, the rows of
+        # a hot directory are split over tasks, at run time and by size.
+        where = ("namespace", "timestamp")
+        if edges.count() > SMALL_MANIFEST:
+            lines = lines.hint("rebalance", *where)
+        else:
+            lines = lines.repartition(self.spark.sparkContext.defaultParallelism, *where)
+        self._write("manifest", lines, partition_by=where)
 
     def _commit(self) -> None:
         self.store.commit(

@@ -9,10 +9,12 @@ task or more per date directory.
 Options
   min_partition, max_partition   bounds on the date directory name (inclusive)
   namespaces                     comma separated list of tenants to scan
-  slices                         tasks per date directory (default 1). A task
+  slices                         parts per date directory (default 1). A part
                                  looks only at the files whose path hashes to
-                                 its slice, so one directory that holds most of
-                                 a bucket is not one task's work.
+                                 it, so one directory that holds most of a
+                                 bucket is not one task's work.
+  tasks                          upper bound on the number of tasks (default:
+                                 one per part); parts are dealt out evenly
 
 As a stream, every trigger is one full pass over the bucket: files may appear
 or change in any date directory at any time, so nothing bounds a pass by time.
@@ -24,6 +26,7 @@ import re
 import time
 import zlib
 from collections.abc import Iterator
+from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql.datasource import (
@@ -53,13 +56,22 @@ _ARROW = pa.schema(
 )
 
 
-class DateDirectory(InputPartition):
-    def __init__(self, namespace: str, partition: str, path: str, index: int, slices: int):
-        self.namespace = namespace
-        self.partition = partition
-        self.path = path
-        self.index = index
-        self.slices = slices
+@dataclass(frozen=True)
+class DateDirectory:
+    """One part of one date directory."""
+
+    namespace: str
+    partition: str
+    path: str
+    index: int
+    slices: int
+
+
+class Share(InputPartition):
+    """What one task lists."""
+
+    def __init__(self, parts: list[DateDirectory]):
+        self.parts = parts
 
 
 def _date_directories(options: dict) -> list[InputPartition]:
@@ -75,7 +87,7 @@ def _date_directories(options: dict) -> list[InputPartition]:
     only = {n.strip() for n in options.get("namespaces", "").split(",") if n.strip()}
     slices = max(1, int(options.get("slices", "1")))
     base = root.rstrip("/")
-    found: list[InputPartition] = []
+    found: list[DateDirectory] = []
     for namespace in subdirs(root):
         if only and namespace not in only:
             continue
@@ -86,7 +98,8 @@ def _date_directories(options: dict) -> list[InputPartition]:
                 continue
             path = f"{base}/{namespace}/{partition}"
             found += [DateDirectory(namespace, partition, path, i, slices) for i in range(slices)]
-    return found
+    tasks = min(len(found), int(options.get("tasks", len(found))))
+    return [Share(found[i::tasks]) for i in range(tasks)]
 
 
 def _batch(part: DateDirectory, rows: list[tuple]) -> pa.RecordBatch:
@@ -105,10 +118,12 @@ def _batch(part: DateDirectory, rows: list[tuple]) -> pa.RecordBatch:
     )
 
 
-def _read(part: DateDirectory) -> Iterator[pa.RecordBatch]:
-    if part is None:
-        return
+def _read(share: Share | None) -> Iterator[pa.RecordBatch]:
+    for part in share.parts if share else ():
+        yield from _read_part(part)
+
 
+def _read_part(part: DateDirectory) -> Iterator[pa.RecordBatch]:
     def mine(rel: str) -> bool:
         return part.slices == 1 or zlib.crc32(rel.encode()) % part.slices == part.index
 

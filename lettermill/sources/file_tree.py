@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 from pyspark.sql.types import StructType
 
-from lettermill.sources.files import local_path
+from lettermill.sources.files import local_path, remote
 
 
 @dataclass
@@ -57,7 +57,7 @@ class FileTreeWriter(DataSourceWriter):
     def _remote(self):
         from pyarrow import fs
 
-        filesystem, base = fs.FileSystem.from_uri(self.root)
+        filesystem, base = remote(self.root)
         replace = self.replace
 
         def put(rel: str, content: bytes) -> int:

@@ -15,13 +15,21 @@ def local_path(path: str) -> str | None:
     return None if "://" in path else path
 
 
+def remote(uri: str):
+    """Arrow file system and inner path of a URI; Hadoop's names for S3 are known."""
+    from pyarrow import fs
+
+    scheme, rest = uri.split("://", 1)
+    if scheme in ("s3a", "s3n"):
+        scheme = "s3"
+    return fs.FileSystem.from_uri(f"{scheme}://{rest}")
+
+
 def open_binary(path: str) -> BinaryIO:
     local = local_path(path)
     if local is not None:
         return open(local, "rb")
-    from pyarrow import fs
-
-    filesystem, inner = fs.FileSystem.from_uri(path)
+    filesystem, inner = remote(path)
     return filesystem.open_input_file(inner)
 
 
@@ -38,7 +46,7 @@ def subdirs(path: str) -> list[str]:
             return sorted(_utf8(e.name) for e in entries if e.is_dir())
     from pyarrow import fs
 
-    filesystem, inner = fs.FileSystem.from_uri(path)
+    filesystem, inner = remote(path)
     infos = filesystem.get_file_info(fs.FileSelector(inner))
     return sorted(i.base_name for i in infos if i.type == fs.FileType.Directory)
 
@@ -52,7 +60,7 @@ def root_kind(path: str) -> str:
         return "directory" if os.path.isdir(local) else "other"
     from pyarrow import fs
 
-    filesystem, inner = fs.FileSystem.from_uri(path)
+    filesystem, inner = remote(path)
     kind = filesystem.get_file_info(inner).type
     if kind == fs.FileType.NotFound:
         return "missing"
@@ -96,7 +104,7 @@ def regular_files(path: str, wanted=lambda rel: True) -> Iterator[tuple[str, str
 def _remote_files(path: str, wanted) -> Iterator[tuple[str, str, int, int]]:
     from pyarrow import fs
 
-    filesystem, inner = fs.FileSystem.from_uri(path)
+    filesystem, inner = remote(path)
     root = inner.rstrip("/") + "/"
     pending = [inner]
     while pending:

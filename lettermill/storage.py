@@ -4,9 +4,31 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Frames that carry mail bytes: few rows per Arrow batch, since one row may hold
+# a whole archive; and the few kinds of rows of a wave are written side by side,
+# without a sort of the bytes.
+BLOB_SETTINGS = {
+    "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    "spark.sql.maxConcurrentOutputFileWriters": "16",
+}
+
+
+@contextmanager
+def session_settings(spark: SparkSession, settings: dict[str, str]):
+    """Session settings for the queries run inside, put back afterwards."""
+    before = {k: spark.conf.get(k, None) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
+    try:
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
 
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
