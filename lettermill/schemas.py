@@ -54,48 +54,50 @@ HASH_CHUNK_BYTES = 1024 * 1024
 # --- table schemas ----------------------------------------------------------
 
 
-def _struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+_TEXT, _LONG, _INT, _TIME, _BYTES = (
+    T.StringType(), T.LongType(), T.IntegerType(), T.TimestampType(), T.BinaryType()
+)
+
+
+def _struct(**columns: T.DataType) -> T.StructType:
+    return T.StructType([T.StructField(name, kind) for name, kind in columns.items()])
 
 
 SCANNED = _struct(
-    "namespace string, partition string, relpath string, abspath string, "
-    "size_bytes bigint, mtime_ns bigint"
+    namespace=_TEXT, partition=_TEXT, relpath=_TEXT, abspath=_TEXT,
+    size_bytes=_LONG, mtime_ns=_LONG,
 )
 
-# One row per state change of a source; SOURCE_FILES is the latest row of each.
-LEDGER_EVENTS = _struct(
-    "source_id string, namespace string, partition string, relpath string, "
-    "size_bytes bigint, mtime_ns bigint, content_sha256 string, status string, "
-    "first_seen_at timestamp, last_processed_at timestamp, run_seq bigint, step int"
+SOURCE_FILES = _struct(
+    source_id=_TEXT, namespace=_TEXT, partition=_TEXT, relpath=_TEXT,
+    size_bytes=_LONG, mtime_ns=_LONG, content_sha256=_TEXT, status=_TEXT,
+    first_seen_at=_TIME, last_processed_at=_TIME,
 )
 
-SOURCE_FILES = _struct(
-    "source_id string, namespace string, partition string, relpath string, "
-    "size_bytes bigint, mtime_ns bigint, content_sha256 string, status string, "
-    "first_seen_at timestamp, last_processed_at timestamp"
+# One row per state change of a source; SOURCE_FILES is the latest row of each.
+LEDGER_EVENTS = T.StructType(
+    [*SOURCE_FILES.fields, *_struct(run_seq=_LONG, step=_INT).fields]
 )
 
 EMAILS = _struct(
-    "email_id string, namespace string, content_sha256 string, pool_path string, "
-    "size_bytes bigint, format string, first_staged_at timestamp"
+    email_id=_TEXT, namespace=_TEXT, content_sha256=_TEXT, pool_path=_TEXT,
+    size_bytes=_LONG, format=_TEXT, first_staged_at=_TIME,
 )
 
 LINEAGE = _struct(
-    "email_id string, source_id string, namespace string, partition string, "
-    "internal_path string, container_depth int, discovered_at timestamp"
+    email_id=_TEXT, source_id=_TEXT, namespace=_TEXT, partition=_TEXT,
+    internal_path=_TEXT, container_depth=_INT, discovered_at=_TIME,
 )
 
 SKIPPED = _struct(
-    "source_id string, internal_path string, reason string, details string, "
-    "skipped_at timestamp"
+    source_id=_TEXT, internal_path=_TEXT, reason=_TEXT, details=_TEXT, skipped_at=_TIME
 )
 
-POOL = _struct("email_id string, ext string, raw binary, shard string")
+POOL = _struct(email_id=_TEXT, ext=_TEXT, raw=_BYTES, shard=_TEXT)
 
 MANIFEST_LINE = _struct(
-    "email_id string, pool_path string, format string, "
-    "lineage array<struct<source:string,internal_path:string,depth:int>>"
+    email_id=_TEXT, pool_path=_TEXT, format=_TEXT,
+    lineage=T.ArrayType(_struct(source=_TEXT, internal_path=_TEXT, depth=_INT)),
 )
 
 # --- frames inside a run ----------------------------------------------------
@@ -104,6 +106,6 @@ MANIFEST_LINE = _struct(
 # `pos` holds the sibling position at every archive hop, so (size(pos), pos)
 # is breadth-first order and (source_id, pos) names one item uniquely.
 ITEMS = _struct(
-    "source_id string, namespace string, partition string, relpath string, "
-    "internal_path string, container_depth int, pos array<int>, raw binary"
+    source_id=_TEXT, namespace=_TEXT, partition=_TEXT, relpath=_TEXT,
+    internal_path=_TEXT, container_depth=_INT, pos=T.ArrayType(_INT), raw=_BYTES,
 )
