@@ -9,13 +9,14 @@ from lettermill.catalog import query
 from lettermill.catalog.derived import LEAVES_CTE, bucket_files, leaves, mail_leaves
 from lettermill.functions.manifest import manifest_json
 from lettermill.operators import dedup, reports
+from lettermill.storage import stored
 
 # Days up to this one make up the first run, later days the second.
 FIRST_RUN_UNTIL = "timestamp=2024-07-17"
 
 
 def two_runs(spark, sf_dir):
-    mail = leaves(spark, sf_dir)
+    mail = stored(leaves(spark, sf_dir).drop("raw"), "leaves")
     early = F.col("partition") <= FIRST_RUN_UNTIL
     return mail.filter(early), mail.filter(~early)
 
@@ -77,7 +78,7 @@ def pool_blobs(spark, sf_dir):
 def dedup_across_runs(spark, sf_dir):
     """Which run staged each email: the second run stages only what is new."""
     first, second = two_runs(spark, sf_dir)
-    one = emails_of(first)
+    one = stored(emails_of(first), "first-run")
     two = emails_of(second, one)
     return one.select("email_id", F.lit(1).alias("run")).unionByName(
         two.select("email_id", F.lit(2).alias("run"))
@@ -97,9 +98,9 @@ def lineage_edges(spark, sf_dir):
     """Edges of a bucket that was uploaded, uploaded again, and copied to a later
     day: the repeat adds nothing, the copy adds one edge per file."""
     files = bucket_files(spark, sf_dir)
-    first = dedup.lineage_edges(mail_leaves(files))
+    first = stored(dedup.lineage_edges(mail_leaves(files)), "first-lineage")
     copied = files.withColumn("partition", F.lit("timestamp=2024-08-01"))
-    again = dedup.lineage_edges(mail_leaves(files.unionByName(copied)))
+    again = stored(dedup.lineage_edges(mail_leaves(files.unionByName(copied))), "second-lineage")
     added = dedup.new_lineage(again, first)
     return first.unionByName(added).select(
         "email_id", "source_id", "partition", "internal_path", "container_depth"
@@ -144,7 +145,7 @@ def manifest_lines(spark, sf_dir):
 def run_stats(spark, sf_dir):
     """Counters and summary line of two runs, one row each."""
     first, second = two_runs(spark, sf_dir)
-    one = emails_of(first)
+    one = stored(emails_of(first), "first-run")
     two = emails_of(second, one)
     rows = None
     for number, mail, staged in ((1, first, one), (2, second, two)):

@@ -31,11 +31,10 @@ from lettermill.storage import new_work_dir
 )
 def canonical_email_ids(spark, sf_dir):
     """Tenant-scoped identity of every document, reduced to distinct emails."""
-    ids = table(spark, sf_dir, "documents").select(
-        "doc_id",
-        F.col("source").alias("namespace"),
-        identity.email_id("source", framed_text().cast("binary")).alias("email_id"),
+    framed = table(spark, sf_dir, "documents").select(
+        "doc_id", F.col("source").alias("namespace"), framed_text().cast("binary").alias("raw")
     )
+    ids = framed.select("doc_id", "namespace", identity.email_id("namespace", "raw").alias("email_id"))
     return ids.groupBy("namespace", "email_id").agg(
         F.count("*").alias("copies"), F.min("doc_id").alias("first_doc_id")
     )

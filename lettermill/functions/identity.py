@@ -5,48 +5,55 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Fixed values of the canonical form.
+# Fixed values of the canonical form. FRAMING is a byte order mark (its three
+# bytes as ISO-8859-1) and one separator line; CLOSING the trailing blanks.
 BOM = "\ufeff"
-BOM_LATIN1 = "\u00ef\u00bb\u00bf"
 FROM_PREFIX = "From "
-FROM_LINE = r"^From [^\r\n]*\r?\n"
-TRAILING = "\r\n\t "
+FRAMING = r"\A(?:\u00EF\u00BB\u00BF)?(?:From [^\r\n]*\r?\n)?"
+CLOSING = r"(?<![\r\n\t ])[\r\n\t ]++\z"
+BLANKS = "\r\n\t "
 
-_REST = 2147483647
+# Trailing blanks are looked for in this many last bytes first.
+_TAIL = 32
 
 
 def _col(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def _normalize(text: Column, bom: str) -> Column:
-    """BOM, leading separator line, line ends and trailing blanks, in that order."""
-    text = F.when(
-        F.startswith(text, F.lit(bom)), F.substring(text, len(bom) + 1, _REST)
-    ).otherwise(text)
-    # `^` without (?m) can match only once; the prefix test keeps the regex
-    # engine away from the rows that do not need it.
-    text = F.when(
-        F.startswith(text, F.lit(FROM_PREFIX)), F.regexp_replace(text, FROM_LINE, "")
-    ).otherwise(text)
-    text = F.replace(text, F.lit("\r\n"), F.lit("\n"))
-    text = F.replace(text, F.lit("\r"), F.lit("\n"))
-    return F.rtrim(text, F.lit(TRAILING))
+def _lf(text: Column) -> Column:
+    return F.replace(
+        F.replace(text, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n")
+    )
+
+
+def _end(raw: Column) -> Column:
+    """Length without trailing blanks. As ISO-8859-1 a character is a byte."""
+    size = F.octet_length(raw)
+    tail = F.decode(F.substring(raw, F.greatest(size - _TAIL, F.lit(0)) + 1, F.lit(_TAIL)), "ISO-8859-1")
+    blanks = F.least(size, F.lit(_TAIL)) - F.length(F.rtrim(tail, F.lit(BLANKS)))
+    whole = F.length(F.regexp_replace(F.decode(raw, "ISO-8859-1"), CLOSING, ""))
+    return F.when(blanks < _TAIL, size - blanks).otherwise(whole)
 
 
 def canonicalize(raw: Column | str) -> Column:
     """Canonical bytes of an email.
 
-    Well-formed UTF-8 is handled on the bytes as they lie in memory. Anything
-    else goes through ISO-8859-1, which maps every byte to one character and
-    back, so damaged text keeps its bytes.
+    Mails without framing in front are cut at their end and, if they hold a CR,
+    get LF line ends; both work on the bytes as they are. The few others take
+    the same steps as ISO-8859-1 text, which maps every byte to one character
+    and back. Either way text in any or no encoding keeps its bytes.
     """
     raw = _col(raw)
-    as_text = raw.cast("string")
-    return F.when(
-        F.is_valid_utf8(as_text), _normalize(as_text, BOM).cast("binary")
-    ).otherwise(
-        F.encode(_normalize(F.decode(raw, "ISO-8859-1"), BOM_LATIN1), "ISO-8859-1")
+    text = raw.cast("string")
+    framed = F.startswith(text, F.lit(BOM)) | F.startswith(text, F.lit(FROM_PREFIX))
+    unframed = _lf(F.regexp_replace(F.decode(raw, "ISO-8859-1"), FRAMING, ""))
+    # A run of trailing blanks is one before and after CR becomes LF.
+    part = F.substring(raw, F.lit(1), _end(raw))
+    return (
+        F.when(framed, F.encode(F.regexp_replace(unframed, CLOSING, ""), "ISO-8859-1"))
+        .when(F.contains(text, F.lit("\r")), _lf(part.cast("string")).cast("binary"))
+        .otherwise(part)
     )
 
 

@@ -11,30 +11,56 @@ from pyspark.sql import types as T
 
 # Fixed: a separator is a whole line that starts with "From "; only LF ends a
 # line. The one blank line before the next separator (or at the end) is framing.
-SEPARATOR = r"(?<![^\n])From [^\n]*(?:\n|\z)"
-FRAMING_BLANK = r"(?<![^\n])\n\z"
+# With an LF put before the text, every separator follows one.
+SEPARATOR = "\nFrom [^\n]*"
 
 # More messages than a row can hold; start + length must stay an int.
 _ALL = 1 << 30
 
 
+def message_parts(raw: Column) -> Column:
+    """array<string> of what lies between separators, as ISO-8859-1 text; the
+    text before the first one is lost."""
+    text = F.concat(F.lit("\n"), F.decode(raw, "ISO-8859-1"))
+    return F.slice(F.split(text, SEPARATOR), 2, _ALL)
+
+
+def message_bytes(part: Column, is_last: Column) -> Column:
+    """Raw bytes of one message from its part.
+
+    A part starts with the LF that ends its separator line. The LF before the
+    next separator was taken by the split: it is framing if it was a blank line
+    of its own, else it ends the message. The last part ends where the file does.
+    """
+    # Line break and separator follow each other: no message text at all.
+    body = F.substring(part, F.lit(2), F.length(part))
+    framing = F.endswith(part, F.lit("\n"))
+    whole = F.when(framing, body).otherwise(F.concat(body, F.lit("\n")))
+    # For the last part `part` still holds the separator's LF in front.
+    blank = F.endswith(part, F.lit("\n\n"))
+    last = F.when(blank, F.substring(part, F.lit(2), F.length(part) - 2)).otherwise(body)
+    text = F.when(part == "", "").when(is_last, last).otherwise(whole)
+    return F.encode(text, "ISO-8859-1")
+
+
 def split_messages(raw: Column | str) -> Column:
-    """array<binary> of raw messages; text before the first separator is lost."""
+    """array<binary> of raw messages."""
     raw = F.col(raw) if isinstance(raw, str) else raw
-    text = F.decode(raw, "ISO-8859-1")
-    parts = F.slice(F.split(text, SEPARATOR), 2, _ALL)
-    return F.transform(
-        parts, lambda m: F.encode(F.regexp_replace(m, FRAMING_BLANK, ""), "ISO-8859-1")
-    )
+    parts = message_parts(raw)
+    count = F.size(parts)
+    return F.transform(parts, lambda part, i: message_bytes(part, i == count - 1))
 
 
 def explode_mbox(containers: DataFrame, raw: str = "raw") -> DataFrame:
     """One row per message with `msg_idx` and the message in `raw`; a container
     without messages gives one row with NULL in both."""
     others = [c for c in containers.columns if c != raw]
-    return containers.select(
-        *others, F.posexplode_outer(split_messages(raw)).alias("msg_idx", raw)
+    parts = containers.select(*others, message_parts(F.col(raw)).alias("parts"))
+    rows = parts.select(
+        *others, F.size("parts").alias("n"), F.posexplode_outer("parts").alias("msg_idx", raw)
     )
+    body = message_bytes(F.col(raw), F.col("msg_idx") == F.col("n") - 1)
+    return rows.withColumn(raw, body).drop("n")
 
 
 def _written_back(body: bytes) -> bytes:

@@ -16,7 +16,12 @@ from pyspark.sql import functions as F
 from lettermill import schemas as S
 from lettermill.functions import identity, paths
 from lettermill.operators.archive import explode_zip, spread
-from lettermill.operators.mbox import rewrite_bodies, split_messages
+from lettermill.operators.mbox import (
+    message_bytes,
+    message_parts,
+    rewrite_bodies,
+    split_messages,
+)
 from lettermill.storage import BLOB_SETTINGS, exists, session_settings
 
 LEAF, SKIP, ZIP = "leaf", "skip", "zip"
@@ -45,16 +50,30 @@ def leaf_key(pos: str = "pos", msg_idx: str = "msg_idx") -> Column:
 def _messages(frame: DataFrame, limits: UnpackLimits) -> DataFrame:
     """Mailbox rows become message rows, other rows stay as they are."""
     opens = (F.col("kind") == "mbox") & F.col("reason").isNull() & ~F.col("too_deep")
-    bodies = F.when(opens, split_messages("raw")).otherwise(F.array("raw"))
     others = [c for c in frame.columns if c != "raw"]
-    rows = frame.select(*others, opens.alias("opened"), bodies.alias("bodies"))
     if limits.rewrite_mbox:
-        rows = rewrite_bodies(rows, "bodies", only="opened")
+        bodies = F.when(opens, split_messages("raw")).otherwise(F.array("raw"))
+        rows = frame.select(*others, opens.alias("opened"), bodies.alias("bodies"))
+        rows = rewrite_bodies(rows, "bodies", only="opened").select(
+            *others, "opened", "rewrite_error", F.posexplode_outer("bodies").alias("i", "raw")
+        )
     else:
-        rows = rows.withColumn("rewrite_error", F.lit(None).cast("string"))
-    rows = rows.select(
-        *others, "opened", "rewrite_error", F.posexplode_outer("bodies").alias("i", "raw")
-    )
+        # Message parts travel through the explode as they are and become bytes
+        # row by row; other rows keep theirs.
+        bodies = F.when(opens, message_parts(F.col("raw")).cast("array<binary>"))
+        rows = frame.select(
+            *others, opens.alias("opened"), bodies.otherwise(F.array("raw")).alias("bodies")
+        ).select(
+            *others, "opened", F.size("bodies").alias("n"),
+            F.posexplode_outer("bodies").alias("i", "raw"),
+        )
+        message = message_bytes(F.col("raw").cast("string"), F.col("i") == F.col("n") - 1)
+        rows = rows.withColumns(
+            {
+                "raw": F.when(F.col("opened"), message).otherwise(F.col("raw")),
+                "rewrite_error": F.lit(None).cast("string"),
+            }
+        ).drop("n")
     # The message that could not be written back comes last, without a body.
     failed = F.col("opened") & F.col("rewrite_error").isNotNull() & F.col("raw").isNull()
     return rows.withColumns(

@@ -87,3 +87,11 @@ def work_root(spark: SparkSession) -> str:
 
 def new_work_dir(spark: SparkSession, label: str) -> str:
     return f"{work_root(spark)}/lettermill/{label}-{uuid.uuid4().hex[:12]}"
+
+
+def stored(frame, label: str):
+    """The frame as a table in the shared folder: computed once, and read back
+    with its size known to the planner."""
+    spark, path = frame.sparkSession, new_work_dir(frame.sparkSession, label)
+    frame.write.mode("overwrite").parquet(path)
+    return spark.read.schema(frame.schema).parquet(path)

@@ -24,7 +24,8 @@ def expected_id(namespace: str, raw: bytes) -> str:
 
 FRAGMENTS = st.sampled_from(
     [b"\xef\xbb\xbf", b"From a b\n", b"From x\r\n", b"From ", b"\r\n", b"\r", b"\n", b" ", b"\t",
-     b"\x0b", b"\x0c", b"\x85", b"\xc3\xa9", b"\xc3", b"\xff", b"\x00", b"text", b"From"]
+     b"\x0b", b"\x0c", b"\x85", b"\xc3\xa9", b"\xc3", b"\xff", b"\x00", b"text", b"From",
+     b" " * 255, b"\n" * 256, b"\r\n" * 128, b"\t" * 300, b"x" * 254]
 )
 RAW = st.one_of(
     st.binary(max_size=60), st.lists(FRAGMENTS, max_size=8).map(b"".join)
