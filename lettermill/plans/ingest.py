@@ -24,6 +24,7 @@ from lettermill.operators.unpack import (
     open_nested,
 )
 from lettermill.plans.state import LEDGER, StateStore
+from lettermill.sources.bucket import with_file_stats
 from lettermill.sources.large_mbox import read_large_mboxes
 from lettermill.sources.opening import ReadLimits, hash_files, open_slices, open_sources
 from lettermill.storage import BLOB_SETTINGS, delete, new_work_dir, session_settings
@@ -97,11 +98,20 @@ def ingest(
     Backfill and incremental are the same plan: the ledger alone decides what
     is work.
     """
+    return ingest_scanned(spark, scan_bucket(spark, bucket, options.scan), state, options)
+
+
+def scan_bucket(spark: SparkSession, bucket: str, scan: dict | None = None, stream: bool = False) -> DataFrame:
+    """Files of a bucket with size and time, as a batch or as a stream.
+
+    Directories are listed by name; size and time are then looked up in equal
+    shares of the files. More tasks than a few per core would each see a handful.
+    """
     sources.register(spark)
-    # Far more tasks than cores would each list a handful of files.
-    scan = {"tasks": 4 * spark.sparkContext.defaultParallelism} | options.scan
-    scanned = spark.read.format("bucket_scan").options(**scan).load(bucket)
-    return ingest_scanned(spark, scanned, state, options)
+    tasks = 4 * spark.sparkContext.defaultParallelism
+    options = {"tasks": tasks, "names_only": "true"} | (scan or {})
+    reader = (spark.readStream if stream else spark.read).format("bucket_scan").options(**options)
+    return with_file_stats(reader.load(bucket), tasks)
 
 
 def ingest_scanned(
@@ -204,6 +214,7 @@ class _Run:
                 F.count("*").alias("scanned"),
                 F.count_if(F.col("decision") == S.UNCHANGED).alias("unchanged"),
                 F.count_if(open_).alias("open"),
+                F.coalesce(F.sum(F.when(open_, F.col("size_bytes"))), F.lit(0)).alias("open_bytes"),
             )
             .filter(open_ | (F.col("decision") != S.UNCHANGED))
             .withColumn("kind", paths.classify_item("relpath", self.options.cut_hash))
@@ -218,7 +229,13 @@ class _Run:
         no_hash = F.lit(None).cast("string")
         self.todo = kept.withColumn("content_sha256", no_hash)
         if counts["open"]:
-            hashed = cdc.decide_by_content(hash_files(kept.filter(open_)).drop("hash_error"))
+            # Rows are short and files are not: the number of tasks follows the
+            # files, where Spark would go by the size of the rows.
+            share = spread(
+                kept.filter(open_), "source_id",
+                partitions=self._tasks(counts["open"], counts["open_bytes"]),
+            )
+            hashed = cdc.decide_by_content(hash_files(share).drop("hash_error"))
             self.todo = self._scratch(
                 "verdicts", self.todo.filter(~open_).unionByName(hashed)
             )
@@ -236,11 +253,15 @@ class _Run:
         self.stats.files_metadata_only = total("files", S.METADATA_ONLY)
         self.n_candidates = total("files", S.NEW, S.CHANGED)
         self.candidates = self.todo.filter(F.col("decision").isin(S.NEW, S.CHANGED))
-        self.tasks = max(
+        self.tasks = self._tasks(self.n_candidates, total("bytes", S.NEW, S.CHANGED))
+
+    def _tasks(self, files: int, size: int) -> int:
+        """Tasks for reading this many files of this many bytes."""
+        return max(
             1,
-            total("bytes", S.NEW, S.CHANGED) // self.options.bytes_per_task,
-            self.n_candidates // self.options.files_per_task,
-            min(self.n_candidates, self.spark.sparkContext.defaultParallelism),
+            size // self.options.bytes_per_task,
+            files // self.options.files_per_task,
+            min(files, self.spark.sparkContext.defaultParallelism),
         )
 
     def _started_rows(self) -> DataFrame:
@@ -257,7 +278,12 @@ class _Run:
 
         slices = result.raw_read("slice", [first])
         if slices is not None:
-            members = open_slices(spread(slices, "source_id", "slice_lo"), self.options.read)
+            # A slice is a short row that stands for much work: one task each,
+            # up to what a driver can well keep track of.
+            tasks = min(slices.count(), 50_000)
+            members = open_slices(
+                spread(slices, "source_id", "slice_lo", partitions=tasks), self.options.read
+            )
             wave = result.write(classify_wave(members, limits, _CARRY))
             bad = result.raw_read("skip", [wave])
             if bad is not None:

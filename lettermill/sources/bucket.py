@@ -15,6 +15,9 @@ Options
                                  bucket is not one task's work.
   tasks                          upper bound on the number of tasks (default:
                                  one per part); parts are dealt out evenly
+  names_only                     true: list names and leave size and time of
+                                 local files to `with_file_stats`, which shares
+                                 that work out file by file
 
 As a stream, every trigger is one full pass over the bucket: files may appear
 or change in any date directory at any time, so nothing bounds a pass by time.
@@ -29,6 +32,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -39,7 +43,7 @@ from pyspark.sql.types import StructType
 
 from lettermill.functions.paths import PARTITION_PATTERN
 from lettermill.schemas import SCANNED
-from lettermill.sources.files import regular_files, root_kind, subdirs
+from lettermill.sources.files import file_stat, regular_files, root_kind, subdirs
 
 _PARTITION = re.compile(PARTITION_PATTERN)
 _ROWS_PER_BATCH = 4096
@@ -65,6 +69,7 @@ class DateDirectory:
     path: str
     index: int
     slices: int
+    names_only: bool
 
 
 class Share(InputPartition):
@@ -86,6 +91,7 @@ def _date_directories(options: dict) -> list[InputPartition]:
     low, high = options.get("min_partition"), options.get("max_partition")
     only = {n.strip() for n in options.get("namespaces", "").split(",") if n.strip()}
     slices = max(1, int(options.get("slices", "1")))
+    names_only = options.get("names_only", "false") == "true"
     base = root.rstrip("/")
     found: list[DateDirectory] = []
     for namespace in subdirs(root):
@@ -97,7 +103,10 @@ def _date_directories(options: dict) -> list[InputPartition]:
             if (low and partition < low) or (high and partition > high):
                 continue
             path = f"{base}/{namespace}/{partition}"
-            found += [DateDirectory(namespace, partition, path, i, slices) for i in range(slices)]
+            found += [
+                DateDirectory(namespace, partition, path, i, slices, names_only)
+                for i in range(slices)
+            ]
     tasks = min(len(found), int(options.get("tasks", len(found))))
     return [Share(found[i::tasks]) for i in range(tasks)]
 
@@ -128,7 +137,7 @@ def _read_part(part: DateDirectory) -> Iterator[pa.RecordBatch]:
         return part.slices == 1 or zlib.crc32(rel.encode()) % part.slices == part.index
 
     rows: list[tuple] = []
-    for row in regular_files(part.path, mine):
+    for row in regular_files(part.path, mine, part.names_only):
         rows.append(row)
         if len(rows) == _ROWS_PER_BATCH:
             yield _batch(part, rows)
@@ -137,6 +146,35 @@ def _read_part(part: DateDirectory) -> Iterator[pa.RecordBatch]:
         yield _batch(part, rows)
 
 
+def with_file_stats(names: DataFrame, tasks: int) -> DataFrame:
+    """Size and time for rows listed by name only, without files that are gone
+    or not regular. Rows are shared out by path: however full one directory is,
+    no task looks at more than its share of the files."""
+
+    def run(batches):
+        for batch in batches:
+            paths = batch.column("abspath").to_pylist()
+            sizes, times = batch.column("size_bytes").to_pylist(), batch.column("mtime_ns").to_pylist()
+            kept = []
+            for i, path in enumerate(paths):
+                if sizes[i] is None:
+                    found = file_stat(path)
+                    if found is None:
+                        continue
+                    sizes[i], times[i] = found
+                kept.append(i)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    *[batch.column(c).take(pa.array(kept, pa.int64())) for c in _ARROW.names[:4]],
+                    pa.array([sizes[i] for i in kept], pa.int64()),
+                    pa.array([times[i] for i in kept], pa.int64()),
+                ],
+                schema=_ARROW,
+            )
+
+    return names.select(*_ARROW.names).repartition(tasks, "abspath").mapInArrow(run, SCANNED)
+
+
 class BucketReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options

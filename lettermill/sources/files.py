@@ -67,11 +67,24 @@ def root_kind(path: str) -> str:
     return "directory" if kind == fs.FileType.Directory else "other"
 
 
-def regular_files(path: str, wanted=lambda rel: True) -> Iterator[tuple[str, str, int, int]]:
+def file_stat(path: str) -> tuple[int, int] | None:
+    """(size, mtime ns) of a local regular file; None if it is none, or gone."""
+    try:
+        info = os.stat(local_path(path))
+    except OSError:
+        return None
+    return (info.st_size, info.st_mtime_ns) if stat.S_ISREG(info.st_mode) else None
+
+
+def regular_files(
+    path: str, wanted=lambda rel: True, names_only: bool = False
+) -> Iterator[tuple[str, str, int | None, int | None]]:
     """(relative path, absolute path, size, mtime ns) of each regular file below.
 
     Directories reached through a link are not entered; linked files count by
-    their target. `wanted` is asked before a file is looked at.
+    their target. `wanted` is asked before a file is looked at. With
+    `names_only` local files are not looked at yet: size and time are None, and
+    special files are still among them.
     """
     local = local_path(path)
     if local is None:
@@ -93,6 +106,9 @@ def regular_files(path: str, wanted=lambda rel: True) -> Iterator[tuple[str, str
                 continue
             if not wanted(rel):
                 continue
+            if names_only:
+                yield rel, _utf8(entry.path), None, None
+                continue
             try:
                 info = entry.stat()
             except FileNotFoundError:

@@ -15,6 +15,7 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import types as T
 
 from lettermill.operators.archive import (
     OPENED_ARROW,
@@ -219,5 +220,5 @@ def hash_files(files: DataFrame) -> DataFrame:
                 names=[*columns, "content_sha256", "hash_error"],
             )
 
-    schema = files.schema.simpleString()[len("struct<"):-1]
-    return files.mapInArrow(run, f"{schema}, content_sha256 string, hash_error string")
+    added = [T.StructField(n, T.StringType()) for n in ("content_sha256", "hash_error")]
+    return files.mapInArrow(run, T.StructType([*files.schema.fields, *added]))

@@ -15,9 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lettermill import schemas as S
-from lettermill import sources
 from lettermill.operators import cdc
-from lettermill.plans.ingest import RunOptions, RunStats, ingest_scanned
+from lettermill.plans.ingest import RunOptions, RunStats, ingest_scanned, scan_bucket
 from lettermill.storage import children, exists
 
 CADENCE = "15 minutes"
@@ -47,9 +46,7 @@ def ingest_stream(
 
     Every trigger is one pass over the bucket. `every=None` does one pass.
     """
-    sources.register(spark)
-    scan = {"tasks": 4 * spark.sparkContext.defaultParallelism} | options.scan
-    passes = spark.readStream.format("bucket_scan").options(**scan).load(bucket)
+    passes = scan_bucket(spark, bucket, options.scan, stream=True)
 
     def each(batch: DataFrame, number: int) -> None:
         on_run(ingest_scanned(batch.sparkSession, batch, state, options))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from lettermill import schemas as S
 from lettermill import sources
 from lettermill.operators import cdc
+from lettermill.plans.ingest import scan_bucket
 from lettermill.sources.opening import hash_files
 
 
@@ -86,6 +87,17 @@ def test_bounds_slices_and_tasks_list_every_file_once(spark, bucket):
     assert listed(some) == {("n1", "timestamp=2024-07-15", f"f{i}.eml") for i in range(1, 20, 2)}
 
 
+def test_names_first_then_stats(spark, bucket):
+    real = bucket.put(MAIL_A, "real.eml")
+    bucket.put(b"", "sub/empty.eml")
+    os.symlink(real, real.parent / "link.eml")
+    os.symlink(real.parent / "gone", real.parent / "broken.eml")
+    os.mkfifo(real.parent / "pipe.eml")
+    assert sorted(scan_bucket(spark, str(bucket)).collect()) == sorted(scan(spark, bucket).collect())
+    names = scan(spark, bucket, names_only="true")
+    assert names.filter("size_bytes IS NOT NULL OR mtime_ns IS NOT NULL").count() == 0
+
+
 def test_file_uri_lists_the_same(spark, bucket):
     bucket.put(MAIL_A, "a.eml")
     rows = spark.read.format("bucket_scan").load(f"file://{bucket.root}").collect()
