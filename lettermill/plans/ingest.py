@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, fields
 from datetime import datetime, timezone
 
@@ -352,15 +353,27 @@ class _Run:
             ),
         )
         n_leaves = total.get["leaves"]
+        # The tables do not depend on each other: their jobs share the cluster,
+        # and none waits for the last tasks of another.
+        steps = [lambda: self._publish_emails(blobs, n_leaves), self._publish_skips]
+        if n_leaves:
+            steps += [
+                lambda: self._publish_pool(leaves, blobs, n_leaves),
+                lambda: self._publish_lineage(ids),
+            ]
+        with ThreadPoolExecutor(len(steps)) as pool:
+            for step in [pool.submit(step) for step in steps]:
+                step.result()
+
+    def _publish_emails(self, blobs: DataFrame, n_leaves: int) -> None:
         winners = self._scratch("winners", dedup.email_winners(blobs))
         emails = self._write(
             "emails", dedup.new_emails(winners, self._committed("emails"), self.now)
         )
         self.stats.emails_staged = emails.count()
         self.stats.emails_relinked = n_leaves - self.stats.emails_staged
-        if n_leaves:
-            self._publish_pool(leaves, blobs, n_leaves)
-            self._publish_lineage(ids)
+
+    def _publish_skips(self) -> None:
         skips = self.result.skips.withColumn("skipped_at", self.now)
         self.stats.skipped = self._write("skipped", skips).count()
 
