@@ -94,7 +94,7 @@ def ledger_after_run(spark, sf_dir):
     now = F.timestamp_seconds(F.lit(1_721_000_000))
     started = cdc.started(decided.filter(F.col("decision").isin(S.NEW, S.CHANGED)), 2, now)
     outcome = started.select(
-        "source_id", F.col("content_sha256").alias("file_sha256"),
+        "source_id", "relpath", F.col("content_sha256").alias("file_sha256"),
         F.lit(None).cast("string").alias("error"),
     )
     events = (
@@ -120,7 +120,7 @@ def rerun_unchanged(spark, sf_dir):
     first = cdc.classify(files, spark.createDataFrame([], S.SOURCE_FILES), content_hash())
     started = cdc.started(first, 1, now)
     outcome = first.select(
-        "source_id", F.col("content_sha256").alias("file_sha256"),
+        "source_id", "relpath", F.col("content_sha256").alias("file_sha256"),
         F.lit(None).cast("string").alias("error"),
     )
     ledger = cdc.current_ledger(started.unionByName(cdc.finished(started, outcome, 1, now)))

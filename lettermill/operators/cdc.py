@@ -29,7 +29,8 @@ def current_ledger(events: DataFrame) -> DataFrame:
     row per task in the shuffle.
     """
     state = [c for c in _LEDGER_STATE if c not in ("source_id", "first_seen_at")]
-    order = F.struct("run_seq", "step", F.col("last_processed_at"))
+    # Two files of one scan can share an id; the later one in scan order stays.
+    order = F.struct("run_seq", "step", paths.scan_order_key("relpath").alias("path"))
     latest = events.groupBy("source_id").agg(
         F.max_by(F.struct(*state), order).alias("s"),
         F.min("first_seen_at").alias("first_seen_at"),
@@ -153,8 +154,8 @@ def refreshed(verdicts: DataFrame, run_seq: int, now: Column) -> DataFrame:
 
 def finished(started_rows: DataFrame, outcome: DataFrame, run_seq: int, now: Column) -> DataFrame:
     """done or failed for every started file; `outcome` has file_sha256 and
-    error per source_id."""
-    joined = started_rows.join(outcome, "source_id", "left")
+    error per source_id and relpath."""
+    joined = started_rows.join(outcome, ["source_id", "relpath"], "left")
     failed = F.col("error").isNotNull()
     return _event(
         joined,

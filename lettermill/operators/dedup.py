@@ -14,7 +14,10 @@ from pyspark.sql import functions as F
 from lettermill import schemas as S
 from lettermill.functions import identity, paths
 
-_ATTRIBUTES = ["namespace", "content_sha256", "size_bytes", "format", "source_id", "leaf_key"]
+# What names one leaf of a run. Two files can share a source_id (backslash names).
+LEAF_NAME = ["source_id", "relpath", "leaf_key"]
+
+_ATTRIBUTES = ["namespace", "content_sha256", "size_bytes", "format", *LEAF_NAME]
 
 
 def first_seen_order() -> Column:

@@ -275,7 +275,9 @@ class _Run:
             spread(self.candidates, "source_id", partitions=self.tasks), self.options.read
         )
         first = result.write(classify_wave(opened, limits, _CARRY))
-        self.outcome = result.raw_read("source", [first]).select("source_id", "file_sha256", "error")
+        self.outcome = result.raw_read("source", [first]).select(
+            "source_id", "relpath", "file_sha256", "error"
+        )
 
         slices = result.raw_read("slice", [first])
         if slices is not None:
@@ -378,16 +380,16 @@ class _Run:
         self.stats.skipped = self._write("skipped", skips).count()
 
     def _publish_pool(self, leaves: DataFrame, blobs: DataFrame, n_leaves: int) -> None:
+        on = dedup.LEAF_NAME
         keys = blobs.select(
-            "email_id", "ext", F.col("w.source_id"), F.col("w.leaf_key"), F.col("w.size_bytes")
+            "email_id", "ext", *[F.col(f"w.{c}") for c in on], F.col("w.size_bytes")
         )
         keys = dedup.unseen(keys, self._committed("pool"), "email_id", "ext")
-        fresh = self._scratch("fresh_blobs", keys.select("source_id", "leaf_key", "size_bytes"))
+        fresh = self._scratch("fresh_blobs", keys.select(*on, "size_bytes"))
         n_fresh, n_bytes = fresh.agg(
             F.count("*"), F.coalesce(F.sum("size_bytes"), F.lit(0))
         ).first()
         fresh = fresh.drop("size_bytes")
-        on = ["source_id", "leaf_key"]
         # Mail bytes meet the shorter of the two lists: leaves to keep or leaves
         # to leave out. Written out, its size is known and decides the join.
         if n_fresh == n_leaves:

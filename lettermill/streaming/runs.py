@@ -121,7 +121,7 @@ class VerdictLog:
         now = F.current_timestamp()
         work = cdc.started(stored.filter(F.col("decision").isin(S.NEW, S.CHANGED)), number, now)
         outcome = work.select(
-            "source_id", F.col("content_sha256").alias("file_sha256"),
+            "source_id", "relpath", F.col("content_sha256").alias("file_sha256"),
             F.lit(None).cast("string").alias("error"),
         )
         rows = cdc.finished(work, outcome, number, now).unionByName(

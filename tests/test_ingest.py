@@ -183,6 +183,20 @@ def test_one_id_as_mail_and_page_keeps_both_blobs(spark, bucket):
     assert_whole(spark, bucket)
 
 
+def test_files_that_share_a_source_id(spark, bucket):
+    bucket.put(MAIL_A, "in\\x.eml")
+    bucket.put(MAIL_B, "in/x.eml")
+    bucket.put(MAIL_A, "a.eml")
+    bucket.put(MAIL_C, "c.eml")
+    stats = ingest(spark, str(bucket), bucket.state)
+    assert (stats.files_new, stats.emails_staged, stats.emails_relinked) == (4, 3, 1)
+    s = store(spark, bucket)
+    assert s.read("lineage").count() == 4
+    assert s.source_files().count() == 3
+    assert s.source_files().filter("relpath = 'in/x.eml'").count() == 1
+    assert_whole(spark, bucket)
+
+
 def test_unreadable_file_is_skipped(spark, bucket, monkeypatch):
     bucket.put(MAIL_A, "x.eml")
     os.symlink(bucket.root / "nowhere", bucket.root / "ns" / "timestamp=2024-07-15" / "gone.eml")
