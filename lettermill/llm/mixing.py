@@ -27,7 +27,8 @@ class Targets:
     source: dict[str, float] = field(default_factory=lambda: {"src0": 0.25, "src1": 0.06, "src2": 0.06, "*": 0.63})
     lang: dict[str, float] = field(default_factory=lambda: {"en": 0.55, "de": 0.18, "fr": 0.15, "es": 0.11, "*": 0.01})
     topic: dict[str, float] = field(default_factory=lambda: {"tables": 0.1, "lists": 0.2, "*": 0.7})
-    rounds: int = 12
+    rounds: int = 8
+    budget: float = 0.5  # of the corpus' tokens
     seed: str = "mix"
 
     def cells(self) -> int:
@@ -61,7 +62,8 @@ def _share(value: Column, shares: dict[str, float]) -> Column:
 
 def rake(cells: DataFrame, targets: Targets) -> DataFrame:
     """source, lang, topic (classes), n_tokens -> the same with weight (share after raking)
-    and probability (1 where the corpus has the least of what is wanted).
+    and probability: what the cell should give of `budget` by what it has. A cell that has
+    less than it should give is kept whole.
 
     Targets of classes that hold no tokens are shared out among the others. One task:
     `cells` has at most `targets.cells()` rows.
@@ -79,9 +81,8 @@ def rake(cells: DataFrame, targets: Targets) -> DataFrame:
         for d in DIMS:
             total = F.sum("weight").over(wanted[d])
             out = out.withColumn("weight", F.when(total > 0, F.col("weight") * F.col(f"t_{d}") / total).otherwise(0.0))
-    factor = F.col("weight") / F.col("n_tokens")
-    most = F.max(factor).over(everywhere)
-    return out.select(*DIMS, "n_tokens", "weight", F.when(most > 0, factor / most).otherwise(0.0).alias("probability"))
+    wants = F.col("weight") * F.sum("n_tokens").over(everywhere) * targets.budget
+    return out.select(*DIMS, "n_tokens", "weight", F.least(F.lit(1.0), wants / F.col("n_tokens")).alias("probability"))
 
 
 def uniform(doc_id: Column, text: Column, seed: str) -> Column:
@@ -179,7 +180,8 @@ mix_k AS (SELECT *, n_tokens AS weight, {ks} FROM mix_cells),
 mix_c0 AS (SELECT *, {ts} FROM mix_k),
 {(',' + chr(10)).join(steps)},
 mix_rates AS (
-  SELECT source, lang, topic, coalesce((weight / n_tokens) / nullif(max(weight / n_tokens) OVER (), 0), 0) AS probability
+  SELECT source, lang, topic,
+    least(1.0::DOUBLE, weight * sum(n_tokens) OVER () * {targets.budget!r}::DOUBLE / n_tokens) AS probability
   FROM {last}),
 mix_rows AS (
   SELECT d.doc_id, d.n_tokens, d.source AS source_class, d.lang AS lang_class, d.topic_name AS topic,
