@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from lettermill.llm.bpe_codec import op3_bpe_codec
 from lettermill.llm.line_dedup import OP1_SQL, op1_line_dedup
 from lettermill.llm.mixing import OP2_SQL, op2_mixing
+from lettermill.llm.token_counts import op7_token_counts
 
 QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mixing": op2_mixing,
+    "op3_bpe_codec": op3_bpe_codec,
+    "op7_token_counts": op7_token_counts,
 }
 
 SQL = {
