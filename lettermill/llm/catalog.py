@@ -7,6 +7,7 @@ from lettermill.llm.line_dedup import OP1_SQL, op1_line_dedup
 from lettermill.llm.mixing import OP2_SQL, op2_mixing
 from lettermill.llm.near_dedup import op10_near_dedup
 from lettermill.llm.quality_rules import op8_quality_rules
+from lettermill.llm.secret_scan import op9_secret_scan
 from lettermill.llm.token_counts import op7_token_counts
 
 QUERIES = {
@@ -15,6 +16,7 @@ QUERIES = {
     "op3_bpe_codec": op3_bpe_codec,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
+    "op9_secret_scan": op9_secret_scan,
     "op10_near_dedup": op10_near_dedup,
 }
 
