@@ -6,6 +6,7 @@ from lettermill.llm.bpe_codec import op3_bpe_codec
 from lettermill.llm.line_dedup import OP1_SQL, op1_line_dedup
 from lettermill.llm.mixing import OP2_SQL, op2_mixing
 from lettermill.llm.near_dedup import op10_near_dedup
+from lettermill.llm.neighbours import op6_neighbours
 from lettermill.llm.quality_rules import op8_quality_rules
 from lettermill.llm.secret_scan import op9_secret_scan
 from lettermill.llm.token_counts import op7_token_counts
@@ -14,6 +15,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mixing": op2_mixing,
     "op3_bpe_codec": op3_bpe_codec,
+    "op6_neighbours": op6_neighbours,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
     "op9_secret_scan": op9_secret_scan,
