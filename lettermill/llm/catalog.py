@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from lettermill.llm.bpe_codec import op3_bpe_codec
 from lettermill.llm.line_dedup import OP1_SQL, op1_line_dedup
+from lettermill.llm.lm_scoring import op5_lm_scoring
 from lettermill.llm.mixing import OP2_SQL, op2_mixing
 from lettermill.llm.near_dedup import op10_near_dedup
 from lettermill.llm.neighbours import op6_neighbours
@@ -15,6 +16,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mixing": op2_mixing,
     "op3_bpe_codec": op3_bpe_codec,
+    "op5_lm_scoring": op5_lm_scoring,
     "op6_neighbours": op6_neighbours,
     "op7_token_counts": op7_token_counts,
     "op8_quality_rules": op8_quality_rules,
