@@ -8,6 +8,7 @@ from lettermill.llm.lm_scoring import op5_lm_scoring
 from lettermill.llm.mixing import OP2_SQL, op2_mixing
 from lettermill.llm.near_dedup import op10_near_dedup
 from lettermill.llm.neighbours import op6_neighbours
+from lettermill.llm.passage_dedup import op4_passage_dedup
 from lettermill.llm.quality_rules import op8_quality_rules
 from lettermill.llm.secret_scan import op9_secret_scan
 from lettermill.llm.token_counts import op7_token_counts
@@ -16,6 +17,7 @@ QUERIES = {
     "op1_line_dedup": op1_line_dedup,
     "op2_mixing": op2_mixing,
     "op3_bpe_codec": op3_bpe_codec,
+    "op4_passage_dedup": op4_passage_dedup,
     "op5_lm_scoring": op5_lm_scoring,
     "op6_neighbours": op6_neighbours,
     "op7_token_counts": op7_token_counts,
