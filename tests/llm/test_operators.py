@@ -23,7 +23,7 @@ from lettermill.llm.passage_dedup import remove_passages
 from lettermill.llm.quality_rules import judge
 from lettermill.llm.secret_scan import scan_secrets, train
 from lettermill.llm.token_counts import count_tokens, cut, share
-from tests.llm.conftest import edge_rows, story
+from .conftest import edge_rows, story
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BLANKS = " \t\n\x0b\x0c\r"

@@ -10,8 +10,8 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from lettermill.llm.catalog import QUERIES, SQL
-from tests.llm.conftest import edge_rows
-from tests.llm.test_operators import brute_groups
+from .conftest import edge_rows
+from .test_operators import brute_groups
 
 DATA = "/root/testdata/sf0.001"
 
