@@ -31,8 +31,6 @@ from lettermill.sources.opening import ReadLimits, hash_files, open_slices, open
 from lettermill.storage import BLOB_SETTINGS, delete, new_work_dir, session_settings
 
 MODES = ("backfill", "incremental")
-# Manifest lines that a single task may write without trouble.
-SMALL_MANIFEST = 1_000_000
 _CARRY = ("file_sha256", "error", "abspath", "slice_lo", "slice_hi")
 
 
@@ -133,6 +131,7 @@ class _Run:
         self.store = StateStore(spark, state)
         self.stats = RunStats()
         self.added: dict[str, list[str]] = {}
+        self.leftovers: list[str] = []
 
     def execute(self) -> RunStats:
         self.run = self.store.claim()
@@ -193,8 +192,8 @@ class _Run:
         broken = [r for r in self.store.unfinished_runs() if r != self.run]
         if not broken:
             return
-        leftovers = self.store.leftovers(self.run)
-        self.stats.recovered_tmp_files = self.store.wipe(leftovers)
+        self.leftovers = self.store.leftovers(self.run)
+        self.stats.recovered_tmp_files = len(self.leftovers)
         rows = self._write(
             LEDGER, cdc.recovered(self.store.source_files(), self.run), step=cdc.RECOVERED
         )
@@ -281,9 +280,8 @@ class _Run:
 
         slices = result.raw_read("slice", [first])
         if slices is not None:
-            # A slice is a short row that stands for much work: one task each,
-            # up to what a driver can well keep track of.
-            tasks = min(slices.count(), 50_000)
+            # A slice is a short row that stands for much work: one task each.
+            tasks = slices.count()
             members = open_slices(
                 spread(slices, "source_id", "slice_lo", partitions=tasks), self.options.read
             )
@@ -408,11 +406,10 @@ class _Run:
         # Ids are uniform digests: equal ranges of their first digits are equal
         # shares, without sampling. Every file covers a narrow range of ids, so
         # lookups by shard or id skip the others by their column statistics.
-        files = min(65536, max(1, n_bytes // self.options.bytes_per_task))
-        if n_bytes > 1024 * 1024:
-            files = max(files, self.spark.sparkContext.defaultParallelism)
-        prefix = F.conv(F.substring("email_id", 1, 4), 16, 10).cast("bigint")
-        self._write("pool", pool.repartitionById(files, F.floor(prefix * files / 65536).cast("int")))
+        files = max(1, n_bytes // self.options.bytes_per_task)
+        files = max(files, min(n_fresh, self.spark.sparkContext.defaultParallelism))
+        prefix = F.conv(F.substring("email_id", 1, 8), 16, 10).cast("bigint")
+        self._write("pool", pool.repartitionById(files, F.floor(prefix * files / 2**32).cast("int")))
 
     def _publish_lineage(self, ids: DataFrame) -> None:
         edges = dedup.lineage_edges(ids)
@@ -426,26 +423,27 @@ class _Run:
             "namespace",
             F.substring("partition", len("timestamp=") + 1, 10).alias("timestamp"),
         ).select("m.*", "namespace", "timestamp")
-        # One file per date directory. Where there is much to write, the rows of
-        # a hot directory are split over tasks, at run time and by size.
+        # One file per date directory; the rows of a hot directory are split over
+        # tasks, at run time and by size.
         where = ("namespace", "timestamp")
-        if edges.count() > SMALL_MANIFEST:
-            lines = lines.hint("rebalance", *where)
-        else:
-            lines = lines.repartition(self.spark.sparkContext.defaultParallelism, *where)
-        self._write("manifest", lines, partition_by=where)
+        self._write("manifest", lines.hint("rebalance", *where), partition_by=where)
 
     def _commit(self) -> None:
         self.store.commit(
             self.run, self.added, {"mode": self.options.mode, "stats": asdict(self.stats)}
         )
+        self.store.wipe(self.leftovers)  # their runs have lost by now
 
     def _abort(self) -> None:
-        """Mark the files of this run failed, so that the next one retries them."""
+        """Mark the files of this run failed, so that the next one retries them. A run that lost
+        against another one leaves what that one wrote about them."""
+        self.store.refresh()
+        if self.store.lost(self.run):
+            return
         self._write(LEDGER, cdc.aborted(self._started_rows(), self.run), step=cdc.ABORTED, visible=False)
 
 
-def export_pool(spark: SparkSession, state: str, target: str, only_run: str | None = None) -> None:
+def export_pool(spark: SparkSession, state: str, target: str) -> None:
     """Write committed pool blobs as files `<aa>/<id><ext>` below `target`."""
     sources.register(spark)
     pool = StateStore(spark, state).read("pool")
@@ -454,8 +452,3 @@ def export_pool(spark: SparkSession, state: str, target: str, only_run: str | No
         F.col("raw").alias("content"),
     ).write.format("file_tree").mode("append").save(target)
 
-
-__all__ = [
-    "LEAF_COLUMNS", "RunOptions", "RunStats", "SourcesFailed", "export_pool", "ingest",
-    "ingest_scanned", "leaf_key",
-]

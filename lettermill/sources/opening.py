@@ -61,8 +61,6 @@ SOURCE_ROWS_ARROW = pa.schema(
     ]
 )
 
-_UTF8_BOM = b"\xef\xbb\xbf"
-
 
 @dataclass(frozen=True)
 class ReadLimits:

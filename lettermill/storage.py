@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 from contextlib import contextmanager
@@ -78,7 +79,7 @@ def work_root(spark: SparkSession) -> str:
     in a session without one, as in tests, a folder of our own."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if not named:
-        if not spark.sparkContext.master.startswith("local"):
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="lettermill-")
         spark.conf.set("spark.checkpoint.dir", named)

@@ -325,6 +325,79 @@ def test_second_writer_loses(spark, bucket, monkeypatch):
     assert_whole(spark, bucket)
 
 
+def test_run_that_starts_late_does_not_destroy_the_other(spark, bucket, monkeypatch):
+    """The first run has written its tables when the second one starts and breaks off."""
+    bucket.put(MAIL_A, "x.eml")
+    bucket.put(MAIL_B, "y.eml")
+    original = plan._Run._commit
+
+    def broken(self):
+        raise RuntimeError("killed")
+
+    def overtaken(self):
+        monkeypatch.setattr(plan._Run, "_commit", broken)
+        with pytest.raises(RuntimeError, match="killed"):
+            ingest(spark, str(bucket), bucket.state)
+        monkeypatch.setattr(plan._Run, "_commit", original)
+        original(self)
+
+    monkeypatch.setattr(plan._Run, "_commit", overtaken)
+    assert ingest(spark, str(bucket), bucket.state).emails_staged == 2
+    assert_whole(spark, bucket)
+    assert ingest(spark, str(bucket), bucket.state).files_unchanged == 2
+    assert_whole(spark, bucket)
+
+
+def test_run_that_lost_says_nothing_of_its_files(spark, bucket, monkeypatch):
+    bucket.put(MAIL_A, "x.eml")
+    original = plan._Run._commit
+
+    def overtaken(self):
+        monkeypatch.setattr(plan._Run, "_commit", original)
+        ingest(spark, str(bucket), bucket.state)
+        original(self)
+
+    monkeypatch.setattr(plan._Run, "_commit", overtaken)
+    with pytest.raises(ConcurrentRun):
+        ingest(spark, str(bucket), bucket.state)
+    stats = ingest(spark, str(bucket), bucket.state)
+    assert (stats.files_unchanged, stats.files_changed) == (1, 0)
+    assert store(spark, bucket).read("emails").count() == 1
+    assert_whole(spark, bucket)
+
+
+@pytest.mark.parametrize("compaction_first", [True, False])
+def test_run_during_compaction(spark, bucket, monkeypatch, compaction_first):
+    bucket.put(MAIL_A, "x.eml")
+    ingest(spark, str(bucket), bucket.state)
+    bucket.put(MAIL_B, "y.eml")
+    s = store(spark, bucket)
+    original = s.commit
+    if compaction_first:  # the run has recovered, but not committed, when the compaction ends
+        publish = plan._Run._commit
+
+        def late(self):
+            monkeypatch.setattr(plan._Run, "_commit", publish)
+            s.compact()
+            publish(self)
+
+        monkeypatch.setattr(plan._Run, "_commit", late)
+        with pytest.raises(ConcurrentRun):
+            ingest(spark, str(bucket), bucket.state)
+    else:
+
+        def overtaken(*args, **kwargs):
+            ingest(spark, str(bucket), bucket.state)
+            original(*args, **kwargs)
+
+        monkeypatch.setattr(s, "commit", overtaken)
+        with pytest.raises(ConcurrentRun):
+            s.compact()
+    ingest(spark, str(bucket), bucket.state)
+    assert store(spark, bucket).read("emails").count() == 2
+    assert_whole(spark, bucket)
+
+
 def test_compaction_keeps_the_state(spark, bucket):
     realistic(bucket)
     ingest(spark, str(bucket), bucket.state)

@@ -8,9 +8,11 @@ import duckdb
 import pytest
 
 import __spark_entry__ as driver
+from lettermill.catalog import load_all
 
 DATA = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, SQL = driver.queries(), driver.oracle_sql()
+REGISTRY = load_all()
+QUERIES, SQL = ({n: e.run for n, e in REGISTRY.items()}, {n: e.sql for n, e in REGISTRY.items()})
 
 
 @pytest.fixture(scope="module")
