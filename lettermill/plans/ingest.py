@@ -293,8 +293,16 @@ class _Run:
 
         big = result.raw_read("big_mbox", [first])
         if big is not None:
-            messages = read_large_mboxes(self.spark, big, f"{self.work}/mbox")
+            messages, unread = read_large_mboxes(
+                big, max(1, big.count()), lambda name, rows: self._scratch(f"mbox-{name}", rows)
+            )
             result.write(self._large_mbox_wave(messages))
+            # a mailbox that can't be read fails its source, not the run
+            why = unread.withColumnRenamed("error", "unread")
+            self.outcome = self._scratch("outcome", (
+                self.outcome.join(why, "source_id", "left")
+                .withColumn("error", F.coalesce("error", "unread")).drop("unread")
+            ))
 
         self.stats.files_failed = self.outcome.filter(F.col("error").isNotNull()).count()
         if self.stats.files_failed:

@@ -1,96 +1,115 @@
-"""Mailboxes too big for a row, read as splittable text.
+"""Mailboxes too big for a row, read as byte ranges of the file by any number of tasks.
 
-The text reader cuts a file at every line break followed by the separator word,
-so any number of tasks share one file. Message numbers come from the counts of
-the splits before, never from a sort of the whole file.
+A message belongs to the range that its separator starts in; its end is read from
+the bytes after the range. Message numbers come from the counts of the ranges
+before, never from a sort of the whole file.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from lettermill.operators.archive import RowBatcher
+from lettermill.sources.files import open_binary
+
+# A row cannot exceed 2 GiB; a message above this fails its source.
+MESSAGE_BYTES = 2_000_000_000
+_STEP = 1 << 20
+_KEYS = ["source_id", "namespace", "partition", "relpath", "internal_path"]
+_DDL = ", ".join(f"{c} string" for c in _KEYS) + ", slice_lo bigint, nth bigint, raw binary, error string"
+_ARROW = pa.schema(
+    [*[(c, pa.string()) for c in _KEYS], ("slice_lo", pa.int64()), ("nth", pa.int64()),
+     ("raw", pa.binary()), ("error", pa.string())]
+)
+
+
+def ranges(size: int, step: int) -> Iterator[tuple[int, int | None]]:
+    """(lo, hi) of a file in ranges of `step` bytes; the last one goes to the end of the file."""
+    starts = range(0, max(size, 1), max(step, 1))
+    for lo in starts:
+        yield lo, None if lo == starts[-1] else lo + max(step, 1)
 
-def _plain(uri):
-    """The same file named in different URI spellings compares equal."""
-    return F.regexp_replace(uri, "^file:/+", "/")
 
+def _message(part: bytes, last: bool) -> bytes:
+    """The message of what lies between two separators, as `operators.mbox` has it."""
+    if not part:
+        return b""
+    if last:
+        return part[1:-1] if part.endswith(b"\n\n") else part[1:]
+    return part[1:] if part.endswith(b"\n") else part[1:] + b"\n"
 
-def read_large_mboxes(spark: SparkSession, files: DataFrame, work: str) -> DataFrame:
-    """Messages of the mailboxes in `files`.
 
-    Input columns: source_id, namespace, partition, relpath, internal_path,
-    abspath and slice_lo (1 where the file does not start with a separator).
-    Output: the first five, `msg_idx` and `raw`, one row per message; a mailbox
-    without messages has one row with NULLs. `work` is a shared folder.
+def range_messages(path: str, lo: int, hi: int | None) -> Iterator[bytes]:
+    """Messages whose separator starts at lo or later and before hi."""
+    with open_binary(path) as f:
+        f.seek(max(lo - 1, 0))
+        data = f.read() if hi is None else f.read(hi - max(lo - 1, 0) + 5)
+        if lo == 0:
+            data = b"\n" + data
+        # data[0] is the byte before lo, so a separator found at i starts at lo + i
+        at = data.find(b"\nFrom ")
+        while at >= 0 and (hi is None or lo + at < hi):
+            following = data.find(b"\nFrom ", at + 1)
+            while following < 0 and (more := f.read(_STEP)):
+                seen = max(at + 1, len(data) - 5)
+                data += more
+                if len(data) - at > MESSAGE_BYTES:
+                    raise ValueError(f"message of more than {MESSAGE_BYTES} bytes does not fit a row")
+                following = data.find(b"\nFrom ", seen)
+            end = data.find(b"\n", at + 1)
+            stop = len(data) if following < 0 else following
+            yield _message(data[end:stop] if 0 <= end < stop else b"", following < 0)
+            at = following
+
+
+def read_large_mboxes(files: DataFrame, tasks: int, scratch) -> tuple[DataFrame, DataFrame]:
+    """Messages of the mailboxes in `files`, and the sources that could not be read.
+
+    Input: a row per range with the columns source_id, namespace, partition, relpath,
+    internal_path, abspath, slice_lo and slice_hi. Output: the first five, `msg_idx`
+    and `raw`, one row per message; a mailbox without messages has one row with
+    NULLs. Then source_id and error. `scratch` writes an intermediate table.
     """
-    # One path per file above the inline limit: bounded by total bytes / limit.
-    rows = files.select("source_id", "abspath").collect()
-    jvm = spark._jvm
-    named = []
-    for row in rows:
-        path = jvm.org.apache.hadoop.fs.Path(row.abspath)
-        encoded = path.toUri().getRawPath() if "://" not in row.abspath else path.toUri().toString()
-        named.append((row.source_id, encoded, row.abspath))
-    keys = spark.createDataFrame(named, "source_id string, uri string, abspath string")
-    reader = spark.read.option("lineSep", "\nFrom ")
-    texts = reader.text([r.abspath for r in rows]).select(
-        _plain(F.input_file_name()).alias("uri"),
-        F.input_file_block_start().alias("split_start"),
-        F.monotonically_increasing_id().alias("seq"),
-        F.col("value").cast("binary").alias("bytes"),
-    )
 
-    # Cut points depend on how the read was planned, so they are fixed by writing
-    # the records once; everything below reads that one copy.
-    texts.write.mode("overwrite").parquet(f"{work}/records")
-    texts = spark.read.parquet(f"{work}/records")
-    # One row per split of a file. Rows of a split carry consecutive numbers.
-    splits = texts.groupBy("uri", "split_start").agg(
-        F.count("*").alias("n"), F.min("seq").alias("first_seq")
-    )
-    before = Window.partitionBy("uri").orderBy("split_start").rowsBetween(
-        Window.unboundedPreceding, -1
-    )
-    splits.select(
-        "uri",
-        "split_start",
-        "first_seq",
-        F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"),
-        F.sum("n").over(Window.partitionBy("uri")).alias("total"),
-    ).write.mode("overwrite").parquet(f"{work}/splits")
-    # Read back, the size of the split list is known and decides the join.
-    offsets = spark.read.parquet(f"{work}/splits")
-    numbered = texts.join(offsets, ["uri", "split_start"]).withColumn(
-        "record_no", F.col("offset") + F.col("seq") - F.col("first_seq")
-    )
+    def read(part: dict) -> Iterator[dict]:
+        same = {k: part[k] for k in [*_KEYS, "slice_lo"]}
+        try:
+            for nth, raw in enumerate(range_messages(part["abspath"], part["slice_lo"], part["slice_hi"])):
+                yield same | {"nth": nth, "raw": raw}
+        except Exception as failure:  # of this source only
+            yield same | {"error": f"{type(failure).__name__}: {failure}"}
 
-    located = numbered.join(keys.drop("abspath"), "uri").join(
-        files.select("source_id", "namespace", "partition", "relpath", "internal_path",
-                     F.col("slice_lo").alias("preamble")),
-        "source_id",
-    )
-    # A record starts with the rest of its separator line; the reader consumed
-    # the line break before the next separator. That break is framing if it was
-    # a blank line of its own, else it ends the message.
-    record = F.decode("bytes", "ISO-8859-1")
-    line_end = F.instr(record, "\n")
-    body = F.when(line_end > 0, F.substring(record, line_end + 1, F.length(record))).otherwise("")
-    last = F.col("record_no") == F.col("total") - 1
-    framed = (
-        F.when(last, F.regexp_replace(body, r"(?<![^\n])\n\z", ""))
-        .when((body == "") | F.endswith(body, F.lit("\n")), body)
-        .otherwise(F.concat(body, F.lit("\n")))
-    )
-    messages = located.filter(F.col("record_no") >= F.col("preamble")).select(
-        "source_id", "namespace", "partition", "relpath", "internal_path",
-        (F.col("record_no") - F.col("preamble")).cast("int").alias("msg_idx"),
-        F.encode(framed, "ISO-8859-1").alias("raw"),
-    )
-    empty = files.join(messages.select("source_id").distinct(), "source_id", "left_anti").select(
-        "source_id", "namespace", "partition", "relpath", "internal_path",
-        F.lit(None).cast("int").alias("msg_idx"),
-        F.lit(None).cast("binary").alias("raw"),
+    def run(batches):
+        out = RowBatcher(_ARROW)
+        for batch in batches:
+            for part in batch.to_pylist():
+                for row in read(part):
+                    yield from out.add(row)
+        yield from out.flush()
+
+    wanted = files.select(*_KEYS, "abspath", "slice_lo", "slice_hi")
+    spread = wanted.repartition(tasks, "source_id", "slice_lo")
+    rows = scratch("records", spread.mapInArrow(run, _DDL))
+    errors = rows.filter(F.col("error").isNotNull()).groupBy("source_id").agg(F.min("error").alias("error"))
+    errors = scratch("unread", errors)
+    good = rows.filter(F.col("error").isNull()).join(errors.select("source_id"), "source_id", "left_anti")
+    # One row per range that holds a message.
+    before = Window.partitionBy("source_id").orderBy("slice_lo").rowsBetween(Window.unboundedPreceding, -1)
+    counts = good.groupBy("source_id", "slice_lo").agg(F.count(F.lit(1)).alias("n"))
+    offsets = scratch("offsets", counts.select(
+        "source_id", "slice_lo", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset")
+    ))
+    messages = good.join(offsets, ["source_id", "slice_lo"]).select(
+        *_KEYS, (F.col("offset") + F.col("nth")).cast("int").alias("msg_idx"), "raw"
     )
-    return messages.unionByName(empty)
+    none = offsets.select("source_id").unionByName(errors.select("source_id"))
+    empty = (
+        files.select(*_KEYS).distinct().join(none, "source_id", "left_anti")
+        .select(*_KEYS, F.lit(None).cast("int").alias("msg_idx"), F.lit(None).cast("binary").alias("raw"))
+    )
+    return messages.unionByName(empty), errors

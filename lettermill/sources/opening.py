@@ -3,7 +3,7 @@
 Each file is opened once. Its bytes are hashed while they are read, mail files
 and mailboxes leave as one row, small archives as one row per member. Files
 over `inline_bytes` never travel as one row: big archives leave as slices of
-their member list, big mailboxes as a pointer, both opened again in parallel.
+their member list, big mailboxes as byte ranges, both opened again in parallel.
 """
 
 from __future__ import annotations
@@ -36,6 +36,7 @@ from lettermill.schemas import (
     UNREADABLE,
 )
 from lettermill.sources.files import open_binary
+from lettermill.sources.large_mbox import ranges
 
 INLINE_BYTES = 256 * 1024 * 1024
 SLICE_BYTES = 64 * 1024 * 1024
@@ -124,11 +125,8 @@ def _open_one(file: dict, limits: ReadLimits) -> Iterator[dict]:
                 yield item | {"reason": refused.reason, "details": refused.details}
         else:
             sha = hash_stream(path)
-            with open_binary(path) as f:
-                head = f.read(8)
-            # slice_lo: the text before the first separator is not a message.
-            preamble = 0 if head.startswith(b"From ") else 1
-            yield item | {"row_type": BIG_MBOX, "abspath": path, "slice_lo": preamble}
+            for lo, hi in ranges(file["size_bytes"], limits.slice_bytes):
+                yield item | {"row_type": BIG_MBOX, "abspath": path, "slice_lo": lo, "slice_hi": hi}
         yield source | {"file_sha256": sha}
     except OSError as failure:
         yield item | {"reason": UNREADABLE, "details": str(failure)}

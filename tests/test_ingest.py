@@ -309,6 +309,43 @@ def test_killed_run_is_recovered(spark, bucket, monkeypatch, step):
         assert (calm.recovered_in_progress, calm.recovered_tmp_files, calm.files_unchanged) == (0, 0, 1)
 
 
+@pytest.mark.parametrize("slice_bytes", [7, 100, 1 << 20])
+def test_big_mailboxes_of_any_name(spark, bucket, slice_bytes):
+    names = ["_h.mbox", ".d.mbox", "Inbox [1].mbox", "{a,b}.mbox", "st*r?.mbox", "100%20.mbox", "plain.mbox"]
+    for i, name in enumerate(names):
+        bucket.put(make_mbox(MAIL_A, MAIL_B + b"%d\n" % i), name)
+    bucket.put(b"no separator\n\nat all", "none.mbox")
+    bucket.put(b"before\nFrom x\nFrom y\nbody\nFrom z", "odd.mbox")
+    tables = []
+    for inline in (1 << 20, 0):
+        state = f"{bucket.state}-{inline}"
+        stats = ingest(spark, str(bucket), state, RunOptions(inline_bytes=inline, slice_bytes=slice_bytes))
+        s = StateStore(spark, state)
+        lineage = s.read("lineage").select("email_id", "source_id", "internal_path")
+        skips = s.read("skipped").select("source_id", "internal_path", "reason")
+        tables.append([sorted(map(str, t.collect())) for t in (lineage, skips, s.read("emails").select("email_id"))])
+        assert stats.files_failed == 0
+    assert tables[0] == tables[1]
+    assert len(tables[0][2]) == 1 + len(names) + 2
+
+
+def test_big_mailbox_that_fails_is_one_source(spark, bucket, monkeypatch):
+    bucket.put(make_mbox(MAIL_A, MAIL_B), "a.mbox")
+    bucket.put(make_mbox(MAIL_C, b"long " * 500), "b.mbox")
+    original = plan.read_large_mboxes
+
+    def gone(files, *rest):  # b.mbox goes away between the passes
+        path = F.when(F.col("relpath") == "b.mbox", F.lit("/nowhere/b.mbox")).otherwise(F.col("abspath"))
+        return original(files.withColumn("abspath", path), *rest)
+
+    monkeypatch.setattr(plan, "read_large_mboxes", gone)
+    stats = ingest(spark, str(bucket), bucket.state, RunOptions(inline_bytes=0))
+    monkeypatch.undo()
+    assert (stats.files_failed, stats.emails_staged) == (1, 2)
+    assert_whole(spark, bucket)
+    assert ingest(spark, str(bucket), bucket.state).emails_staged == 2
+
+
 def test_second_writer_loses(spark, bucket, monkeypatch):
     bucket.put(MAIL_A, "x.eml")
     original = plan._Run._publish_mail
