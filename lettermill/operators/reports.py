@@ -19,9 +19,12 @@ def decision_counts(verdicts: DataFrame) -> DataFrame:
 
 def mail_counts(leaves: DataFrame, staged: DataFrame) -> DataFrame:
     """One row: emails staged by this run, and all other leaves."""
-    return leaves.agg(F.count("*").alias("leaves")).crossJoin(
-        staged.agg(F.count("*").alias("emails_staged"))
-    ).select("emails_staged", (F.col("leaves") - F.col("emails_staged")).alias("emails_relinked"))
+    counts = leaves.agg(F.count("*").alias("leaves"), F.lit(0).alias("staged")).unionByName(
+        staged.agg(F.lit(0).alias("leaves"), F.count("*").alias("staged"))
+    )
+    return counts.agg(
+        F.sum("staged").alias("emails_staged"), (F.sum("leaves") - F.sum("staged")).alias("emails_relinked")
+    )
 
 
 def summary_line(mode: str) -> Column:
