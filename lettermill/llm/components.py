@@ -23,7 +23,7 @@ def _large(links: DataFrame) -> DataFrame:
 
 def _small(links: DataFrame) -> DataFrame:
     """Smaller neighbours of each node, and the node, point to the least of them."""
-    down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    down = links.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
     least = down.groupBy("a").agg(F.min("b").alias("m"))
     moved = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionByName(least.select("a", F.col("m").alias("b"))).filter("a > b").distinct()

@@ -69,7 +69,8 @@ _MULTIPLIERS = mix64(np.arange(1, SKETCH + 1, dtype=np.uint64) * np.uint64(_SEED
 
 
 def sketch(s: np.ndarray) -> np.ndarray:
-    """The least value of the set under each function."""
+    """The least value of the set under each function; trees start with whole values, further down
+    and for estimates the low byte of each will do."""
     if len(s) > 4096:
         least = np.array([(s * m).min() for m in _MULTIPLIERS], np.uint64)
     else:
@@ -83,15 +84,17 @@ def _sketched(batches):
         texts = [t.encode() for t in batch.column("text").to_pylist()]
         for a, b in text_blocks([len(t) for t in texts]):
             sets = shingle_sets(texts[a:b])
+            minima = [sketch(s) if len(s) else None for s in sets]
             yield pa.record_batch(
                 [
                     batch.column("doc_id").slice(a, b - a),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
-                    pa.array([sketch(s) if len(s) else None for s in sets], pa.list_(pa.int64())),
+                    pa.array([m[:: SKETCH // TREES] if m is not None else None for m in minima], pa.list_(pa.int64())),
+                    pa.array([m.astype(np.int8) if m is not None else None for m in minima], pa.list_(pa.int8())),
                     pa.array([press.compress(t) for t in texts[a:b]], pa.binary()),
                 ],
-                names=["doc_id", "n_shingles", "body", "sketch", "packed"],
+                names=["doc_id", "n_shingles", "body", "roots", "sketch", "packed"],
             )
 
 
@@ -129,7 +132,7 @@ def _draw(*of) -> Column:
 
 
 def _branch(rows: DataFrame) -> DataFrame:
-    """node, key, sketch -> the children of each row: one function, and a second one for 1/PERCENT - 1 of the nodes."""
+    """node, key, sketch -> the children of each row: one function, and a second one for 100/PERCENT - 1 of the nodes."""
 
     def child(no: int) -> Column:
         k = F.pmod(_draw(F.col("node"), F.lit(no)), F.lit(SKETCH)).cast("int")
@@ -137,14 +140,13 @@ def _branch(rows: DataFrame) -> DataFrame:
 
     second = F.pmod(_draw(F.col("node"), F.lit(-1)), F.lit(1000)) < round(1000 * (100 / PERCENT - 1))
     children = F.when(second, F.array_distinct(F.array(child(0), child(1)))).otherwise(F.array(child(0)))
-    return rows.select(F.explode(children).alias("node"), "key")
+    return rows.select(F.explode(children).alias("node"), "key", "sketch")
 
 
-def _roots(classes: DataFrame) -> DataFrame:
-    """First children in every tree; trees start with functions of their own."""
-    step = SKETCH // TREES
-    firsts = F.array(*[_draw(F.lit(t), F.col("sketch")[t * step]) for t in range(TREES)])
-    return classes.select(F.explode(firsts).alias("node"), "key")
+def _first_children(classes: DataFrame) -> DataFrame:
+    """The rows of every tree after its first branching; trees start with functions of their own."""
+    firsts = F.array(*[_draw(F.lit(t), F.col("roots")[t]) for t in range(TREES)])
+    return classes.select(F.explode(firsts).alias("node"), "key", "sketch")
 
 
 def _neighbours(batches):
@@ -160,18 +162,17 @@ def _neighbours(batches):
         yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
-def _along_paths(rows: DataFrame, classes: DataFrame) -> DataFrame:
+def _along_paths(rows: DataFrame) -> DataFrame:
     """Pairs of neighbours in the order of the paths below each node. Ordering by range lets many
     tasks share a node; a pair that the edge of a task parts is met in another tree."""
     at = [F.pmod(_draw(F.col("node"), F.lit(f"step {i}")), F.lit(SKETCH)).cast("int") for i in range(STEPS)]
-    path = F.concat(*[F.lpad(F.hex(F.col("sketch")[k]), 16, "0") for k in at])
-    rows = rows.join(classes.select("key", "sketch"), "key").select("node", path.alias("path"), "key")
+    path = F.concat(*[F.lpad(F.hex(F.col("sketch")[k].cast("int") + 128), 2, "0") for k in at])
     n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ordered = rows.repartitionByRange(n, "node", "path").sortWithinPartitions("node", "path", "key")
-    return ordered.select("node", "key").mapInArrow(_neighbours, "a binary, b binary")
+    rows = rows.select("node", path.alias("path"), "key").repartitionByRange(n, "node", "path")
+    return rows.sortWithinPartitions("node", "path", "key").select("node", "key").mapInArrow(_neighbours, "a binary, b binary")
 
 
-def _candidates(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFrame]:
+def _candidates(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Pairs (a, b) to compare at this level, and the rows of its large nodes."""
     sizes = stored(
         rows.groupBy("node")
@@ -191,10 +192,10 @@ def _candidates(rows: DataFrame, classes: DataFrame) -> tuple[DataFrame, DataFra
         )
     )
     within = small.select(F.explode(pairs).alias("p")).select("p.a", "p.b")
-    large = stored(members.filter(F.col("n") > SMALL).select("node", "key", "pivot"), "large")
+    large = stored(members.filter(F.col("n") > SMALL).select("node", "key", "sketch", "pivot"), "large")
     to_pivot = large.filter("key <> pivot").select(F.least("key", "pivot").alias("a"), F.greatest("key", "pivot").alias("b"))
-    pairs = within.unionByName(to_pivot).unionByName(_along_paths(large.select("node", "key"), classes))
-    return pairs.distinct(), large.select("node", "key")
+    pairs = within.unionByName(to_pivot).unionByName(_along_paths(large))
+    return pairs.distinct(), large.select("node", "key", "sketch")
 
 
 def _with_sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
@@ -206,13 +207,21 @@ def _with_sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
 
 
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
-    """Pairs that sizes and sketches allow."""
+    """Pairs that sizes and sketches allow, with what their sketches share."""
     both = _with_sides(pairs, classes, "n_shingles", "sketch")
     equal = F.aggregate(
         F.zip_with("sketch_a", "sketch_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x
     )
     sizes = 100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b")
-    return both.filter(sizes & (equal >= SHARED)).select("a", "b")
+    return both.filter(sizes).select("a", "b", equal.alias("equal")).filter(F.col("equal") >= SHARED)
+
+
+def _likeliest(pairs: DataFrame) -> DataFrame:
+    """Of the pairs of each class the one whose sketches share most."""
+    ends = F.explode(F.array(F.struct(F.col("a").alias("own"), F.col("b").alias("other")),
+                             F.struct(F.col("b").alias("own"), F.col("a").alias("other"))))
+    best = pairs.select("equal", ends.alias("e")).groupBy("e.own").agg(F.max(F.struct("equal", "e.other")).alias("m"))
+    return best.select(F.least("own", "m.other").alias("a"), F.greatest("own", "m.other").alias("b")).distinct()
 
 
 def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -238,7 +247,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     rows = stored(
         texts.mapInArrow(
-            _sketched, "doc_id long, n_shingles long, body binary, sketch array<long>, packed binary"
+            _sketched,
+            "doc_id long, n_shingles long, body binary, roots array<long>, sketch array<tinyint>, packed binary",
         ),
         "sketches",
     )
@@ -249,13 +259,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .agg(
             F.min(F.coalesce("doc_id", top)).alias("least"),
             F.first("n_shingles").alias("n_shingles"),
+            F.first("roots").alias("roots"),
             F.first("sketch").alias("sketch"),
         )
         .withColumn("key", _key(F.col("least"), F.col("body"))),
         "classes",
     )
-    nodes = stored(_roots(classes), "paths")
-    found, large = _candidates(nodes, classes)
+    nodes = stored(_first_children(classes), "paths")
+    found, large = _candidates(nodes)
     found = stored(_plausible(found, classes, percent), "pairs")
     # every later candidate shares a first node with another class, but only plausible pairs need texts;
     # classes of large nodes may meet anew further down
@@ -268,15 +279,27 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .agg(F.first("packed").alias("text")),
         "bodies",
     )
-    links = roots = None
-    n_roots = -1
+
+    def connected(pairs: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, bool]:
+        """Components with the pairs that their full sets confirm, and whether there was one."""
+        sides = _with_sides(pairs.select("a", "b"), bodies, "text")
+        links = stored(sides.mapInArrow(_confirmed(percent), "a binary, b binary"), "confirmed")
+        if roots is not None:
+            if links.isEmpty():
+                return roots, False
+            links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
+        return components(links), True
+
+    # the likeliest pair of each class first: most others then lie in one component and need no texts
+    likeliest = stored(_likeliest(found), "pairs")
+    roots, _ = connected(likeliest, None)
+    tested = likeliest
     while True:
-        confirmed = _with_sides(found, bodies, "text").mapInArrow(_confirmed(percent), "a binary, b binary")
-        links = stored(confirmed if links is None else links.unionByName(confirmed), "confirmed")
-        roots = components(links)
-        before, n_roots = n_roots, roots.count()  # one node for each that is no root itself
-        if n_roots == before:
-            break
+        found = stored(_apart(found, roots).join(tested, ["a", "b"], "left_anti"), "pairs")
+        roots, more = connected(found, roots)
+        if not more and tested is not likeliest:
+            break  # a whole round has connected nothing
+        tested = tested.unionByName(found)
         label = roots.select(F.col("node").alias("key"), "root")
         open_rows = large.join(label, "key", "left").withColumn("root", F.coalesce("root", "key"))
         parts = open_rows.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n"))
@@ -287,9 +310,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             .select("node", F.col("most.root").alias("main"), (F.col("n") - F.col("most.n")).alias("rest")),
             "nodes",
         )
-        if not mixed.count():
+        if mixed.isEmpty():
             break
-        left = open_rows.join(mixed, "node")
+        left = stored(open_rows.join(mixed, "node"), "open")
         few = left.filter(F.col("rest") <= REST)
         rest = few.filter("root <> main").select("node", F.col("key").alias("x"), F.col("root").alias("root_x"))
         across = (
@@ -298,13 +321,10 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             .filter("root <> root_x")
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         )
-        nodes = left.filter(F.col("rest") > REST).select("node", "key")
-        for _ in range(2):
-            nodes = _branch(nodes.join(classes.select("key", "sketch"), "key"))
-        nodes = stored(nodes, "paths")
-        found, large = _candidates(nodes, classes)
-        found = found.unionByName(across).distinct()
-        found = stored(_plausible(_apart(found, roots), classes, percent), "pairs")
+        nodes = left.filter(F.col("rest") > REST).select("node", "key", "sketch")
+        nodes = stored(_branch(_branch(nodes)), "paths")
+        found, large = _candidates(nodes)
+        found = _plausible(found.unionByName(across).distinct(), classes, percent)
     label = roots.select(F.col("node").alias("key"), "root")
     # the first 8 bytes of a root are its doc_id
     root_id = F.conv(F.hex(F.substring("root", 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(-(1 << 63)))
