@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lettermill.llm.bpe_codec import encode_documents
-from lettermill.llm.common import unpacked
+from lettermill.llm.common import digest16, packed, unpacked, whole_text
 from lettermill.llm.line_dedup import dedup_lines
 from lettermill.llm.mixing import mix
 from lettermill.llm.near_dedup import near_duplicates
@@ -29,9 +29,12 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group; of rows that repeat doc_id and text, one."""
-    kept = near_duplicates(docs).filter("kept").select(F.col("doc_id").alias("kept_id")).distinct()
-    chosen = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    return chosen.dropDuplicates(["doc_id", "text"])
+    none = F.lit(-(1 << 63))  # stands for a missing doc_id
+    kept = near_duplicates(docs).filter("kept").select(F.coalesce("doc_id", none).alias("kept_id")).distinct()
+    rows = docs.select(packed(docs), F.coalesce("doc_id", none).alias("id"), digest16(whole_text()).alias("body"))
+    # one shuffle of texts, by id, serves the join and the repeated rows
+    chosen = rows.join(kept, F.col("id") == F.col("kept_id"), "left_semi").dropDuplicates(["id", "body"])
+    return unpacked(chosen, docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
