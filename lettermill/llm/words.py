@@ -7,7 +7,7 @@ from dataclasses import dataclass
 import numpy as np
 
 #: Bytes of text handled in one go by the operators that use this.
-BLOCK_BYTES = 1 << 21
+BLOCK_BYTES = 1 << 20
 _BLANK = np.zeros(256, bool)
 _BLANK[[32, *range(9, 14)]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
