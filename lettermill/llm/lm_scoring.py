@@ -165,9 +165,9 @@ def score_documents(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     table; other columns are ignored.
     """
     ids = target_ids.select(F.col("doc_id").cast("long").alias("target_id")).filter("target_id is not null").distinct()
-    flagged = (
+    flagged = (  # the ids grow with the corpus: the same join at every size
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-        .join(ids, F.col("doc_id") == F.col("target_id"), "left")
+        .join(ids.hint("merge"), F.col("doc_id") == F.col("target_id"), "left")
         .select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
     )
     tables = count_tables(flagged)
