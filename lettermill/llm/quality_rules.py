@@ -32,10 +32,15 @@ MIN_WORDS = 50
 MIN_GROUP = 200
 #: Share of a group that the estimate rests on, and concentration steps.
 CORE, STEPS = 0.75, 4
-#: Squared distance that rejects: far beyond chance (a chi-square of 4 exceeds it once in 1e12).
-CUTOFF = 64.0
-#: Least standard deviation per feature, so that a statistic that hardly varies can't reject.
-FLOOR = (0.1, 0.6, 1.0, 1.0)
+#: Squared distance that rejects: far beyond chance (a chi-square of 4 exceeds it once in 1e9).
+CUTOFF = 48.0
+#: Words added to each text in the shares of repeated lines and words, so that one line said twice
+#: is not much of a short text either.
+SMOOTH = 100
+#: Least standard deviation per feature, so that a statistic that hardly varies rejects only what
+#: differs much. Each stays well below what its statistic can reach over the square root of CUTOFF:
+#: any of them can reject alone.
+FLOOR = (0.1, 0.6, 0.03, 0.3)
 #: Bins: 64 for a factor of two of the distance, and 512 for one unit of a feature.
 D_BINS, F_BINS, BINS = 64, 512, 8192
 
@@ -102,8 +107,9 @@ def measure(docs: DataFrame, carry: bool) -> DataFrame:
             "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
             "word_length": F.log(F.greatest(F.col("word_chars"), F.lit(1)) / words),
             "symbols": F.log1p(1000 * F.col("n_symbols") / words),
-            "dup_lines": F.log1p(1000 * F.col("n_dup_lines") / words),
-            "repeats": F.log1p(100 * F.col("n_repeat_words") / words),
+            # in tenths; logarithms would level what repeats a lot with what repeats a little
+            "dup_lines": 10 * F.col("n_dup_lines") / (F.col("n_words") + SMOOTH),
+            "repeats": 10 * F.col("n_repeat_words") / (F.col("n_words") + SMOOTH),
         }
     )
 

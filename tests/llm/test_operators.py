@@ -233,6 +233,23 @@ def test_quality_rules(spark, edge, nothing):
     assert all(verdict[i] for i in range(330)) and not any(verdict[1000 + i] for i in range(60))
 
 
+def test_quality_rules_reject_what_mostly_repeats(spark):
+    plain = [(i, story(100 + i, 120), "en", "s") for i in range(300)]
+    # one line said twice in a short text, as clean texts have it
+    twice = [(400 + i, "\n".join([story(600 + i, 13), story(700 + i, 50), story(600 + i, 13)]), "en", "s") for i in range(10)]
+    lines, phrases, short = [], [], []
+    for i in range(10):
+        own = [story(1000 + 50 * i + k, 16) for k in range(14)]
+        lines.append((1000 + i, "\n".join(x for y in own for x in (y, f"the same line {i} said over again")), "en", "s"))
+        phrases.append((1100 + i, " ".join(f"wort{k}" for k in range(130)) + f" buy now and save at shop {i}" * 17, "en", "s"))
+        # lines of one word, too short to repeat three words
+        short.append((1200 + i, "\n".join(x for k in range(120) for x in (f"word{i}x{k}", "more")), "en", "s"))
+    rows = plain + twice + lines + phrases + short
+    out = {r.doc_id: r for r in judge(spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")).collect()}
+    assert not any(r.base_failed for r in out.values())
+    assert all(r.kept == (i < 1000) for i, r in out.items())
+
+
 def test_quality_estimate_matches_plain_minimum_covariance(spark):
     """The binned concentration steps against the same steps on sorted rows."""
     from lettermill.llm import quality_rules as q
