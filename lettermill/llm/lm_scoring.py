@@ -1,158 +1,99 @@
-"""Language-model scoring by cross-entropy difference.
-
-Two models of word pairs, of the target texts and of all others, share one vocabulary:
-words and pairs fall into slots by their hashes, so that the tables have one size
-whatever the corpus, and are counted over every text. The larger corpus is scaled to
-the smaller one. A text's score is the mean over its words of what a word costs under the
-target model less what it costs under the other; its own words are taken out of the
-counts first, so that no text vouches for itself.
+"""Scoring by cross-entropy difference.
+
+Two models of words and word pairs, one of target texts and one of all others, are counted
+over every text. The counts are tables keyed by 64-bit hashes that grow with the corpus; they
+meet the distinct pairs of each text in joins by pair, and losses are summed per text. The
+larger corpus is scaled to the smaller one. A text's score is the mean over its words of what
+a word costs under the target model less what it costs under the other; its own words are
+taken out of the counts first, so that no text vouches for itself.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.llm.common import whole_text
 from lettermill.llm.words import mix64, split_words, text_blocks
 from lettermill.storage import stored
 
-#: Slots of words and of pairs; together with BLOCK they bound what the driver gets.
-WORDS, PAIRS, BLOCK = 1 << 18, 1 << 21, 1 << 12
 #: Weight of pairs against single words, and what is added to each word's count.
 PAIR_WEIGHT, ADDED = 0.6, 0.5
 
+#: Per distinct pair of a text: hashes of the pair, of the word and of the word before (0 at the start
+#: of a text), and how often the text has the pair, the word, and the word before with a successor.
+PAIR = ("pair", "word", "before", "n", "own_word", "own_before")
+_PARSED = "doc_id long, target boolean, n_words long, " + ", ".join(
+    f"{c} array<{'long' if i < 3 else 'int'}>" for i, c in enumerate(PAIR)
+)
+
 
-@dataclass(slots=True)
-class Slots:
-    owner: np.ndarray
-    word: np.ndarray
-    before: np.ndarray  # slot of the word before, -1 at the start of a text
-    pair: np.ndarray
+def _times(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """How often the owner of each entry has that value."""
+    order = np.lexsort((value, owner))
+    o, v = owner[order], value[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (o[1:] != o[:-1]) | (v[1:] != v[:-1])
+    group = np.cumsum(new) - 1
+    out = np.empty(len(order), np.int64)
+    out[order] = np.bincount(group)[group] if len(order) else 0
+    return out
 
 
-def slots_of(texts: list[bytes]) -> tuple[Slots, np.ndarray]:
-    """Slots of the words of each text, and how many words each has."""
+def distinct_pairs(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
+    """How many words each text has, the columns of PAIR, and where each text starts in them."""
     w = split_words(texts, lower=True)
-    word = (w.hashes % np.uint64(WORDS)).astype(np.int64)
-    previous = np.concatenate([np.zeros(1, np.uint64), w.hashes])[: len(w.hashes)]
-    first = np.ones(len(word), bool)
+    first = np.ones(len(w.owner), bool)
     first[1:] = w.owner[1:] != w.owner[:-1]
-    pair = (mix64(previous * np.uint64(0xD6E8FEB86659FD93) + w.hashes) % np.uint64(PAIRS)).astype(np.int64)
-    before = np.where(first, -1, (previous % np.uint64(WORDS)).astype(np.int64))
-    return Slots(w.owner, word, before, np.where(first, -1, pair)), np.diff(w.first)
-
-
-def _emit(model: int, counts: np.ndarray):
-    for a in range(0, len(counts), BLOCK):
-        at = np.flatnonzero(counts[a : a + BLOCK])
-        if len(at):
-            yield model, a // BLOCK, at.astype(np.uint16).tobytes(), counts[a + at].astype(np.int64).tobytes()
-
-
-_COUNTS = "model int, block int, at binary, n binary"
-
-
-def _record(rows) -> pa.RecordBatch:
-    cols = list(zip(*rows, strict=True)) or [(), (), (), ()]
-    kinds = (pa.int32(), pa.int32(), pa.binary(), pa.binary())
-    return pa.record_batch([pa.array(c, k) for c, k in zip(cols, kinds, strict=True)], names=["model", "block", "at", "n"])
-
-
-def _counted(batches):
-    """Counts of a task: tables 0 and 1 hold the words of other and target texts, 2 and 3 the pairs."""
-    tables = [np.zeros(WORDS, np.int64), np.zeros(WORDS, np.int64), np.zeros(PAIRS, np.int64), np.zeros(PAIRS, np.int64)]
+    before = np.where(first, np.uint64(0), np.concatenate([np.zeros(1, np.uint64), w.hashes])[: len(w.hashes)])
+    pair = mix64(before * np.uint64(0xD6E8FEB86659FD93) + w.hashes)
+    order = np.lexsort((pair, w.owner))
+    new = np.ones(len(order), bool)
+    new[1:] = (pair[order][1:] != pair[order][:-1]) | (w.owner[order][1:] != w.owner[order][:-1])
+    at = order[new]  # one place of each distinct pair
+    own_before = np.where(first, 0, _times(w.owner, before))
+    hashes = [x.view(np.int64)[at] for x in (pair, w.hashes, before)]
+    counts = [x[at].astype(np.int32) for x in (_times(w.owner, pair), _times(w.owner, w.hashes), own_before)]
+    return np.diff(w.first), [*hashes, *counts], np.searchsorted(w.owner[at], np.arange(len(texts) + 1))
+
+
+def _parsed(batches):
     for batch in batches:
         texts = [t.encode() for t in batch.column("text").to_pylist()]
-        target = np.array(batch.column("target").to_pylist(), bool)
         for a, b in text_blocks([len(t) for t in texts]):
-            s, _ = slots_of(texts[a:b])
-            is_target = target[a:b][s.owner]
-            for model in (0, 1):
-                own = is_target == bool(model)
-                pairs = s.pair[own]
-                tables[model] += np.bincount(s.word[own], minlength=WORDS)
-                tables[2 + model] += np.bincount(pairs[pairs >= 0], minlength=PAIRS)
-    rows = [r for model, t in enumerate(tables) for r in _emit(model, t)]
-    for a in range(0, len(rows), 256):
-        yield _record(rows[a : a + 256])
-
-
-def _added(batches):
-    sums: dict[tuple[int, int], np.ndarray] = {}
-    for batch in batches:
-        for model, block, at, n in zip(*(batch.column(c).to_pylist() for c in ("model", "block", "at", "n")), strict=True):
-            own = sums.setdefault((model, block), np.zeros(BLOCK, np.int64))
-            own[np.frombuffer(at, np.uint16)] += np.frombuffer(n, np.int64)
-    rows = [(m, b, *next(_emit(m, t))[2:]) for (m, b), t in sums.items()]
-    for a in range(0, len(rows), 256):
-        yield _record(rows[a : a + 256])
-
-
-def count_tables(flagged: DataFrame) -> list[np.ndarray]:
-    """The four count tables of all texts: 2 x (WORDS + PAIRS) numbers at most."""
-    parts = flagged.select("text", "target").mapInArrow(_counted, _COUNTS)
-    sums = stored(parts.repartition("model", "block").mapInArrow(_added, _COUNTS), "lm-counts")
-    tables = [np.zeros(n, np.int64) for n in (WORDS, WORDS, PAIRS, PAIRS)]
-    for r in sums.collect():
-        tables[r.model][r.block * BLOCK + np.frombuffer(r.at, np.uint16).astype(np.int64)] += np.frombuffer(r.n, np.int64)
-    return tables
-
-
-def _own(owner: np.ndarray, slot: np.ndarray, slots: int) -> np.ndarray:
-    """How often the owner of each entry has that slot."""
-    _, back, n = np.unique(owner * slots + slot, return_inverse=True, return_counts=True)
-    return n[back]
-
-
-def losses(tables: list[np.ndarray], s: Slots, target: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """What each word costs under the other texts' model and under the target model."""
-    totals = [t.sum() for t in tables[:2]]
-    matched = min(totals)
-    chained = s.pair >= 0
-    pair, before = np.where(chained, s.pair, 0), np.where(chained, s.before, 0)
-    own_words = np.bincount(s.owner, minlength=len(target))[s.owner]
-    own_word = _own(s.owner, s.word, WORDS)
-    own_before = _own(s.owner, np.where(chained, s.before, WORDS), WORDS + 1)
-    own_pair = _own(s.owner, np.where(chained, s.pair, PAIRS), PAIRS + 1)
-    out = []
-    for model in (0, 1):
-        mine = target[s.owner] == bool(model)
-        scale = matched / max(totals[model], 1)
-        n = scale * (totals[model] - mine * own_words)
-        word = scale * (tables[model][s.word] - mine * own_word)
-        single = (word + ADDED) / (n + ADDED * WORDS)
-        # the word before counts as often as it has a successor, to within one per text
-        held = tables[model][before] - mine * own_before
-        both = np.minimum(tables[2 + model][pair] - mine * own_pair, held)
-        chain = np.where(held > 0, both / np.maximum(held, 1), 0.0)
-        weight = np.where(chained & (held > 0), PAIR_WEIGHT, 0.0)
-        out.append(-np.log(weight * chain + (1 - weight) * single))
-    return out[0], out[1]
-
-
-def _scored(shared):
-    def run(batches):
-        tables = shared.value
-        for batch in batches:
-            texts = [t.encode() for t in batch.column("text").to_pylist()]
-            target = np.array(batch.column("target").to_pylist(), bool)
-            for a, b in text_blocks([len(t) for t in texts]):
-                s, n = slots_of(texts[a:b])
-                sums = [np.bincount(s.owner, x, minlength=b - a) for x in losses(tables, s, target[a:b])]
-                with np.errstate(divide="ignore", invalid="ignore"):
-                    other, wanted = (np.where(n > 0, x / n, np.nan) for x in sums)
-                yield pa.record_batch(
-                    [batch.column("doc_id").slice(a, b - a), pa.array(n, pa.int64()),
-                     *(pa.array(x, pa.float64(), from_pandas=True) for x in (wanted, other, wanted - other))],
-                    names=["doc_id", "n_words", "loss_target", "loss_other", "score"],
-                )
-
-    return run
+            n, columns, bounds = distinct_pairs(texts[a:b])
+            lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(c)) for c in columns]
+            yield pa.record_batch(
+                [batch.column("doc_id").slice(a, b - a), batch.column("target").slice(a, b - a), pa.array(n, pa.int64()), *lists],
+                names=["doc_id", "target", "n_words", *PAIR],
+            )
+
+
+def _loss(model: int, totals: list[int], distinct: int) -> Column:
+    """What a pair's word costs under the other texts' model (0) or under the target model (1)."""
+    mine = (F.col("target") == bool(model)).cast("int")
+    scale = min(totals) / max(totals[model], 1)
+    n = scale * (totals[model] - mine * F.col("n_words"))
+    single = (scale * (F.col(f"word_{model}") - mine * F.col("own_word")) + ADDED) / (n + ADDED * distinct)
+    # the word before counts as often as it has a successor, to within one per text
+    held = F.coalesce(f"before_{model}", F.lit(0)) - mine * F.col("own_before")
+    both = F.least(F.col(f"pair_{model}") - mine * F.col("n"), held)
+    chained = (F.col("own_before") > 0) & (held > 0)
+    return -F.log(F.when(chained, PAIR_WEIGHT * both / held + (1 - PAIR_WEIGHT) * single).otherwise(single))
+
+
+def count_tables(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Counts of each pair with those of its words, and of each word; _0 in other texts, _1 in targets."""
+    sums = [F.sum(F.when(F.col("target") == bool(m), F.col("n")).otherwise(0)).alias(f"pair_{m}") for m in (0, 1)]
+    known = F.first("word").alias("word"), F.first("before").alias("before")
+    counted = stored(pairs.groupBy("pair").agg(*known, *sums), "lm-pairs")
+    words = stored(counted.groupBy("word").agg(*[F.sum(f"pair_{m}").alias(f"word_{m}") for m in (0, 1)]), "lm-words")
+    preceding = words.select(F.col("word").alias("before"), *[F.col(f"word_{m}").alias(f"before_{m}") for m in (0, 1)])
+    # merge joins: a table that is small today would be broadcast, and hot words are split by adaptive execution
+    wide = counted.join(words.hint("merge"), "word").join(preceding.hint("merge"), "before", "left")
+    return wide.drop("word", "before"), words
 
 
 def score_documents(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
@@ -170,14 +111,29 @@ def score_documents(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
         .join(ids.hint("merge"), F.col("doc_id") == F.col("target_id"), "left")
         .select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
     )
-    tables = count_tables(flagged)
-    shared = docs.sparkSession.sparkContext.broadcast(tables)
-    scored = flagged.mapInArrow(
-        _scored(shared), "doc_id long, n_words long, loss_target double, loss_other double, score double"
+    # numbered as they are written: rows may repeat a doc_id or lack it
+    rows = stored(flagged.mapInArrow(_parsed, _PARSED).withColumn("row", F.monotonically_increasing_id()), "lm-texts")
+    pairs = rows.select("row", "target", "n_words", F.inline(F.arrays_zip(*PAIR)))
+    counts, words = count_tables(pairs)
+    found = words.agg(F.sum("word_0"), F.sum("word_1"), F.count(F.lit(1))).first()
+    totals, distinct = [found[0] or 0, found[1] or 0], found[2]
+    if not min(totals):
+        null = F.lit(None).cast("double")
+        return rows.select("doc_id", "n_words", *[null.alias(c) for c in ("loss_target", "loss_other", "score")])
+    each = pairs.drop("word", "before").join(counts.hint("merge"), "pair")
+    losses = [(F.col("n") * _loss(m, totals, distinct)).alias(f"loss_{m}") for m in (0, 1)]
+    sums = each.select("row", *losses).groupBy("row").agg(F.sum("loss_0").alias("loss_0"), F.sum("loss_1").alias("loss_1"))
+    return (
+        rows.select("row", "doc_id", "n_words")
+        .join(sums.hint("merge"), "row", "left")
+        .select(
+            "doc_id",
+            "n_words",
+            (F.col("loss_1") / F.col("n_words")).alias("loss_target"),
+            (F.col("loss_0") / F.col("n_words")).alias("loss_other"),
+        )
+        .withColumn("score", F.col("loss_target") - F.col("loss_other"))
     )
-    if min(tables[0].sum(), tables[1].sum()):
-        return scored
-    return scored.withColumns({c: F.lit(None).cast("double") for c in ("loss_target", "loss_other", "score")})
 
 
 def op5_lm_scoring(spark, sf_dir: str) -> DataFrame:

@@ -181,6 +181,38 @@ def test_lm_scoring(spark, edge, nothing):
     assert score_documents(nothing, ids).count() == 0
 
 
+def test_lm_scoring_counts_every_word_apart(spark):
+    """Against plain counts, with more distinct words than any table of fixed size had slots."""
+    texts = [story(i, 40) + f" end{i % 3}" for i in range(40)] + ["", "one"]
+    texts += [" ".join(f"rare{i}x{k}" for k in range(100_000)) for i in range(4)]
+    target = {i for i in range(len(texts)) if i % 2}
+    words = [WORD.findall(low(t)) for t in texts]
+    single, pairs = [Counter(), Counter()], [Counter(), Counter()]
+    for i, w in enumerate(words):
+        single[i in target].update(w)
+        pairs[i in target].update(zip(w, w[1:]))  # noqa: B905
+    totals, distinct = [sum(c.values()) for c in single], len(single[0] | single[1])
+    ids = spark.createDataFrame([(i,) for i in target], "doc_id long")
+    out = {r.doc_id: r for r in score_documents(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), ids).collect()}
+    assert distinct > 1 << 18 and len(out) == len(texts)
+    for i, w in enumerate(words):
+        if not w:
+            assert out[i].score is None
+            continue
+        want, own, own_pairs, own_before = [], Counter(w), Counter(zip(w, w[1:])), Counter(w[:-1])  # noqa: B905
+        for m in (0, 1):
+            mine, scale, cost = (i in target) == bool(m), min(totals) / totals[m], 0.0
+            for k, x in enumerate(w):
+                p = (scale * (single[m][x] - mine * own[x]) + 0.5) / (scale * (totals[m] - mine * len(w)) + 0.5 * distinct)
+                held = single[m][w[k - 1]] - mine * own_before[w[k - 1]] if k else 0
+                if held > 0:
+                    both = pairs[m][w[k - 1], x] - mine * own_pairs[w[k - 1], x]
+                    p = 0.6 * min(both, held) / held + 0.4 * p
+                cost -= math.log(p)
+            want.append(cost / len(w))
+        assert np.allclose([out[i].loss_other, out[i].loss_target, out[i].score], [*want, want[1] - want[0]], atol=1e-9)
+
+
 def test_neighbours(spark, monkeypatch):
     rng = np.random.default_rng(3)
     centres = rng.normal(0, 4, (24, 16))
