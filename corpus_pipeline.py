@@ -28,9 +28,9 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group; of rows that repeat doc_id and text, one."""
+    """One document of each group linked at a similarity of 0.8 or more; of rows that repeat doc_id and text, one."""
     none = F.lit(-(1 << 63))  # stands for a missing doc_id
-    kept = near_duplicates(docs).filter("kept").select(F.coalesce("doc_id", none).alias("kept_id")).distinct()
+    kept = near_duplicates(docs, percent=80).filter("kept").select(F.coalesce("doc_id", none).alias("kept_id")).distinct()
     rows = docs.select(packed(docs), F.coalesce("doc_id", none).alias("id"), digest16(whole_text()).alias("body"))
     # one shuffle of texts, by id, serves the join and the repeated rows
     chosen = rows.join(kept, F.col("id") == F.col("kept_id"), "left_semi").dropDuplicates(["id", "body"])

@@ -7,13 +7,14 @@ compared exhaustively. Below a larger one the paths are laid out in order, all l
 once, and every class is compared with its NEXT neighbours, which share the longest
 path, and with a pivot. If that connects all but REST of them, these are compared with
 all others, else the node is branched on; rounds repeat until one connects nothing new.
-TREES independent trees make up for paths on which a pair parts. Candidates are confirmed on
+Independent trees make up for paths on which a pair parts. Candidates are confirmed on
 the full shingle sets; components come from distributed stars.
 """
 
 from __future__ import annotations
 
 import hashlib
+import math
 
 import numpy as np
 import pyarrow as pa
@@ -29,11 +30,8 @@ from lettermill.storage import stored
 SHINGLE = 5
 #: Links need this percentage of the union in common.
 PERCENT = 85
-#: Functions of a sketch, and how many a candidate pair must share: a pair at PERCENT shares
-#: fewer once in 10^6.
-SKETCH, SHARED = 64, 40
-#: Trees: a pair at PERCENT parts in all of them at the first level once in 10^6 (0.15^TREES).
-TREES = 8
+#: Functions of a sketch, and how often a pair may be lost for their number.
+SKETCH, LOST = 64, 1e-6
 SMALL = 16
 #: Once all but so many classes of a node are in one component, these few are compared with all others.
 REST = 64
@@ -42,6 +40,25 @@ NEXT, STEPS = 4, 12
 _SEED = 0xA0761D6478BD642F
 
 
+def shared_functions(percent: int) -> int:
+    """How many functions a candidate pair must share: a pair at `percent` shares fewer once in 1 / LOST."""
+    p, below, k = percent / 100, 0.0, 0
+    while k < SKETCH:
+        below += math.comb(SKETCH, k) * p**k * (1 - p) ** (SKETCH - k)
+        if below > LOST:
+            break
+        k += 1
+    return k
+
+
+def trees(percent: int) -> int:
+    """So many that a pair at `percent` parts in all of them at the first level once in 1 / LOST at most."""
+    n = 1
+    while (1 - percent / 100) ** n > LOST:
+        n += 1
+    return n
+
+
 def shingle_sets(texts: list[bytes]) -> list[np.ndarray]:
     """Sorted distinct hashes of the shingles of each text."""
     w = split_words(texts, lower=True)
@@ -78,24 +95,28 @@ def sketch(s: np.ndarray) -> np.ndarray:
     return least.view(np.int64)
 
 
-def _sketched(batches):
-    press = zstandard.ZstdCompressor(level=3)
-    for batch in batches:
-        texts = [t.encode() for t in batch.column("text").to_pylist()]
-        for a, b in text_blocks([len(t) for t in texts]):
-            sets = shingle_sets(texts[a:b])
-            minima = [sketch(s) if len(s) else None for s in sets]
-            yield pa.record_batch(
-                [
-                    batch.column("doc_id").slice(a, b - a),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
-                    pa.array([m[:: SKETCH // TREES] if m is not None else None for m in minima], pa.list_(pa.int64())),
-                    pa.array([m.astype(np.int8) if m is not None else None for m in minima], pa.list_(pa.int8())),
-                    pa.array([press.compress(t) for t in texts[a:b]], pa.binary()),
-                ],
-                names=["doc_id", "n_shingles", "body", "roots", "sketch", "packed"],
-            )
+def _sketched(n_trees: int):
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            texts = [t.encode() for t in batch.column("text").to_pylist()]
+            for a, b in text_blocks([len(t) for t in texts]):
+                sets = shingle_sets(texts[a:b])
+                minima = [sketch(s) if len(s) else None for s in sets]
+                roots = [m[:: SKETCH // n_trees][:n_trees] if m is not None else None for m in minima]
+                yield pa.record_batch(
+                    [
+                        batch.column("doc_id").slice(a, b - a),
+                        pa.array([len(s) for s in sets], pa.int64()),
+                        pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
+                        pa.array(roots, pa.list_(pa.int64())),
+                        pa.array([m.astype(np.int8) if m is not None else None for m in minima], pa.list_(pa.int8())),
+                        pa.array([press.compress(t) for t in texts[a:b]], pa.binary()),
+                    ],
+                    names=["doc_id", "n_shingles", "body", "roots", "sketch", "packed"],
+                )
+
+    return run
 
 
 def _confirmed(percent: int):
@@ -131,21 +152,21 @@ def _draw(*of) -> Column:
     return F.xxhash64(*of)
 
 
-def _branch(rows: DataFrame) -> DataFrame:
-    """node, key, sketch -> the children of each row: one function, and a second one for 100/PERCENT - 1 of the nodes."""
+def _branch(rows: DataFrame, percent: int) -> DataFrame:
+    """node, key, sketch -> the children of each row: one function, and a second one for 100/percent - 1 of the nodes."""
 
     def child(no: int) -> Column:
         k = F.pmod(_draw(F.col("node"), F.lit(no)), F.lit(SKETCH)).cast("int")
         return _draw(F.col("node"), k, F.col("sketch")[k])
 
-    second = F.pmod(_draw(F.col("node"), F.lit(-1)), F.lit(1000)) < round(1000 * (100 / PERCENT - 1))
+    second = F.pmod(_draw(F.col("node"), F.lit(-1)), F.lit(1000)) < round(1000 * (100 / percent - 1))
     children = F.when(second, F.array_distinct(F.array(child(0), child(1)))).otherwise(F.array(child(0)))
     return rows.select(F.explode(children).alias("node"), "key", "sketch")
 
 
-def _first_children(classes: DataFrame) -> DataFrame:
+def _first_children(classes: DataFrame, n_trees: int) -> DataFrame:
     """The rows of every tree after its first branching; trees start with functions of their own."""
-    firsts = F.array(*[_draw(F.lit(t), F.col("roots")[t]) for t in range(TREES)])
+    firsts = F.array(*[_draw(F.lit(t), F.col("roots")[t]) for t in range(n_trees)])
     return classes.select(F.explode(firsts).alias("node"), "key", "sketch")
 
 
@@ -213,7 +234,7 @@ def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
         F.zip_with("sketch_a", "sketch_b", lambda x, y: (x == y).cast("int")), F.lit(0), lambda s, x: s + x
     )
     sizes = 100 * F.least("n_shingles_a", "n_shingles_b") >= percent * F.greatest("n_shingles_a", "n_shingles_b")
-    return both.filter(sizes).select("a", "b", equal.alias("equal")).filter(F.col("equal") >= SHARED)
+    return both.filter(sizes).select("a", "b", equal.alias("equal")).filter(F.col("equal") >= shared_functions(percent))
 
 
 def _likeliest(pairs: DataFrame) -> DataFrame:
@@ -243,11 +264,14 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     rows too; a row without doc_id has the component of its group, null if no row of it has
     an id, and is not kept unless it is alone. An empty table gives an empty table; other
     columns are ignored. No cap on groups: what a level does not settle is branched on.
+    Below 50 percent a node would need more than two functions: a ValueError.
     """
+    if not 50 <= percent <= 100:
+        raise ValueError(f"percent must be from 50 to 100, not {percent}")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
     rows = stored(
         texts.mapInArrow(
-            _sketched,
+            _sketched(trees(percent)),
             "doc_id long, n_shingles long, body binary, roots array<long>, sketch array<tinyint>, packed binary",
         ),
         "sketches",
@@ -265,7 +289,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         .withColumn("key", _key(F.col("least"), F.col("body"))),
         "classes",
     )
-    nodes = stored(_first_children(classes), "paths")
+    nodes = stored(_first_children(classes, trees(percent)), "paths")
     found, large = _candidates(nodes)
     found = stored(_plausible(found, classes, percent), "pairs")
     # every later candidate shares a first node with another class, but only plausible pairs need texts;
@@ -322,7 +346,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
             .select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
         )
         nodes = left.filter(F.col("rest") > REST).select("node", "key", "sketch")
-        nodes = stored(_branch(_branch(nodes)), "paths")
+        nodes = stored(_branch(_branch(nodes, percent), percent), "paths")
         found, large = _candidates(nodes)
         found = _plausible(found.unionByName(across).distinct(), classes, percent)
     label = roots.select(F.col("node").alias("key"), "root")

@@ -45,6 +45,22 @@ def test_stages_keep_columns_and_take_effect(spark, edge, nothing):
         assert out.columns == columns and out.count() == 0
 
 
+def test_near_dedup_links_at_80_percent(spark):
+    rows = []
+    for i in range(120):  # spread changes of five-word shingles: 0.76 to 0.86 in common
+        words = [f"w{i}x{k}" for k in range(300)]
+        rows.append((2 * i, " ".join(words)))
+        for k in range(4 + i % 6):
+            words[10 + 30 * k] = f"new{k}"
+        rows.append((2 * i + 1, " ".join(words)))
+    sets = {i: set(zip(*[t.split()[k:] for k in range(5)])) for i, t in rows}  # noqa: B905
+    share = {i: len(sets[i] & sets[i + 1]) / len(sets[i] | sets[i + 1]) for i in range(0, 240, 2)}
+    want = sorted([*share, *(i + 1 for i in share if share[i] < 0.8)])
+    assert sum(0.8 <= x < 0.85 for x in share.values()) >= 20 and min(share.values()) < 0.8
+    got = corpus_pipeline.near_dedup(spark, spark.createDataFrame(rows, "doc_id long, text string"), DATA)
+    assert sorted(r.doc_id for r in got.collect()) == want
+
+
 def test_run_is_its_stages(spark):
     docs = spark.read.parquet(f"{DATA}/documents.parquet")
     for _, stage in corpus_pipeline.STAGES:
