@@ -6,7 +6,8 @@ that agree on the minimum go to the same child. Children of up to SMALL classes
 compared exhaustively. Below a larger one the paths are laid out in order, all levels at
 once, and every class is compared with its NEXT neighbours, which share the longest
 path, and with a pivot. If that connects all but REST of them, these are compared with
-all others, else the node is branched on; rounds repeat until one connects nothing new.
+all others, else the node is branched on; rounds repeat until one connects nothing new. What
+large nodes then hold apart is joined exactly, by the rarest shingles of each class.
 Independent trees make up for paths on which a pair parts. Candidates are confirmed on
 the full shingle sets; components come from distributed stars.
 """
@@ -253,6 +254,39 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
     return pairs.filter("root_a <> root_b").select("a", "b")
 
 
+def _exploded(batches):
+    unpress = zstandard.ZstdDecompressor()
+    for batch in batches:
+        keys, texts = batch.column("key"), batch.column("text")
+        for i in range(batch.num_rows):
+            own = shingle_sets([unpress.decompress(texts[i].as_py())])[0]
+            key = pa.array([keys[i].as_py()] * len(own), pa.binary())
+            yield pa.record_batch([key, pa.array(own.view(np.int64))], names=["key", "shingle"])
+
+
+def _by_rare_shingles(rest: DataFrame, bodies: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
+    """key, root -> all pairs of different roots that can reach `percent`. With shingles in one order,
+    rarest first, two sets that share enough meet within the first n - need + 1 of each, where need is
+    percent of n: no set of at least percent of n shingles shares less."""
+    texts = rest.join(bodies, "key").select("key", "text")
+    shingles = stored(texts.mapInArrow(_exploded, "key binary, shingle long"), "shingles")
+    often = stored(shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), "often")
+    # a shingle of one class only meets nothing, but takes a place at the front
+    ranked = shingles.join(often, "shingle").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("s"))
+    sized = ranked.join(classes.select("key", "n_shingles"), "key").join(rest, "key")
+    need = F.ceil(F.col("n_shingles") * percent / 100)
+    places = (F.size("s") - need + 1).cast("int")  # the n - size(s) single ones come first
+    front = stored(
+        sized.filter(places > 0).select("key", "root", "n_shingles", F.explode(F.slice("s", F.lit(1), places)).alias("e"))
+        .select("key", "root", "n_shingles", "e.shingle"),
+        "fronts",
+    )
+    x = front.select("shingle", F.col("key").alias("a"), F.col("root").alias("root_a"), F.col("n_shingles").alias("n_a"))
+    y = front.select("shingle", F.col("key").alias("b"), F.col("root").alias("root_b"), F.col("n_shingles").alias("n_b"))
+    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
+    return x.join(y, "shingle").filter("a < b AND root_a <> root_b").filter(sizes).select("a", "b").distinct()
+
+
 def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """Groups of texts that share `percent` of their five-word shingles, directly or through others.
 
@@ -291,6 +325,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     )
     nodes = stored(_first_children(classes, trees(percent)), "paths")
     found, large = _candidates(nodes)
+    first_large = large
     found = stored(_plausible(found, classes, percent), "pairs")
     # every later candidate shares a first node with another class, but only plausible pairs need texts;
     # classes of large nodes may meet anew further down
@@ -349,7 +384,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         nodes = stored(_branch(_branch(nodes, percent), percent), "paths")
         found, large = _candidates(nodes)
         found = _plausible(found.unionByName(across).distinct(), classes, percent)
+    # neighbours and pivots are not all pairs: nodes that are still mixed are joined exactly
     label = roots.select(F.col("node").alias("key"), "root")
+    open_rows = first_large.join(label, "key", "left").select("node", "key", F.coalesce("root", "key").alias("root"))
+    mixed = open_rows.groupBy("node").agg(F.min("root").alias("low"), F.max("root").alias("high")).filter("low <> high")
+    rest = stored(open_rows.join(mixed.select("node"), "node").select("key", "root").distinct(), "rest")
+    if not rest.isEmpty():
+        found = _by_rare_shingles(rest, bodies, classes, percent)
+        found = _plausible(found, classes, percent).join(tested, ["a", "b"], "left_anti")
+        roots, _ = connected(stored(found, "pairs"), roots)
+        label = roots.select(F.col("node").alias("key"), "root")
     # the first 8 bytes of a root are its doc_id
     root_id = F.conv(F.hex(F.substring("root", 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(-(1 << 63)))
     of_class = classes.join(label, "key", "left").select("body", F.coalesce(root_id, "least").alias("component"))

@@ -380,6 +380,25 @@ def test_near_dedup(spark, edge, nothing):
     assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == sorted(brute_groups(rows))
 
 
+def test_near_dedup_on_one_template(spark, monkeypatch):
+    """Different documents on one template with planted near copies, which neither neighbours nor branching meet."""
+    from lettermill.llm import near_dedup
+
+    monkeypatch.setattr(near_dedup, "_along_paths", lambda rows: rows.select(F.col("key").alias("a"), F.col("key").alias("b")).limit(0))
+    monkeypatch.setattr(near_dedup, "_branch", lambda rows, percent: rows.limit(0))
+    monkeypatch.setattr(near_dedup, "REST", 0)
+    template = [f"t{k}" for k in range(260)]
+    rows = [(i, " ".join(template + [f"own{i}x{k}" for k in range(40)])) for i in range(300)]
+    for i in (25, 32, 33, 54, 65):  # in no tree a small node holds both texts
+        words = rows[i][1].split()
+        words[20], words[90], words[150] = "x1", "x2", "x3"
+        rows.append((1000 + i, " ".join(words)))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    want = brute_groups(rows)
+    assert sorted((str(r.doc_id), r.n_shingles, str(r.component_id)) for r in got) == sorted(want)
+    assert sum(d != c for d, _, c in want) == 5
+
+
 def test_components_of_a_long_path(spark):
     links = spark.createDataFrame([(i, i + 1) for i in range(60)] + [(100, 101), (100, 100)], "a long, b long")
     got = {r.node: r.root for r in components(links).collect()}
