@@ -199,7 +199,7 @@ def bucket_rerun(spark, sf_dir):
     for number, stats in enumerate(runs, 1):
         row = stats.frame(spark).withColumn("run", F.lit(number))
         rows = row if rows is None else rows.unionByName(row)
-    return rows.drop("files_failed", "recovered_in_progress", "recovered_tmp_files")
+    return rows.drop("files_failed", "files_elsewhere", "recovered_in_progress", "recovered_tmp_files")
 
 
 @query(

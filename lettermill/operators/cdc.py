@@ -22,22 +22,52 @@ def with_source_id(scanned: DataFrame) -> DataFrame:
     return scanned.withColumn("source_id", identity.source_id("namespace", "partition", "relpath"))
 
 
-def current_ledger(events: DataFrame) -> DataFrame:
-    """Latest state of every source; `first_seen_at` is its earliest one.
+def fold(events: DataFrame) -> DataFrame:
+    """The latest event of every source, with its earliest `first_seen_at`.
 
     One partial aggregate per task, so a source with very many events costs one
-    row per task in the shuffle.
+    row per task in the shuffle. Folding what was folded before changes nothing.
     """
-    state = [c for c in _LEDGER_STATE if c not in ("source_id", "first_seen_at")]
-    # Two files of one scan can share an id; the later one in scan order stays.
-    order = F.struct("run_seq", "step", paths.scan_order_key("relpath").alias("path"))
+    names = [f.name for f in S.LEDGER_EVENTS.fields]
+    state = [c for c in names if c not in ("source_id", "first_seen_at")]
     latest = events.groupBy("source_id").agg(
-        F.max_by(F.struct(*state), order).alias("s"),
+        F.max_by(F.struct(*state), _event_order()).alias("s"),
         F.min("first_seen_at").alias("first_seen_at"),
     )
-    return latest.select(
-        *[F.col("s")[c].alias(c) if c in state else F.col(c) for c in _LEDGER_STATE]
-    )
+    return latest.select(*[F.col("s")[c].alias(c) if c in state else F.col(c) for c in names])
+
+
+def _event_order() -> Column:
+    # Two files of one scan can share an id; the later one in scan order stays.
+    return F.struct("run_seq", "step", paths.scan_order_key("relpath").alias("path"))
+
+
+def current_ledger(events: DataFrame) -> DataFrame:
+    """Latest state of every source; `first_seen_at` is its earliest one."""
+    return fold(events).select(*_LEDGER_STATE)
+
+
+def lookup_layers(scanned: DataFrame, layers: list[DataFrame]) -> DataFrame:
+    """`lookup` where the ledger lies in layers of events with one row per source each.
+
+    Each layer is joined as it lies, so a layer that is stored by source is not moved; the
+    latest of the rows found counts.
+    """
+    names = [f"layer_{i}" for i in range(len(layers))]
+    state = [c for c in _LEDGER_STATE if c != "first_seen_at"]
+    for name, layer in zip(names, layers, strict=True):
+        row = F.struct(
+            F.struct(_event_order().alias("order"), F.struct(*state).alias("state")).alias("event"), "first_seen_at"
+        )
+        scanned = scanned.join(layer.select("source_id", row.alias(name)), "source_id", "left")
+    if not names:
+        state_type = S.SOURCE_FILES.simpleString()
+        return scanned.withColumn("previous", F.lit(None).cast(state_type))
+    event, seen = ([F.col(n)[c] for n in names] for c in ("event", "first_seen_at"))
+    latest = F.greatest(*event) if len(names) > 1 else event[0]
+    first = F.least(*seen) if len(names) > 1 else seen[0]
+    fields = [(first if c == "first_seen_at" else latest["state"][c]).alias(c) for c in _LEDGER_STATE]
+    return scanned.withColumn("previous", F.when(latest.isNotNull(), F.struct(*fields))).drop(*names)
 
 
 def lookup(scanned: DataFrame, ledger: DataFrame) -> DataFrame:
@@ -91,8 +121,11 @@ def classify(
 
 def decide_by_metadata(scanned: DataFrame, ledger: DataFrame) -> DataFrame:
     """First step: `previous`, and `decision` where no content is needed."""
-    joined = lookup(scanned, ledger)
-    return joined.withColumn("decision", step_one(joined))
+    return decide_looked_up(lookup(scanned, ledger))
+
+
+def decide_looked_up(looked_up: DataFrame) -> DataFrame:
+    return looked_up.withColumn("decision", step_one(looked_up))
 
 
 def decide_by_content(hashed: DataFrame) -> DataFrame:

@@ -24,7 +24,7 @@ from lettermill.operators.unpack import (
     leaf_key,
     open_nested,
 )
-from lettermill.plans.state import LEDGER, StateStore
+from lettermill.plans.state import LEDGER, MERGE, ConcurrentRun, Part, StateStore
 from lettermill.sources.bucket import with_file_stats
 from lettermill.sources.large_mbox import read_large_mboxes
 from lettermill.sources.opening import ReadLimits, hash_files, open_slices, open_sources
@@ -44,6 +44,7 @@ class RunOptions:
     cut_hash: bool = True
     rewrite_mbox: bool = False
     fail_fast: bool = False          # raise after the commit if a source failed
+    merge_parts: int = MERGE         # merge parts of the tables when so many of one size have gathered; 0: never
     bytes_per_task: int = 128 * 1024 * 1024
     files_per_task: int = 20_000
     scan: dict = field(default_factory=dict)  # options of the bucket_scan format
@@ -65,6 +66,7 @@ class RunStats:
     files_unchanged: int = 0
     files_metadata_only: int = 0
     files_failed: int = 0
+    files_elsewhere: int = 0         # a live run is at work on them
     emails_staged: int = 0
     emails_relinked: int = 0
     skipped: int = 0
@@ -131,13 +133,10 @@ class _Run:
         self.store = StateStore(spark, state)
         self.stats = RunStats()
         self.added: dict[str, list[str]] = {}
-        self.leftovers: list[str] = []
+        self.broken: list[int] = []
 
     def execute(self) -> RunStats:
-        self.run = self.store.claim()
-        self.work = new_work_dir(self.spark, f"run-{self.run}")
-        started_at = datetime.now(timezone.utc).replace(microsecond=0)
-        self.now = F.lit(started_at)
+        self._begin()
         try:
             self._recover()
             self._decide()
@@ -154,11 +153,21 @@ class _Run:
             else:
                 self._commit()
         finally:
-            delete(self.spark, self.work)
+            self._end()
+        self._tidy()
         if self.stats.files_failed and self.options.fail_fast:
             raise SourcesFailed(f"{self.stats.files_failed} sources failed")
         return self.stats
 
+    def _begin(self) -> None:
+        self.run = self.store.claim()
+        self.work = new_work_dir(self.spark, f"run-{self.run}")
+        self.now = F.lit(datetime.now(timezone.utc).replace(microsecond=0))
+
+    def _end(self) -> None:
+        self.store.release(self.run)
+        delete(self.spark, self.work)
+
     # --- small helpers ------------------------------------------------------
 
     def _scratch(self, name: str, rows: DataFrame) -> DataFrame:
@@ -169,19 +178,22 @@ class _Run:
         return self.spark.read.schema(rows.schema).parquet(path)
 
     def _write(
-        self, table: str, rows: DataFrame, step: int | None = None, visible: bool = True,
-        partition_by: tuple[str, ...] = (),
+        self, table: str, rows: DataFrame, step: int | None = None, visible: bool = True
     ) -> DataFrame:
         part = f"run_id={self.run}" + ("" if step is None else f"/step={step}")
         path = self.store.path(table, part)
-        writer = rows.write.mode("overwrite")
-        if partition_by:
-            writer = writer.partitionBy(*partition_by)
-        writer.json(path) if table == "manifest" else writer.parquet(path)
+        self._save(table, rows, path)
         if visible:
             self.added.setdefault(table, []).append(part)
         return rows if table == "manifest" else self.spark.read.schema(rows.schema).parquet(path)
 
+    def _save(self, table: str, rows: DataFrame, path: str) -> None:
+        writer = rows.write.mode("overwrite")
+        if table == "manifest":
+            writer.partitionBy("namespace", "timestamp").json(path)
+        else:
+            writer.parquet(path)
+
     def _committed(self, table: str) -> DataFrame | None:
         return None if self.store.is_empty(table) else self.store.read(table)
 
@@ -189,40 +201,52 @@ class _Run:
 
     def _recover(self) -> None:
         # Only a run that broke off can have left anything to recover.
-        broken = [r for r in self.store.unfinished_runs() if r != self.run]
-        if not broken:
+        self.broken = self.store.broken_runs(self.run)
+        self.recovered = None
+        if not self.broken:
             return
-        self.leftovers = self.store.leftovers(self.run)
-        self.stats.recovered_tmp_files = len(self.leftovers)
-        rows = self._write(
-            LEDGER, cdc.recovered(self.store.source_files(), self.run), step=cdc.RECOVERED
-        )
-        self.stats.recovered_in_progress = rows.count()
+        self.stats.recovered_tmp_files = len(self.store.folders_of(self.broken))
+        rows = self.store.recovered(self.broken, self.run)
+        if rows is not None:
+            self.recovered = self._write(LEDGER, rows, step=cdc.RECOVERED)
+            self.stats.recovered_in_progress = self.recovered.count()
 
     def _decide(self) -> None:
         """Verdicts; only files that need something are kept."""
-        by_metadata = cdc.decide_by_metadata(
-            cdc.with_source_id(self.scanned), self.store.source_files()
+        looked_up = cdc.lookup_layers(
+            cdc.with_source_id(self.scanned), self.store.ledger_layers(self.recovered)
         )
+        by_metadata = cdc.decide_looked_up(looked_up).withColumn("elsewhere", F.lit(False))
+        others = [n for n in self.store.unfinished_runs() if n != self.run and n not in self.broken]
+        started = self.store.started(others)
+        if started is not None:
+            # What a live run has started, as it is now, is left to it.
+            same = started.groupBy("source_id", "size_bytes", "mtime_ns").agg(F.lit(True).alias("at_work"))
+            by_metadata = by_metadata.join(same, ["source_id", "size_bytes", "mtime_ns"], "left").withColumn(
+                "elsewhere", F.col("at_work").isNotNull() & ~F.col("decision").eqNullSafe(F.lit(S.UNCHANGED))
+            ).drop("at_work")
         # The scan is listed once: counted on the fly, and only what is not
         # settled as unchanged is kept.
         seen = Observation()
-        open_ = F.col("decision").isNull()
+        open_, here = F.col("decision").isNull(), ~F.col("elsewhere")
         kept = (
             by_metadata.observe(
                 seen,
                 F.count("*").alias("scanned"),
                 F.count_if(F.col("decision") == S.UNCHANGED).alias("unchanged"),
-                F.count_if(open_).alias("open"),
-                F.coalesce(F.sum(F.when(open_, F.col("size_bytes"))), F.lit(0)).alias("open_bytes"),
+                F.count_if("elsewhere").alias("elsewhere"),
+                F.count_if(open_ & here).alias("open"),
+                F.coalesce(F.sum(F.when(open_ & here, F.col("size_bytes"))), F.lit(0)).alias("open_bytes"),
             )
-            .filter(open_ | (F.col("decision") != S.UNCHANGED))
+            .filter(here & (open_ | (F.col("decision") != S.UNCHANGED)))
+            .drop("elsewhere")
             .withColumn("kind", paths.classify_item("relpath", self.options.cut_hash))
         )
         kept = self._scratch("by_metadata", kept)
         counts = seen.get
         self.stats.files_scanned = counts["scanned"]
         self.stats.files_unchanged = counts["unchanged"]
+        self.stats.files_elsewhere = counts["elsewhere"]
 
         # Content is read here only where the decision hangs on it; new files
         # are read, and hashed, when they are opened.
@@ -433,22 +457,70 @@ class _Run:
         ).select("m.*", "namespace", "timestamp")
         # One file per date directory; the rows of a hot directory are split over
         # tasks, at run time and by size.
-        where = ("namespace", "timestamp")
-        self._write("manifest", lines.hint("rebalance", *where), partition_by=where)
+        self._write("manifest", lines.hint("rebalance", "namespace", "timestamp"))
 
     def _commit(self) -> None:
         self.store.commit(
-            self.run, self.added, {"mode": self.options.mode, "stats": asdict(self.stats)}
-        )
-        self.store.wipe(self.leftovers)  # their runs have lost by now
+            self.run, self.added, {"mode": self.options.mode, "stats": asdict(self.stats)},
+            revoked=tuple(self.broken), rebase=self._rebase,
+        )
+        self.store.discard([self.run, *self.broken])  # what is not committed of them never will be
+
+    def _rebase(self, between: dict[str, list[Part]], added: dict[str, list[str]]) -> dict[str, list[str]]:
+        """This run's folders without what other runs have committed since it started."""
+        keys = {
+            "emails": ["email_id"],
+            "pool": ["email_id", "ext"],
+            "lineage": ["email_id", "source_id", "internal_path"],
+            "manifest": ["email_id", "namespace", "timestamp", "source", "internal_path"],
+            # a source that another run has finished is that run's
+            "skipped": ["source_id"],
+            LEDGER: ["source_id"],
+        }
+        self.attempt = getattr(self, "attempt", 0) + 1
+        out = dict(added)
+        for table, own in added.items():
+            base = LEDGER if table == "skipped" else table
+            if base not in between or not own:
+                continue
+            theirs = self._keyed(base, [p.path for p in between[base]]).select(*keys[table]).distinct()
+            mine = self._keyed(table, own)
+            kept = mine.join(theirs, keys[table], "left_anti").select(*self.store.load(table, own).columns)
+            before, after = self.store.load(table, own).count(), kept.count()
+            if before == after:
+                continue
+            part = f"run_id={self.run}.{self.attempt}"
+            self._save(table, kept, self.store.path(table, part))
+            out[table] = [part]
+            if table == "emails":
+                self.stats.emails_staged -= before - after
+                self.stats.emails_relinked += before - after
+        self.added = out
+        return out
+
+    def _keyed(self, table: str, paths: list[str]) -> DataFrame:
+        rows = self.store.load(table, paths)
+        if table == "manifest":
+            first = F.col("lineage")[0]
+            rows = rows.withColumns({"source": first["source"], "internal_path": first["internal_path"]})
+        return rows
+
+    def _tidy(self) -> None:
+        """Merge small parts, now that the run is visible; if another run does so too, one of them wins."""
+        chosen = self.store.due(self.options.merge_parts) if self.options.merge_parts else None
+        if chosen:
+            self.store.compact(chosen)
+        elif self.store.snapshot.number % max(self.options.merge_parts, MERGE) == 0:
+            self.store.clean()
 
     def _abort(self) -> None:
-        """Mark the files of this run failed, so that the next one retries them. A run that lost
-        against another one leaves what that one wrote about them."""
-        self.store.refresh()
-        if self.store.lost(self.run):
-            return
-        self._write(LEDGER, cdc.aborted(self._started_rows(), self.run), step=cdc.ABORTED, visible=False)
+        """Mark the files of this run failed, so that the next one retries them, and let go of what it wrote."""
+        self.added = {}
+        self._write(LEDGER, cdc.aborted(self._started_rows(), self.run), step=cdc.ABORTED)
+        try:
+            self._commit()
+        except ConcurrentRun:
+            return  # revoked: another run has taken its files over
 
 
 def export_pool(spark: SparkSession, state: str, target: str) -> None:

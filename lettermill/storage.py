@@ -55,16 +55,61 @@ def delete(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def create_exclusive(spark: SparkSession, path: str, text: str) -> None:
-    """Create a small file; fails if it is there already."""
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file, over one that is there."""
     fs, p = _fs(spark, path)
-    out = fs.create(p, False)
+    out = fs.create(p, True)
     try:
         out.write(bytearray(text.encode("utf-8")))
     finally:
         out.close()
 
 
+def put_if_absent(spark: SparkSession, path: str, text: str) -> bool:
+    """Put a finished small file in place, unless one is there already: False then.
+
+    The file is written aside and moved without overwriting, so no reader ever sees half of
+    it, and of two writers one wins. Local files are linked, since a local rename overwrites.
+    """
+    aside = f"{path}.{uuid.uuid4().hex}.tmp"
+    write_text(spark, aside, text)
+    fs, p = _fs(spark, path)
+    _, a = _fs(spark, aside)
+    jvm = spark._jvm
+    try:
+        if fs.getUri().getScheme() == "file":
+            files = jvm.java.nio.file.Files
+            files.createLink(_local(jvm, fs, p), _local(jvm, fs, a))
+        else:
+            context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(p.toUri(), spark._jsc.hadoopConfiguration())
+            none = spark._sc._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+            none[0] = jvm.org.apache.hadoop.fs.Options.Rename.NONE
+            context.rename(a, p, none)
+        return True
+    except Exception:
+        if fs.exists(p):
+            return False
+        raise
+    finally:
+        fs.delete(a, False)
+
+
+def _local(jvm, fs, path):
+    return jvm.java.io.File(fs.makeQualified(path).toUri().getPath()).toPath()
+
+
+def modified(spark: SparkSession, path: str) -> int | None:
+    """When a file was written, in ms by the clock of its file system; None if it is missing."""
+    fs, p = _fs(spark, path)
+    return fs.getFileStatus(p).getModificationTime() if fs.exists(p) else None
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    """Bytes below a folder."""
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0
+
+
 def read_text(spark: SparkSession, path: str) -> str:
     fs, p = _fs(spark, path)
     stream = fs.open(p)

@@ -17,6 +17,7 @@ from pyspark.sql.streaming import StreamingQuery
 from lettermill import schemas as S
 from lettermill.operators import cdc
 from lettermill.plans.ingest import RunOptions, RunStats, ingest_scanned, scan_bucket
+from lettermill.plans.state import ConcurrentRun
 from lettermill.storage import children, exists
 
 CADENCE = "15 minutes"
@@ -33,6 +34,17 @@ def _start(
     return writer.trigger(**trigger).start()
 
 
+def _ingest_batch(batch: DataFrame, state: str, options: RunOptions, attempts: int = 3) -> RunStats:
+    """A run that another one revoked is repeated: the stream goes on."""
+    while True:
+        try:
+            return ingest_scanned(batch.sparkSession, batch, state, options)
+        except ConcurrentRun:
+            attempts -= 1
+            if not attempts:
+                raise
+
+
 def ingest_stream(
     spark: SparkSession,
     bucket: str,
@@ -49,7 +61,7 @@ def ingest_stream(
     passes = scan_bucket(spark, bucket, options.scan, stream=True)
 
     def each(batch: DataFrame, number: int) -> None:
-        on_run(ingest_scanned(batch.sparkSession, batch, state, options))
+        on_run(_ingest_batch(batch, state, options))
 
     return _start(passes, each, checkpoint, every)
 
@@ -74,7 +86,7 @@ def notified_ingest(
     without listing the bucket."""
 
     def each(batch: DataFrame, number: int) -> None:
-        on_run(ingest_scanned(batch.sparkSession, latest_notice(batch), state, options))
+        on_run(_ingest_batch(latest_notice(batch), state, options))
 
     return _start(notices, each, checkpoint, every)
 

@@ -346,19 +346,88 @@ def test_big_mailbox_that_fails_is_one_source(spark, bucket, monkeypatch):
     assert ingest(spark, str(bucket), bucket.state).emails_staged == 2
 
 
-def test_second_writer_loses(spark, bucket, monkeypatch):
+def test_second_writer_adds_what_is_left(spark, bucket, monkeypatch):
+    """Another process, whose files this run can't see at work, takes the same file and ends first."""
     bucket.put(MAIL_A, "x.eml")
-    original = plan._Run._publish_mail
+    bucket.put(make_zip([("b.eml", MAIL_B), ("n.png", b"x")]), "f.zip")
+    original, started = plan._Run._publish_mail, StateStore.started
 
     def overtaken(self):
         monkeypatch.setattr(plan._Run, "_publish_mail", original)
+        monkeypatch.setattr(StateStore, "started", lambda self, runs: None)
+        bucket.put(MAIL_C, "late.eml")
         ingest(spark, str(bucket), bucket.state)
+        monkeypatch.setattr(StateStore, "started", started)
         original(self)
 
     monkeypatch.setattr(plan._Run, "_publish_mail", overtaken)
-    with pytest.raises(ConcurrentRun):
+    stats = ingest(spark, str(bucket), bucket.state)
+    assert (stats.emails_staged, stats.emails_relinked) == (0, 2)
+    s = store(spark, bucket)
+    assert (s.read("emails").count(), s.read("lineage").count(), s.read("skipped").count(), s.manifest().count()) == (3, 3, 1, 3)
+    assert_whole(spark, bucket)
+    assert ingest(spark, str(bucket), bucket.state).files_unchanged == 3
+
+
+@pytest.mark.parametrize("merge_parts", [3, 0])
+def test_long_run_beside_short_ones(spark, bucket, monkeypatch, merge_parts):
+    bucket.put(make_mbox(MAIL_A, MAIL_B), "big.mbox")
+    original, seen = plan._Run._publish_mail, []
+
+    def overtaken(self):
+        monkeypatch.setattr(plan._Run, "_publish_mail", original)
+        for i in range(5):
+            bucket.put(MAIL_C + b"%d" % (i // 2), f"short{i}.eml")
+            bucket.put(MAIL_A, f"copy{i}.eml")
+            seen.append(ingest(spark, str(bucket), bucket.state, RunOptions(merge_parts=merge_parts)))
+        original(self)
+
+    monkeypatch.setattr(plan._Run, "_publish_mail", overtaken)
+    stats = ingest(spark, str(bucket), bucket.state, RunOptions(mode="backfill"))
+    assert [(s.files_new, s.files_elsewhere, s.files_unchanged) for s in seen] == [(2, 1, 2 * i) for i in range(5)]
+    assert (stats.files_new, stats.emails_staged, stats.emails_relinked) == (1, 1, 1)  # MAIL_A was committed meanwhile
+    s = store(spark, bucket)
+    assert (s.read("emails").count(), s.read("lineage").count(), s.manifest().count()) == (5, 12, 12)
+    assert_whole(spark, bucket)
+    calm = ingest(spark, str(bucket), bucket.state)
+    assert (calm.files_unchanged, calm.files_elsewhere, calm.recovered_in_progress) == (11, 0, 0)
+
+
+def test_torn_commit_files_are_passed_over(spark, bucket):
+    bucket.put(MAIL_A, "x.eml")
+    ingest(spark, str(bucket), bucket.state)
+    from pathlib import Path
+
+    commits = Path(bucket.state) / "commits"
+    for count, torn in enumerate(("", '{"number": 7', "[]"), 1):
+        newest = max(int(p.name[:10]) for p in commits.iterdir())
+        (commits / f"{newest + 1:010d}.json").write_text(torn)
+        s = store(spark, bucket)
+        assert s.read("emails").count() == count
+        bucket.put(MAIL_B + torn.encode(), f"y{newest}.eml")
+        assert ingest(spark, str(bucket), bucket.state).files_new == 1
+    assert store(spark, bucket).read("emails").count() == 4
+    assert not list(commits.glob("*.tmp"))
+    assert_whole(spark, bucket)
+
+
+def test_runs_of_other_processes_live_by_their_lease(spark, bucket, monkeypatch):
+    from lettermill.plans import state
+
+    bucket.put(MAIL_A, "x.eml")
+    break_at(monkeypatch, "_commit", Killed)
+    with pytest.raises(Killed):
         ingest(spark, str(bucket), bucket.state)
-    assert store(spark, bucket).read("emails").count() == 1
+    monkeypatch.undo()
+    monkeypatch.setattr(state, "_PROCESS", "another")
+    stats = ingest(spark, str(bucket), bucket.state)  # its claim is fresh: it may be at work
+    assert (stats.files_new, stats.files_elsewhere, stats.recovered_in_progress) == (0, 1, 0)
+    lost = StateStore(spark, bucket.state)
+    monkeypatch.setattr(state, "LEASE", -1)
+    stats = ingest(spark, str(bucket), bucket.state)
+    assert (stats.files_changed, stats.recovered_in_progress, stats.emails_staged) == (1, 1, 1)
+    with pytest.raises(ConcurrentRun):  # the revoked run was only slow
+        lost.commit(1, {}, {})
     assert_whole(spark, bucket)
 
 
@@ -385,53 +454,93 @@ def test_run_that_starts_late_does_not_destroy_the_other(spark, bucket, monkeypa
     assert_whole(spark, bucket)
 
 
-def test_run_that_lost_says_nothing_of_its_files(spark, bucket, monkeypatch):
-    bucket.put(MAIL_A, "x.eml")
-    original = plan._Run._commit
-
-    def overtaken(self):
-        monkeypatch.setattr(plan._Run, "_commit", original)
-        ingest(spark, str(bucket), bucket.state)
-        original(self)
-
-    monkeypatch.setattr(plan._Run, "_commit", overtaken)
-    with pytest.raises(ConcurrentRun):
-        ingest(spark, str(bucket), bucket.state)
-    stats = ingest(spark, str(bucket), bucket.state)
-    assert (stats.files_unchanged, stats.files_changed) == (1, 0)
-    assert store(spark, bucket).read("emails").count() == 1
-    assert_whole(spark, bucket)
-
-
 @pytest.mark.parametrize("compaction_first", [True, False])
 def test_run_during_compaction(spark, bucket, monkeypatch, compaction_first):
     bucket.put(MAIL_A, "x.eml")
     ingest(spark, str(bucket), bucket.state)
     bucket.put(MAIL_B, "y.eml")
+    bucket.put(MAIL_A, "x2.eml")
     s = store(spark, bucket)
-    original = s.commit
-    if compaction_first:  # the run has recovered, but not committed, when the compaction ends
+    if compaction_first:
         publish = plan._Run._commit
 
         def late(self):
             monkeypatch.setattr(plan._Run, "_commit", publish)
-            s.compact()
+            assert s.compact()
             publish(self)
 
         monkeypatch.setattr(plan._Run, "_commit", late)
-        with pytest.raises(ConcurrentRun):
-            ingest(spark, str(bucket), bucket.state)
+        ingest(spark, str(bucket), bucket.state)
     else:
+        original = s.commit
 
         def overtaken(*args, **kwargs):
             ingest(spark, str(bucket), bucket.state)
             original(*args, **kwargs)
 
         monkeypatch.setattr(s, "commit", overtaken)
-        with pytest.raises(ConcurrentRun):
-            s.compact()
+        assert s.compact()
+    assert ingest(spark, str(bucket), bucket.state).files_unchanged == 3
+    assert (store(spark, bucket).read("emails").count(), store(spark, bucket).read("lineage").count()) == (2, 3)
+    assert_whole(spark, bucket)
+
+
+def test_compaction_recovers_what_broke_off(spark, bucket, monkeypatch):
+    bucket.put(MAIL_A, "x.eml")
     ingest(spark, str(bucket), bucket.state)
-    assert store(spark, bucket).read("emails").count() == 2
+    bucket.put(MAIL_B, "y.eml")
+    break_at(monkeypatch, "_commit", Killed)
+    with pytest.raises(Killed):
+        ingest(spark, str(bucket), bucket.state)
+    monkeypatch.undo()
+    s = store(spark, bucket)
+    assert s.folders_of(s.unfinished_runs())
+    assert s.compact()
+    s = store(spark, bucket)
+    assert not s.unfinished_runs() and not (folders(bucket) & {(t, "run_id=2") for t in s.snapshot.tables})
+    s.clean(keep=1)
+    assert {r.relpath: r.status for r in s.source_files().collect()} == {"x.eml": S.DONE, "y.eml": S.DISCOVERED}
+    assert folders(bucket) == {(t, p.path.split("/")[0]) for t, parts in s.snapshot.tables.items() for p in parts}
+    stats = ingest(spark, str(bucket), bucket.state)
+    assert (stats.files_changed, stats.emails_staged, stats.recovered_in_progress) == (1, 1, 0)
+    assert_whole(spark, bucket)
+
+
+def folders(bucket) -> set:
+    from pathlib import Path
+
+    return {(p.parent.name, p.name) for p in Path(bucket.state).glob("tables/*/run_id=*")}
+
+
+def test_parts_merge_by_themselves_and_old_ones_go(spark, bucket):
+    runs = 8
+    for i in range(runs):
+        bucket.put(MAIL_A + b"%d" % i, f"m{i}.eml")
+        stats = ingest(spark, str(bucket), bucket.state, RunOptions(merge_parts=3))
+        assert (stats.files_new, stats.files_unchanged, stats.emails_staged) == (1, i, 1)
+    s = store(spark, bucket)
+    assert all(len(parts) <= 5 for parts in s.snapshot.tables.values())
+    assert any(p.buckets for p in s.parts("ledger_events"))
+    assert sum(p.buckets > 0 for p in s.parts("ledger_events")) == 1
+    # a run without changes does not move the ledger that is stored in buckets
+    scanned = plan.scan_bucket(spark, str(bucket))
+    from lettermill.operators import cdc
+
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        layer = next(layer for layer in s.ledger_layers())
+        text = cdc.lookup_layers(cdc.with_source_id(scanned), [layer])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in text and "Bucketed: true" in text
+    join = text[text.index("SortMergeJoin") :]
+    assert join.count("Exchange hashpartitioning(source_id") == 1  # the scan's side only
+    s.compact()
+    s.clean(keep=1)
+    s = store(spark, bucket)
+    assert folders(bucket) == {(t, p.path.split("/")[0]) for t, parts in s.snapshot.tables.items() for p in parts}
+    assert len(s._commits()) == 1 and len(s._claims()) == 0
+    assert ingest(spark, str(bucket), bucket.state).files_unchanged == runs
     assert_whole(spark, bucket)
 
 
@@ -449,7 +558,7 @@ def test_compaction_keeps_the_state(spark, bucket):
     assert {t: sorted(map(str, s.read(t).collect())) for t in before} == before
     assert sorted(map(str, s.source_files().collect())) == ledger
     assert s.manifest().count() == manifest
-    assert all(len(p) == 1 for t, p in s.snapshot.tables.items() if t != "manifest")
+    assert all(len(p) == 1 for p in s.snapshot.tables.values())
     assert ingest(spark, str(bucket), bucket.state).files_unchanged == 6
     bucket.put(MAIL_D + b"!", "last.eml")
     assert ingest(spark, str(bucket), bucket.state).emails_staged == 1
