@@ -37,6 +37,7 @@ def load_all() -> dict[str, Entry]:
         containers,
         dedup,
         identity,
+        runs,
         state,
         streams,
     )

@@ -136,12 +136,28 @@ class _Run:
         self.broken: list[int] = []
 
     def execute(self) -> RunStats:
-        self._begin()
+        self.open()
+        self.work_off()
+        return self.stats
+
+    def open(self) -> None:
+        """Claim a run, decide what is work, and say so."""
+        self.run = self.store.claim()
+        self.work = new_work_dir(self.spark, f"run-{self.run}")
+        self.now = F.lit(datetime.now(timezone.utc).replace(microsecond=0))
         try:
             self._recover()
             self._decide()
             if self.n_candidates:
                 self._write(LEDGER, self._started_rows(), step=cdc.STARTED, visible=False)
+        except BaseException:
+            self.close()
+            raise
+
+    def work_off(self) -> None:
+        """Do the work and commit."""
+        try:
+            if self.n_candidates:
                 try:
                     self._process()
                     self._finish()
@@ -153,18 +169,13 @@ class _Run:
             else:
                 self._commit()
         finally:
-            self._end()
+            self.close()
         self._tidy()
         if self.stats.files_failed and self.options.fail_fast:
             raise SourcesFailed(f"{self.stats.files_failed} sources failed")
-        return self.stats
-
-    def _begin(self) -> None:
-        self.run = self.store.claim()
-        self.work = new_work_dir(self.spark, f"run-{self.run}")
-        self.now = F.lit(datetime.now(timezone.utc).replace(microsecond=0))
 
-    def _end(self) -> None:
+    def close(self) -> None:
+        """The run is over; without a commit it counts as broken off."""
         self.store.release(self.run)
         delete(self.spark, self.work)
 
