@@ -16,7 +16,7 @@ from lettermill.catalog.derived import (
     table,
 )
 from lettermill.functions import identity
-from lettermill.plans.ingest import RunOptions, export_pool, ingest
+from lettermill.plans.ingest import RunOptions, export_pool, ingest, scan_bucket
 from lettermill.plans.state import StateStore
 from lettermill.sources.opening import hash_files
 from lettermill.storage import new_work_dir
@@ -124,10 +124,8 @@ def bucket_scan_files(spark, sf_dir):
     """A bucket written out and listed again, from one day on."""
     root = f"{new_work_dir(spark, 'scan')}/bucket"
     write_bucket(bucket_files(spark, sf_dir).withColumn("content", F.col("raw")), root)
-    scan = spark.read.format("bucket_scan").option("min_partition", "timestamp=2024-07-17")
-    return scan.option("slices", "2").load(root).select(
-        "namespace", "partition", "relpath", "size_bytes"
-    )
+    columns = ["namespace", "partition", "relpath", "size_bytes"]
+    return scan_bucket(spark, root, {"min_partition": "timestamp=2024-07-17"}).select(*columns)
 
 
 @query(

@@ -25,7 +25,7 @@ from lettermill.operators.unpack import (
     open_nested,
 )
 from lettermill.plans.state import LEDGER, MERGE, ConcurrentRun, Part, StateStore
-from lettermill.sources.bucket import with_file_stats
+from lettermill.sources.listing import Wanted, list_bucket, with_stats
 from lettermill.sources.large_mbox import read_large_mboxes
 from lettermill.sources.opening import ReadLimits, hash_files, open_slices, open_sources
 from lettermill.storage import BLOB_SETTINGS, delete, new_work_dir, session_settings
@@ -99,20 +99,31 @@ def ingest(
     Backfill and incremental are the same plan: the ledger alone decides what
     is work.
     """
-    return ingest_scanned(spark, scan_bucket(spark, bucket, options.scan), state, options)
+    work = new_work_dir(spark, "listing")
+    try:
+        return ingest_scanned(spark, scan_bucket(spark, bucket, options.scan, work=work), state, options)
+    finally:
+        delete(spark, work)
 
 
-def scan_bucket(spark: SparkSession, bucket: str, scan: dict | None = None, stream: bool = False) -> DataFrame:
+def scan_bucket(
+    spark: SparkSession, bucket: str, scan: dict | None = None, stream: bool = False, work: str | None = None
+) -> DataFrame:
     """Files of a bucket with size and time, as a batch or as a stream.
 
     Directories are listed by name; size and time are then looked up in equal
     shares of the files. More tasks than a few per core would each see a handful.
+    A batch is listed at once, in rounds, below `work`.
     """
+    scan = scan or {}
+    tasks = int(scan.get("tasks", 4 * spark.sparkContext.defaultParallelism))
+    if not stream:
+        only = frozenset(n.strip() for n in scan.get("namespaces", "").split(",") if n.strip())
+        wanted = Wanted(scan.get("min_partition"), scan.get("max_partition"), only)
+        return with_stats(list_bucket(spark, bucket, work or new_work_dir(spark, "listing"), wanted, tasks), tasks)
     sources.register(spark)
-    tasks = 4 * spark.sparkContext.defaultParallelism
-    options = {"tasks": tasks, "names_only": "true"} | (scan or {})
-    reader = (spark.readStream if stream else spark.read).format("bucket_scan").options(**options)
-    return with_file_stats(reader.load(bucket), tasks)
+    options = {"tasks": tasks, "names_only": "true"} | scan
+    return with_stats(spark.readStream.format("bucket_scan").options(**options).load(bucket), tasks)
 
 
 def ingest_scanned(

@@ -4,7 +4,8 @@
 
 Layout: `<root>/<namespace>/timestamp=YYYY-MM-DD/**`. The driver lists the two
 fixed directory levels; the walk and the per-file stat run on executors, one
-task or more per date directory.
+task or more per date directory. `listing.list_bucket` lists buckets in which
+even these levels are too many for one process; runs use it.
 
 Options
   min_partition, max_partition   bounds on the date directory name (inclusive)
@@ -16,7 +17,7 @@ Options
   tasks                          upper bound on the number of tasks (default:
                                  one per part); parts are dealt out evenly
   names_only                     true: list names and leave size and time of
-                                 local files to `with_file_stats`, which shares
+                                 local files to `listing.with_stats`, which shares
                                  that work out file by file
 
 As a stream, every trigger is one full pass over the bucket: files may appear
@@ -32,7 +33,6 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
-from pyspark.sql import DataFrame
 from pyspark.sql.datasource import (
     DataSource,
     DataSourceReader,
@@ -43,7 +43,7 @@ from pyspark.sql.types import StructType
 
 from lettermill.functions.paths import PARTITION_PATTERN
 from lettermill.schemas import SCANNED
-from lettermill.sources.files import file_stat, regular_files, root_kind, subdirs
+from lettermill.sources.files import regular_files, root_kind, subdirs
 
 _PARTITION = re.compile(PARTITION_PATTERN)
 _ROWS_PER_BATCH = 4096
@@ -146,35 +146,6 @@ def _read_part(part: DateDirectory) -> Iterator[pa.RecordBatch]:
         yield _batch(part, rows)
 
 
-def with_file_stats(names: DataFrame, tasks: int) -> DataFrame:
-    """Size and time for rows listed by name only, without files that are gone
-    or not regular. Rows are shared out by path: however full one directory is,
-    no task looks at more than its share of the files."""
-
-    def run(batches):
-        for batch in batches:
-            paths = batch.column("abspath").to_pylist()
-            sizes, times = batch.column("size_bytes").to_pylist(), batch.column("mtime_ns").to_pylist()
-            kept = []
-            for i, path in enumerate(paths):
-                if sizes[i] is None:
-                    found = file_stat(path)
-                    if found is None:
-                        continue
-                    sizes[i], times[i] = found
-                kept.append(i)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    *[batch.column(c).take(pa.array(kept, pa.int64())) for c in _ARROW.names[:4]],
-                    pa.array([sizes[i] for i in kept], pa.int64()),
-                    pa.array([times[i] for i in kept], pa.int64()),
-                ],
-                schema=_ARROW,
-            )
-
-    return names.select(*_ARROW.names).repartition(tasks, "abspath").mapInArrow(run, SCANNED)
-
-
 class BucketReader(DataSourceReader):
     def __init__(self, options: dict):
         self.options = options
