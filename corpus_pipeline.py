@@ -18,32 +18,41 @@ from lettermill.storage import new_work_dir
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the base rules and the outlier test keep."""
+    """Documents that the base rules and the outlier test keep. Null and empty texts fail the base
+    rules; repeated rows are judged alike; an empty table stays empty."""
     return unpacked(judge(docs, carry=True).filter("kept"), docs)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the lines that another one keeps; n_chars follows the text."""
+    """Documents without the lines that another one keeps; n_chars follows the text. A null or empty text
+    becomes or stays empty, and every row stays."""
     return unpacked(dedup_lines(docs), docs, text=F.col("kept"), n_chars=F.length("kept").cast("long"))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group linked at a similarity of 0.8 or more; of rows that repeat doc_id and text, one."""
-    none = F.lit(-(1 << 63))  # stands for a missing doc_id
-    kept = near_duplicates(docs, percent=80).filter("kept").select(F.coalesce("doc_id", none).alias("kept_id")).distinct()
-    rows = docs.select(packed(docs), F.coalesce("doc_id", none).alias("id"), digest16(whole_text()).alias("body"))
-    # one shuffle of texts, by id, serves the join and the repeated rows
-    chosen = rows.join(kept, F.col("id") == F.col("kept_id"), "left_semi").dropDuplicates(["id", "body"])
-    return unpacked(chosen, docs)
+    """One document of each group linked at a similarity of 0.8 or more: the one with the smallest
+    doc_id, none last, and of those the one with the least digest of its text. Texts without words are
+    linked with nothing. Of rows that repeat doc_id and text one stays."""
+    found = near_duplicates(docs, percent=80, keys=True)
+    name = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "digest")
+    alone = F.col("group").isNull()
+    winners = found.filter(~alone).groupBy("group").agg(F.min(name).alias("w")).select("w.doc_id", "w.digest")
+    winners = winners.unionByName(found.filter(alone).select("doc_id", "digest").distinct())
+    winners = winners.select(F.col("doc_id").alias("kept_id"), F.col("digest").alias("kept_digest"))
+    rows = docs.select(packed(docs), F.col("doc_id").cast("long").alias("id"), digest16(whole_text()).alias("body"))
+    # one shuffle of texts, by digest, serves the join and the repeated rows
+    same = (F.col("body") == F.col("kept_digest")) & F.col("id").eqNullSafe(F.col("kept_id"))
+    return unpacked(rows.join(winners, same, "left_semi").dropDuplicates(["id", "body"]), docs)
 
 
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents drawn so that tokens meet the target shares."""
+    """Documents drawn so that tokens meet the target shares. Null keys are values of their own; rows that
+    repeat doc_id and text stand or fall together."""
     return unpacked(mix(docs).filter("kept"), docs)
 
 
 def bpe_codec(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """doc_id, n_tokens, ids and the characters that decoding them gives."""
+    """doc_id, n_tokens, ids and the characters that decoding them gives; none for null and empty texts."""
     return encode_documents(docs).select("doc_id", "n_tokens", "ids", F.length("decoded").cast("long").alias("n_chars"))
 
 

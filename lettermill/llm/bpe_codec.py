@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lettermill.llm.bpe import Bpe, blocks, default_path, first_word_start, last_word_start, load
-from lettermill.llm.common import whole_text
+from lettermill.llm.common import text_batches, whole_text
 
 #: Bytes of a chunk: at least, about one cut in so many blanks, at most.
 LEAST, ONE_IN, MOST = 512, 512, 8192
@@ -239,6 +239,7 @@ def encode_documents(docs: DataFrame, path: str | None = None, digests: bool = F
     columns are ignored. Texts of any length: chunks bound what is encoded at once, unless
     the text has no certain word boundary at all.
     """
+    text_batches(docs.sparkSession)
     path = path or default_path()
     # Documents that share lines meet in a task; Spark splits a partition that gets too large.
     near = F.array_min(F.transform(F.split("text", "\n"), lambda line: F.xxhash64(line)))

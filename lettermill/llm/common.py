@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import string
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The bytes that separate words.
@@ -35,3 +35,14 @@ def packed(docs: DataFrame, name: str = "row") -> Column:
 def unpacked(frame: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
     """The columns of `docs` out of the struct again, some of them replaced."""
     return frame.select(*[changed.get(c, F.col(f"row.`{c}`")).alias(c) for c in docs.columns])
+
+
+def text_batches(spark: SparkSession) -> None:
+    """Hand texts to Python a few MB at a time, unless the session says otherwise: a worker holds a batch in
+    several forms at once, and several workers share an executor."""
+    for name, value in {
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    }.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)

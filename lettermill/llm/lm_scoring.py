@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import whole_text
+from lettermill.llm.common import text_batches, whole_text
 from lettermill.llm.words import mix64, split_words, text_blocks
 from lettermill.storage import stored
 
@@ -105,6 +105,7 @@ def score_documents(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
     `target_ids` count once; a row without doc_id is no target. An empty table gives an empty
     table; other columns are ignored.
     """
+    text_batches(docs.sparkSession)
     ids = target_ids.select(F.col("doc_id").cast("long").alias("target_id")).filter("target_id is not null").distinct()
     flagged = (  # the ids grow with the corpus: the same join at every size
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))

@@ -23,7 +23,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import whole_text
+from lettermill.llm.common import digest16, text_batches, whole_text
 from lettermill.llm.components import components
 from lettermill.llm.words import mix64, split_words, text_blocks, window_hashes
 from lettermill.storage import stored
@@ -37,7 +37,7 @@ SMALL = 16
 #: Once all but so many classes of a node are in one component, these few are compared with all others.
 REST = 64
 #: Neighbours in path order that a class of a large node is compared with, and the steps of a path.
-NEXT, STEPS = 4, 12
+NEXT, STEPS = 1, 12
 _SEED = 0xA0761D6478BD642F
 
 
@@ -108,13 +108,14 @@ def _sketched(n_trees: int):
                 yield pa.record_batch(
                     [
                         batch.column("doc_id").slice(a, b - a),
+                        batch.column("digest").slice(a, b - a),
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], pa.binary()),
                         pa.array(roots, pa.list_(pa.int64())),
                         pa.array([m.astype(np.int8) if m is not None else None for m in minima], pa.list_(pa.int8())),
                         pa.array([press.compress(t) for t in texts[a:b]], pa.binary()),
                     ],
-                    names=["doc_id", "n_shingles", "body", "roots", "sketch", "packed"],
+                    names=["doc_id", "digest", "n_shingles", "body", "roots", "sketch", "packed"],
                 )
 
     return run
@@ -144,9 +145,9 @@ def _confirmed(percent: int):
 
 
 def _key(least_id: Column, body: Column) -> Column:
-    """24 bytes that order classes by their smallest doc_id."""
-    high = F.hex(least_id.bitwiseXOR(F.lit(-(1 << 63))))
-    return F.unhex(F.concat(F.lpad(high, 16, "0"), F.hex(body)))
+    """25 bytes that order classes by their smallest doc_id, those without one last."""
+    high = F.lpad(F.hex(F.coalesce(least_id, F.lit(0)).bitwiseXOR(F.lit(-(1 << 63)))), 16, "0")
+    return F.unhex(F.concat(F.when(least_id.isNull(), "01").otherwise("00"), high, F.hex(body)))
 
 
 def _draw(*of) -> Column:
@@ -180,7 +181,7 @@ def _neighbours(batches):
                 if node == row[0] and key != row[1]:
                     a.append(min(key, row[1]))
                     b.append(max(key, row[1]))
-            before = [*before[1 - NEXT :], row] if NEXT > 1 else [row]
+            before = [*before, row][-NEXT:]
         yield pa.record_batch([pa.array(a, pa.binary()), pa.array(b, pa.binary())], names=["a", "b"])
 
 
@@ -287,35 +288,38 @@ def _by_rare_shingles(rest: DataFrame, bodies: DataFrame, classes: DataFrame, pe
     return x.join(y, "shingle").filter("a < b AND root_a <> root_b").filter(sizes).select("a", "b").distinct()
 
 
-def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+def near_duplicates(docs: DataFrame, percent: int = PERCENT, keys: bool = False) -> DataFrame:
     """Groups of texts that share `percent` of their five-word shingles, directly or through others.
 
     Returns per input row doc_id, n_shingles, component_id (the smallest doc_id of the
-    group), kept (doc_id = component_id).
+    group), kept (doc_id = component_id); with `keys` also digest (of the text) and group (the same
+    for all rows of a group; null without words).
 
     A-Z count as a-z. A text of one to four words is one shingle; null, empty and blank
     texts have none and are linked with nothing. Rows with equal texts are linked, repeated
     rows too; a row without doc_id has the component of its group, null if no row of it has
     an id, and is not kept unless it is alone. An empty table gives an empty table; other
-    columns are ignored. No cap on groups: what a level does not settle is branched on.
+    columns are ignored. No cap on groups: what branching and neighbours do not settle in large nodes is
+    joined by rare shingles.
     Below 50 percent a node would need more than two functions: a ValueError.
     """
     if not 50 <= percent <= 100:
         raise ValueError(f"percent must be from 50 to 100, not {percent}")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
+    text_batches(docs.sparkSession)
+    text = whole_text()
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest16(text).alias("digest"), text.alias("text"))
     rows = stored(
         texts.mapInArrow(
             _sketched(trees(percent)),
-            "doc_id long, n_shingles long, body binary, roots array<long>, sketch array<tinyint>, packed binary",
+            "doc_id long, digest binary, n_shingles long, body binary, roots array<long>, sketch array<tinyint>, packed binary",
         ),
         "sketches",
     )
-    top = F.lit((1 << 63) - 1)  # stands for a missing doc_id
     classes = stored(
         rows.filter("body is not null")
         .groupBy("body")
         .agg(
-            F.min(F.coalesce("doc_id", top)).alias("least"),
+            F.min("doc_id").alias("least"),
             F.first("n_shingles").alias("n_shingles"),
             F.first("roots").alias("roots"),
             F.first("sketch").alias("sketch"),
@@ -332,8 +336,8 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     wanted = found.select(F.col("a").alias("key")).unionByName(found.select(F.col("b").alias("key")))
     wanted = wanted.unionByName(large.select("key")).distinct().join(classes, "key").select("key", "body", "least")
     bodies = stored(
-        rows.withColumn("least", F.coalesce("doc_id", top))
-        .join(wanted, ["body", "least"])
+        rows.select("doc_id", "body", "packed")
+        .join(wanted.withColumnRenamed("body", "of_body"), F.col("body").eqNullSafe(F.col("of_body")) & F.col("doc_id").eqNullSafe(F.col("least")))
         .groupBy("key")
         .agg(F.first("packed").alias("text")),
         "bodies",
@@ -394,20 +398,21 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
         found = _plausible(found, classes, percent).join(tested, ["a", "b"], "left_anti")
         roots, _ = connected(stored(found, "pairs"), roots)
         label = roots.select(F.col("node").alias("key"), "root")
-    # the first 8 bytes of a root are its doc_id
-    root_id = F.conv(F.hex(F.substring("root", 1, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(-(1 << 63)))
-    of_class = classes.join(label, "key", "left").select("body", F.coalesce(root_id, "least").alias("component"))
-    component = F.when(F.col("body").isNull(), F.col("doc_id")).otherwise(
-        F.when(F.col("component") != top, F.col("component"))
-    )
+    # bytes 2 to 9 of a root are its doc_id, if the first one says that it has one
+    group = F.coalesce("root", "key")
+    root_id = F.conv(F.hex(F.substring(group, 2, 8)), 16, -10).cast("long").bitwiseXOR(F.lit(-(1 << 63)))
+    root_id = F.when(F.hex(F.substring(group, 1, 1)) == "00", root_id)
+    of_class = classes.join(label, "key", "left").select("body", root_id.alias("component"), group.alias("group"))
+    component = F.when(F.col("body").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return (
-        rows.select("doc_id", "n_shingles", "body")
+        rows.select("doc_id", "digest", "n_shingles", "body")
         .join(of_class, "body", "left")
         .select(
             "doc_id",
             "n_shingles",
             component.alias("component_id"),
             F.col("doc_id").eqNullSafe(component).alias("kept"),
+            *(["digest", "group"] if keys else []),
         )
     )
 

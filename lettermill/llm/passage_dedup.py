@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import digest16, whole_text
+from lettermill.llm.common import digest16, text_batches, whole_text
 from lettermill.llm.suffixes import previous_factors
 from lettermill.llm.words import _M, _M_INVERSE, _powers, mix64
 from lettermill.storage import stored
@@ -310,15 +310,20 @@ def remove_passages(
     Removes each byte covered by a string of `passage` bytes that also starts earlier (order:
     doc_id, then place); with first_stays=False anywhere else, so that no copy stays.
 
-    Texts are judged as UTF-8 bytes; matches never cross texts. Null and empty texts have no
+    `passage` is a multiple of 4 from `gram` to 508 (the steps and the reach of the suffix order), else a
+    ValueError; texts may have any length. Texts are judged as UTF-8 bytes; matches never cross texts. Null and empty texts have no
     bytes. Rows with equal doc_id and text are copies of each other, but the first of them
     can't be told apart, so first_stays keeps either all or none of a passage in them. Rows
     without doc_id sort first. An empty table gives an empty table; other columns are ignored.
     """
+    text_batches(docs.sparkSession)
+    if passage % 4 or not gram <= passage <= 508:
+        raise ValueError(f"passage must be a multiple of 4 from {gram} to 508, not {passage}")
     text = whole_text()
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), digest16(text).alias("body"), text.alias("text"))
     spans = repeated_passages(texts, passage, gram, first_stays)
-    own = spans.groupBy(F.col("doc_id").alias("of_id"), F.col("body").alias("of_body")).agg(
+    # copies share their spans: distinct ones are as many as one copy has
+    own = spans.distinct().groupBy(F.col("doc_id").alias("of_id"), F.col("body").alias("of_body")).agg(
         F.collect_list(F.struct("lo", "hi")).alias("spans")
     )
     joined = texts.join(own, F.col("doc_id").eqNullSafe(F.col("of_id")) & (F.col("body") == F.col("of_body")), "left")

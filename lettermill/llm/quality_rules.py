@@ -17,10 +17,11 @@ import math
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.common import packed, whole_text
+from lettermill.llm.common import packed, text_batches, whole_text
 from lettermill.llm.words import split_words, text_blocks, window_hashes
 from lettermill.storage import stored
 
@@ -74,35 +75,32 @@ def text_stats(texts: list[bytes]) -> list[np.ndarray]:
     return [n_words, chars, symbols, dup_lines, repeats]
 
 
-def _measured(batches):
-    for batch in batches:
-        texts = [t.encode() for t in batch.column("text").to_pylist()]
-        rest = [c for c in batch.schema.names if c != "text"]
-        for a, b in text_blocks([len(t) for t in texts]):
-            stats = [pa.array(s, pa.int64()) for s in text_stats(texts[a:b])]
-            yield pa.record_batch(
-                [batch.column(c).slice(a, b - a) for c in rest] + stats,
-                names=[*rest, *(s.split()[0] for s in STATS.split(", "))],
-            )
+_COUNTS = [s.split()[0] for s in STATS.split(", ")]
+
+
+def _counted(texts: pa.Array) -> pa.Array:
+    """The counts of each text, a struct for each."""
+    parts = []
+    for a, b in text_blocks(pc.binary_length(texts).to_pylist()):
+        own = [t.as_py().encode() for t in texts.slice(a, b - a)]
+        parts.append([pa.array(s, pa.int64()) for s in text_stats(own)])
+    columns = [pa.concat_arrays([p[i] for p in parts]) if parts else pa.array([], pa.int64()) for i in range(len(_COUNTS))]
+    return pa.StructArray.from_arrays(columns, names=_COUNTS)
 
 
 def measure(docs: DataFrame, carry: bool) -> DataFrame:
     """lang, source, doc_id, the counts, base_failed and the features of each text; row (struct of
-    all input columns) too if it is to be carried along."""
+    all input columns) too if it is to be carried along. Only texts pass through Python."""
+    text_batches(docs.sparkSession)
     keys = [F.coalesce(F.col(c).cast("string"), F.lit("")).alias(c) for c in ("lang", "source")]
     row = [packed(docs)] if carry else []
-    given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), *keys, whole_text().alias("text"), *row)
-    kept = given.drop("text").schema
-    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in kept.fields if f.name != "row")
-    schema = f"{kinds}, {STATS}"
-    if carry:
-        from pyspark.sql.types import LongType, StructType
-
-        schema = StructType([*kept.fields])
-        for s in STATS.split(", "):
-            schema = schema.add(s.split()[0], LongType())
+    counted = F.arrow_udf(_counted, f"struct<{STATS.replace(' long', ': bigint')}>")
+    given = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), *keys, counted(whole_text()).alias("counts"), *row
+    )
+    given = given.select("doc_id", "lang", "source", "counts.*", *(["row"] if carry else []))
     words = F.greatest(F.col("n_words"), F.lit(1))
-    return given.mapInArrow(_measured, schema).withColumns(
+    return given.withColumns(
         {
             "base_failed": (F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words")),
             "word_length": F.log(F.greatest(F.col("word_chars"), F.lit(1)) / words),
@@ -200,19 +198,20 @@ def estimates(measured: DataFrame) -> DataFrame:
     return params
 
 
-def judge(docs: DataFrame, carry: bool = False) -> DataFrame:
+def judge(docs: DataFrame, carry: bool = False, min_group: int = MIN_GROUP) -> DataFrame:
     """Per input row: doc_id, lang, source, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
     base_failed, distance (squared; null if there is nothing to compare with), kept; and row
     (struct of all input columns) with `carry`.
 
     A null or empty text has no words and fails the base rule. A null language or source is
-    a value of its own. Repeated rows count as often as they occur and are judged alike. A
+    a value of its own. A language and source with fewer than `min_group` texts that pass the base rules
+    is judged by its language, and by all texts if that has fewer too. Repeated rows count as often as they occur and are judged alike. A
     group in which a statistic never varies falls back on FLOOR. An empty table gives an
     empty table; other columns are carried only.
     """
     params = estimates(measure(docs, False))
     measured = measure(docs, carry)
-    enough = params.filter((F.col("n") >= MIN_GROUP) | (F.col("level") == 2))
+    enough = params.filter((F.col("n") >= min_group) | (F.col("level") == 2))
 
     def of(level: int, name: str) -> DataFrame:
         one = enough.filter(F.col("level") == level)
