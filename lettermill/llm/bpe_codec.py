@@ -2,7 +2,9 @@
 
 A text is cut where a rolling hash of its bytes says so, hence at the same places in
 every copy of a passage. Each distinct chunk of a task is encoded once; documents
-that share lines are brought into the same task first. Two neighbouring chunks are
+that share lines are brought into the same task first. What a new chunk holds between
+certain word starts is looked up too, and encoded only if no chunk had it before, since
+ids never cross a word start. Two neighbouring chunks are
 then joined by encoding the text around the cut again, from the last certain word
 start of the left one up to the first one of the right one. Where there is none, the
 chunks are encoded again as one, until all joins are certain. Ids therefore equal
@@ -12,6 +14,8 @@ those of the whole text.
 from __future__ import annotations
 
 import hashlib
+import re
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -25,7 +29,11 @@ from lettermill.llm.common import text_batches, whole_text
 #: Bytes of a chunk: at least, about one cut in so many blanks, at most.
 LEAST, ONE_IN, MOST = 512, 512, 8192
 #: Bytes of chunks and ids remembered in a task; older ones are encoded again if they return.
-MEMO_BYTES = 96 << 20
+MEMO_BYTES = 32 << 20
+#: Characters of a run between word starts that is worth remembering, and runs remembered between two clearings.
+RUN_CHARS, RUNS = 64, 1 << 18
+#: Between these places ids are those of the whole text: see `bpe`, a lone space starts a word whatever stands around.
+_WORD_START = re.compile(r"(?<=[\w!-~])(?= [\w!-~])")
 
 
 def cut_places(data: bytes) -> list[int]:
@@ -64,15 +72,35 @@ class Piece:
 class ChunkEncoder:
     def __init__(self, bpe: Bpe):
         self.bpe, self.memo, self.held = bpe, {}, 0
+        self.runs: dict[str, bytes] = {}
         self.lengths = np.array([len(b) for b in bpe.token_bytes()], np.int64) if bpe.byte_level else None
 
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        """Ids of texts; of runs between word starts that were seen before, from memory."""
+        cut = [_WORD_START.split(t) for t in texts]
+        found, out = self.runs, []
+        new = list(dict.fromkeys(w for own in cut for w in own if w not in found))
+        long = []
+        for a, b in blocks(new):
+            for w, ids in zip(new[a:b], self.bpe.ids(new[a:b]), strict=True):
+                found[w] = array("I", ids).tobytes()
+                if len(w) > RUN_CHARS:
+                    long.append(w)
+        for own in cut:
+            out.append(np.frombuffer(b"".join(map(found.__getitem__, own)), np.uint32))
+        for w in long:
+            del found[w]
+        if len(found) > RUNS:
+            found.clear()
+        return out
+
     def _pieces(self, chunks: list[str]) -> list[Piece]:
         """A piece for each chunk; unseen ones are encoded in one call."""
         found = {c: self.memo[c] for c in chunks if c in self.memo}
         new = list(dict.fromkeys(c for c in chunks if c not in found))
         for a, b in blocks(new):
-            for c, ids in zip(new[a:b], self.bpe.ids(new[a:b]), strict=True):
-                p = found[c] = self.memo[c] = Piece(c, np.array(ids, np.uint32))
+            for c, ids in zip(new[a:b], self._ids(new[a:b]), strict=True):
+                p = found[c] = self.memo[c] = Piece(c, ids)
                 self.held += 4 * len(c) + p.ids.nbytes + 500
         while self.held > MEMO_BYTES:
             c = next(iter(self.memo))
