@@ -6,7 +6,7 @@ that agree on the minimum go to the same child. Children of up to SMALL classes
 compared exhaustively. Below a larger one the paths are laid out in order, all levels at
 once, and every class is compared with its NEXT neighbours, which share the longest
 path, and with a pivot. If that connects all but REST of them, these are compared with
-all others, else the node is branched on; rounds repeat until one connects nothing new. What
+all others, else the node is branched on; rounds repeat until one connects next to nothing. What
 large nodes then hold apart is joined exactly, by the rarest shingles of each class.
 Independent trees make up for paths on which a pair parts. Candidates are confirmed on
 the full shingle sets; components come from distributed stars.
@@ -38,6 +38,10 @@ SMALL = 16
 REST = 64
 #: Neighbours in path order that a class of a large node is compared with, and the steps of a path.
 NEXT, STEPS = 1, 12
+#: Bytes of texts cut into shingles at once when pairs are confirmed.
+CONFIRM_BYTES = 2 << 20
+#: Rounds end when one connects less than this share of the pairs it compares: the exact join settles the rest.
+PAYS = 0.02
 _SEED = 0xA0761D6478BD642F
 
 
@@ -122,23 +126,33 @@ def _sketched(n_trees: int):
 
 
 def _confirmed(percent: int):
+    """Of pairs with both texts, compressed, those whose full sets are similar. Texts are cut into shingles
+    many at a time, each once for all its pairs of a block of CONFIRM_BYTES."""
+
     def run(batches):
         unpress = zstandard.ZstdDecompressor()
-        held: dict[bytes, np.ndarray] = {}
         for batch in batches:
-            keys = [batch.column(c).to_pylist() for c in ("a", "b")]
-            data = [batch.column(c) for c in ("text_a", "text_b")]
-            keep = []
+            sides = [(batch.column(c).to_pylist(), batch.column(f"text_{c}")) for c in ("a", "b")]
+            keep = np.zeros(batch.num_rows, bool)
+            packed: dict[bytes, bytes] = {}
+            start = held = 0
+
+            def settle(end, keep=keep, packed=packed, sides=sides):
+                sets = dict(zip(packed, shingle_sets([unpress.decompress(p) for p in packed.values()]), strict=True))
+                for i in range(start, end):  # noqa: B023
+                    keep[i] = similar(sets[sides[0][0][i]], sets[sides[1][0][i]], percent)
+                packed.clear()
+
             for i in range(batch.num_rows):
-                pair = []
-                for side in (0, 1):
-                    k = keys[side][i]
-                    if k not in held:
-                        if len(held) >= 64:
-                            held.pop(next(iter(held)))
-                        held[k] = shingle_sets([unpress.decompress(data[side][i].as_py())])[0]
-                    pair.append(held[k])
-                keep.append(similar(*pair, percent))
+                for keys, texts in sides:
+                    if keys[i] not in packed:
+                        packed[keys[i]] = texts[i].as_py()
+                        held += zstandard.frame_content_size(packed[keys[i]])
+                if held >= CONFIRM_BYTES:
+                    settle(i + 1)
+                    start, held = i + 1, 0
+            if packed:
+                settle(batch.num_rows)
             yield pa.record_batch([batch.column("a"), batch.column("b")], names=["a", "b"]).filter(pa.array(keep))
 
     return run
@@ -344,14 +358,16 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, keys: bool = False)
     )
 
     def connected(pairs: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, bool]:
-        """Components with the pairs that their full sets confirm, and whether there was one."""
+        """Components with the pairs that their full sets confirm, and whether that paid."""
         sides = _with_sides(pairs.select("a", "b"), bodies, "text")
         links = stored(sides.mapInArrow(_confirmed(percent), "a binary, b binary"), "confirmed")
         if roots is not None:
-            if links.isEmpty():
+            n = links.count()
+            if not n:
                 return roots, False
+            pays = n >= PAYS * pairs.count()
             links = links.unionByName(roots.select(F.col("node").alias("a"), F.col("root").alias("b")))
-        return components(links), True
+        return components(links), roots is None or pays
 
     # the likeliest pair of each class first: most others then lie in one component and need no texts
     likeliest = stored(_likeliest(found), "pairs")
@@ -360,9 +376,9 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, keys: bool = False)
     while True:
         found = stored(_apart(found, roots).join(tested, ["a", "b"], "left_anti"), "pairs")
         roots, more = connected(found, roots)
-        if not more and tested is not likeliest:
-            break  # a whole round has connected nothing
-        tested = tested.unionByName(found)
+        first, tested = tested is likeliest, tested.unionByName(found)
+        if not more and not first:
+            break  # a whole round has connected next to nothing
         label = roots.select(F.col("node").alias("key"), "root")
         open_rows = large.join(label, "key", "left").withColumn("root", F.coalesce("root", "key"))
         parts = open_rows.groupBy("node", "root").agg(F.count(F.lit(1)).alias("n"))
