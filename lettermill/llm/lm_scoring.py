@@ -1,140 +1,230 @@
 """Scoring by cross-entropy difference.
 
 Two models of words and word pairs, one of target texts and one of all others, are counted
-over every text. The counts are tables keyed by 64-bit hashes that grow with the corpus; they
-meet the distinct pairs of each text in joins by pair, and losses are summed per text. The
-larger corpus is scaled to the smaller one. A text's score is the mean over its words of what
-a word costs under the target model less what it costs under the other; its own words are
+over every text. Texts are taken in groups of some MB: a group sends each of its distinct
+words and pairs once, as a 64-bit hash with its counts, to be summed over all groups by
+hash, and gets back the sums of those that more than one text has. What one text alone has
+needs no sum: nothing is left of it once the text's own words are taken out. The larger
+corpus is scaled to the smaller one. A text's score is the mean over its words of what a
+word costs under the target model less what it costs under the other; its own words are
 taken out of the counts first, so that no text vouches for itself.
 """
 
 from __future__ import annotations
 
+from functools import partial
+
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import zstandard
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettermill.llm.common import text_batches, whole_text
-from lettermill.llm.words import mix64, split_words, text_blocks
+from lettermill.llm.words import Words, mix64, split_words, text_blocks
 from lettermill.storage import stored
 
 #: Weight of pairs against single words, and what is added to each word's count.
 PAIR_WEIGHT, ADDED = 0.6, 0.5
+#: Bytes of text that share one list of words and pairs; a longer text has a list of its own.
+GROUP_BYTES = 16 << 20
 
-#: Per distinct pair of a text: hashes of the pair, of the word and of the word before (0 at the start
-#: of a text), and how often the text has the pair, the word, and the word before with a successor.
-PAIR = ("pair", "word", "before", "n", "own_word", "own_before")
-_PARSED = "doc_id long, target boolean, n_words long, " + ", ".join(
-    f"{c} array<{'long' if i < 3 else 'int'}>" for i, c in enumerate(PAIR)
-)
+#: Some texts of a group, compressed as one piece; `sizes` are their bytes.
+_PACKS = "block long, doc_ids array<long>, targets array<boolean>, sizes array<long>, texts binary"
+#: A word or pair of a group: its hash, the group with the two flags below, counts in other texts and in targets (upper half).
+_GRAMS = "gram long, place long, n long"
+_WORD, _MANY, _FLAGS = 1, 2, 2
+_SCORES = "doc_id long, n_words long, loss_target double, loss_other double"
 
 
-def _times(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
-    """How often the owner of each entry has that value."""
-    order = np.lexsort((value, owner))
-    o, v = owner[order], value[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (o[1:] != o[:-1]) | (v[1:] != v[:-1])
-    group = np.cumsum(new) - 1
-    out = np.empty(len(order), np.int64)
-    out[order] = np.bincount(group)[group] if len(order) else 0
-    return out
+def _packed(batches, group_bytes: int):
+    block, held = TaskContext.get().partitionId() << 32, 0
+    press = zstandard.ZstdCompressor(3)
+    for batch in batches:
+        texts = [t.encode() for t in batch.column("text").to_pylist()]
+        for a, b in text_blocks([len(t) for t in texts]):
+            sizes = [len(t) for t in texts[a:b]]
+            if held and held + sum(sizes) > group_bytes:
+                block, held = block + 1, 0
+            held += sum(sizes)
+            row = [[batch.column(c).slice(a, b - a).to_pylist()] for c in ("doc_id", "target")]
+            kinds = pa.int64(), pa.list_(pa.int64()), pa.list_(pa.bool_()), pa.list_(pa.int64()), pa.binary()
+            values = [[block], *row, [sizes], [press.compress(b"".join(texts[a:b]))]]
+            arrays = [pa.array(v, k) for v, k in zip(values, kinds, strict=True)]
+            yield pa.record_batch(arrays, names=["block", "doc_ids", "targets", "sizes", "texts"])
+
 
+def _unpacked(sizes: list[int], texts: bytes) -> list[bytes]:
+    raw, ends = zstandard.ZstdDecompressor().decompress(texts) if sum(sizes) else b"", np.cumsum(sizes).tolist()
+    return [raw[e - n : e] for n, e in zip(sizes, ends, strict=True)]
 
-def distinct_pairs(texts: list[bytes]) -> tuple[np.ndarray, list[np.ndarray], np.ndarray]:
-    """How many words each text has, the columns of PAIR, and where each text starts in them."""
+
+def _words_and_pairs(texts: list[bytes]) -> tuple[Words, np.ndarray, np.ndarray, np.ndarray]:
+    """The words, which of them begin a text, the hash before each (0 at the start of a text), and the hash of each pair."""
     w = split_words(texts, lower=True)
     first = np.ones(len(w.owner), bool)
     first[1:] = w.owner[1:] != w.owner[:-1]
     before = np.where(first, np.uint64(0), np.concatenate([np.zeros(1, np.uint64), w.hashes])[: len(w.hashes)])
-    pair = mix64(before * np.uint64(0xD6E8FEB86659FD93) + w.hashes)
-    order = np.lexsort((pair, w.owner))
+    return w, first, before, mix64(before * np.uint64(0xD6E8FEB86659FD93) + w.hashes)
+
+
+def _runs(*keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """An order that brings equal keys together (the last one leads), and where each run of equal ones starts in it."""
+    order = np.lexsort(keys)
     new = np.ones(len(order), bool)
-    new[1:] = (pair[order][1:] != pair[order][:-1]) | (w.owner[order][1:] != w.owner[order][:-1])
-    at = order[new]  # one place of each distinct pair
-    own_before = np.where(first, 0, _times(w.owner, before))
-    hashes = [x.view(np.int64)[at] for x in (pair, w.hashes, before)]
-    counts = [x[at].astype(np.int32) for x in (_times(w.owner, pair), _times(w.owner, w.hashes), own_before)]
-    return np.diff(w.first), [*hashes, *counts], np.searchsorted(w.owner[at], np.arange(len(texts) + 1))
+    if len(order):
+        new[1:] = np.logical_or.reduce([k[order][1:] != k[order][:-1] for k in keys])
+    return order, np.flatnonzero(new)
+
+
+def _text_counts(texts: list[bytes], targets: np.ndarray) -> list[tuple[np.ndarray, ...]]:
+    """Hash, count and target flag of each distinct word of each text, then of each distinct pair."""
+    w, first, _, pair = _words_and_pairs(texts)
+    out = []
+    for value, owner in ((w.hashes, w.owner), (pair[~first], w.owner[~first])):
+        order, at = _runs(value, owner)
+        out.append((value[order[at]], np.diff(np.append(at, len(order))), targets[owner[order[at]]]))
+    return out
 
 
-def _parsed(batches):
+def _group_rows(block: int, held: list) -> pa.RecordBatch:
+    columns = []
+    for kind, flag in ((0, _WORD), (1, 0)):
+        gram, n, target = (np.concatenate([h[kind][i] for h in held]) for i in range(3))
+        order, at = _runs(gram)
+        if not len(order):
+            continue
+        n, target = n[order].astype(np.int64), target[order]
+        counts = np.add.reduceat(np.where(target, 0, n), at) + (np.add.reduceat(np.where(target, n, 0), at) << 32)
+        many = np.diff(np.append(at, len(order))) > 1
+        columns.append((gram[order[at]].view(np.int64), (block << _FLAGS) + flag + _MANY * many, counts))
+    columns = columns or [(np.empty(0, np.int64),) * 3]
+    return pa.record_batch([pa.array(np.concatenate(c)) for c in zip(*columns, strict=True)], names=["gram", "place", "n"])
+
+
+def _grams(batches):
+    block, held = None, []
     for batch in batches:
-        texts = [t.encode() for t in batch.column("text").to_pylist()]
-        for a, b in text_blocks([len(t) for t in texts]):
-            n, columns, bounds = distinct_pairs(texts[a:b])
-            lists = [pa.ListArray.from_arrays(pa.array(bounds, pa.int32()), pa.array(c)) for c in columns]
-            yield pa.record_batch(
-                [batch.column("doc_id").slice(a, b - a), batch.column("target").slice(a, b - a), pa.array(n, pa.int64()), *lists],
-                names=["doc_id", "target", "n_words", *PAIR],
-            )
-
-
-def _loss(model: int, totals: list[int], distinct: int) -> Column:
-    """What a pair's word costs under the other texts' model (0) or under the target model (1)."""
-    mine = (F.col("target") == bool(model)).cast("int")
-    scale = min(totals) / max(totals[model], 1)
-    n = scale * (totals[model] - mine * F.col("n_words"))
-    single = (scale * (F.col(f"word_{model}") - mine * F.col("own_word")) + ADDED) / (n + ADDED * distinct)
-    # the word before counts as often as it has a successor, to within one per text
-    held = F.coalesce(f"before_{model}", F.lit(0)) - mine * F.col("own_before")
-    both = F.least(F.col(f"pair_{model}") - mine * F.col("n"), held)
-    chained = (F.col("own_before") > 0) & (held > 0)
-    return -F.log(F.when(chained, PAIR_WEIGHT * both / held + (1 - PAIR_WEIGHT) * single).otherwise(single))
-
-
-def count_tables(pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Counts of each pair with those of its words, and of each word; _0 in other texts, _1 in targets."""
-    sums = [F.sum(F.when(F.col("target") == bool(m), F.col("n")).otherwise(0)).alias(f"pair_{m}") for m in (0, 1)]
-    known = F.first("word").alias("word"), F.first("before").alias("before")
-    counted = stored(pairs.groupBy("pair").agg(*known, *sums), "lm-pairs")
-    words = stored(counted.groupBy("word").agg(*[F.sum(f"pair_{m}").alias(f"word_{m}") for m in (0, 1)]), "lm-words")
-    preceding = words.select(F.col("word").alias("before"), *[F.col(f"word_{m}").alias(f"before_{m}") for m in (0, 1)])
-    # merge joins: a table that is small today would be broadcast, and hot words are split by adaptive execution
-    wide = counted.join(words.hint("merge"), "word").join(preceding.hint("merge"), "before", "left")
-    return wide.drop("word", "before"), words
-
-
-def score_documents(docs: DataFrame, target_ids: DataFrame) -> DataFrame:
+        for row in batch.to_pylist():
+            if row["block"] != block:
+                if held:
+                    yield _group_rows(block, held)
+                block, held = row["block"], []
+            held.append(_text_counts(_unpacked(row["sizes"], row["texts"]), np.array(row["targets"], bool)))
+    if held:
+        yield _group_rows(block, held)
+
+
+def _own(owner: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """How often the owner of each entry has that value."""
+    order, at = _runs(value, owner)
+    sizes, out = np.diff(np.append(at, len(order))), np.empty(len(order), np.int64)
+    out[order] = np.repeat(sizes, sizes)
+    return out
+
+
+def _losses(texts: list[bytes], targets: np.ndarray, sums, totals: list[int], distinct: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Words of each text, and what they cost under the other texts' model and under the target model.
+    `sums` gives the counts in both models of hashes that more than one text has, else zero."""
+    w, first, before, pair = _words_and_pairs(texts)
+    n_words, mine = np.diff(w.first), targets[w.owner]
+    of_word, of_before, of_pair = (_own(w.owner, x) for x in (w.hashes, before, pair))
+    known = [sums(x) for x in (w.hashes, before, pair)]
+    out = []
+    for model in (0, 1):
+        own = (mine == bool(model)).astype(np.int64)
+        # what one text alone has is not in `sums`: nothing is left of it in either model
+        word, held, both = (
+            np.maximum(k[model] - own * c, 0) for k, c in zip(known, (of_word, of_before, of_pair), strict=True)
+        )
+        scale = min(totals) / totals[model]
+        single = (scale * word + ADDED) / (scale * (totals[model] - own * n_words[w.owner]) + ADDED * distinct)
+        chained = ~first & (held > 0)
+        chance = single.copy()
+        # the word before counts as often as it occurs, to within one per text of its successors
+        share = np.minimum(both[chained], held[chained]) / held[chained]
+        chance[chained] = PAIR_WEIGHT * share + (1 - PAIR_WEIGHT) * single[chained]
+        out.append(np.bincount(w.owner, -np.log(chance), len(texts)))
+    return n_words, out
+
+
+def _scored(packs: pa.Table, shared: pa.Table, totals: list[int], distinct: int) -> pa.Table:
+    gram, at = np.unique(shared["gram"].to_numpy().view(np.uint64), return_index=True)
+    counts = [shared[f"n_{m}"].to_numpy()[at] for m in (0, 1)]
+
+    def sums(hashes: np.ndarray) -> list[np.ndarray]:
+        if not len(gram):
+            return [np.zeros(len(hashes), np.int64)] * 2
+        place = np.minimum(np.searchsorted(gram, hashes), len(gram) - 1)
+        there = gram[place] == hashes
+        return [np.where(there, c[place], 0) for c in counts]
+
+    parts = []
+    for row in packs.to_pylist():
+        texts, targets = _unpacked(row["sizes"], row["texts"]), np.array(row["targets"], bool)
+        if min(totals):
+            n_words, (other, target) = _losses(texts, targets, sums, totals, distinct)
+        else:
+            n_words = np.diff(split_words(texts).first)
+            other = target = np.zeros(len(texts))
+        none = (n_words == 0) | (not min(totals))
+        means = [pa.array(c / np.maximum(n_words, 1), pa.float64(), mask=none) for c in (target, other)]
+        columns = [pa.array(row["doc_ids"], pa.int64()), pa.array(n_words, pa.int64()), *means]
+        parts.append(pa.table(columns, names=["doc_id", "n_words", "loss_target", "loss_other"]))
+    return pa.concat_tables(parts)
+
+
+def shared_grams(packs: DataFrame) -> DataFrame:
+    """gram, block, word (or else pair), n_blocks, n_0, n_1: for every group the words and pairs it has in common
+    with another text, with their counts in all other texts (_0) and all targets (_1), and all other words."""
+    grams = packs.select("block", "targets", "sizes", "texts").mapInArrow(_grams, _GRAMS)
+    everywhere = Window.partitionBy("gram")  # one row for each group that has it
+    n = {0: F.col("n").bitwiseAND(0xFFFFFFFF), 1: F.shiftright("n", 32)}
+    many = F.max(F.col("place").bitwiseAND(_MANY)).over(everywhere) > 0
+    return (
+        grams.select(
+            "gram",
+            F.shiftright("place", _FLAGS).alias("block"),
+            (F.col("place").bitwiseAND(_WORD) > 0).alias("word"),
+            F.count(F.lit(1)).over(everywhere).alias("n_blocks"),
+            *[F.sum(c).over(everywhere).alias(f"n_{m}") for m, c in n.items()],
+            many.alias("many"),
+        )
+        .filter("word or many or n_blocks > 1")
+        .select("gram", "block", "word", "n_blocks", "n_0", "n_1", (F.col("many") | (F.col("n_blocks") > 1)).alias("shared"))
+    )
+
+
+def score_documents(docs: DataFrame, target_ids: DataFrame, group_bytes: int = GROUP_BYTES) -> DataFrame:
     """doc_id, n_words, loss_target, loss_other, score (their difference: lower is more like the
     texts whose doc_id is in `target_ids`).
 
     A text without words, or null, has null losses. Without target texts, or with nothing
     else, all scores are null. Repeated rows count as often as they occur; repeated ids in
     `target_ids` count once; a row without doc_id is no target. An empty table gives an empty
-    table; other columns are ignored.
+    table; other columns are ignored. A text of any length is read whole, by one task; texts
+    are grouped up to `group_bytes`, which changes the cost and not the scores.
     """
     text_batches(docs.sparkSession)
     ids = target_ids.select(F.col("doc_id").cast("long").alias("target_id")).filter("target_id is not null").distinct()
-    flagged = (  # the ids grow with the corpus: the same join at every size
+    flagged = (  # the planner sends the ids to every task only while their size is under its threshold
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), whole_text().alias("text"))
-        .join(ids.hint("merge"), F.col("doc_id") == F.col("target_id"), "left")
+        .join(ids, F.col("doc_id") == F.col("target_id"), "left")
         .select("doc_id", "text", F.col("target_id").isNotNull().alias("target"))
     )
-    # numbered as they are written: rows may repeat a doc_id or lack it
-    rows = stored(flagged.mapInArrow(_parsed, _PARSED).withColumn("row", F.monotonically_increasing_id()), "lm-texts")
-    pairs = rows.select("row", "target", "n_words", F.inline(F.arrays_zip(*PAIR)))
-    counts, words = count_tables(pairs)
-    found = words.agg(F.sum("word_0"), F.sum("word_1"), F.count(F.lit(1))).first()
-    totals, distinct = [found[0] or 0, found[1] or 0], found[2]
-    if not min(totals):
-        null = F.lit(None).cast("double")
-        return rows.select("doc_id", "n_words", *[null.alias(c) for c in ("loss_target", "loss_other", "score")])
-    each = pairs.drop("word", "before").join(counts.hint("merge"), "pair")
-    losses = [(F.col("n") * _loss(m, totals, distinct)).alias(f"loss_{m}") for m in (0, 1)]
-    sums = each.select("row", *losses).groupBy("row").agg(F.sum("loss_0").alias("loss_0"), F.sum("loss_1").alias("loss_1"))
-    return (
-        rows.select("row", "doc_id", "n_words")
-        .join(sums.hint("merge"), "row", "left")
-        .select(
-            "doc_id",
-            "n_words",
-            (F.col("loss_1") / F.col("n_words")).alias("loss_target"),
-            (F.col("loss_0") / F.col("n_words")).alias("loss_other"),
-        )
-        .withColumn("score", F.col("loss_target") - F.col("loss_other"))
+    # groups are named as they are written: rows may repeat a doc_id or lack it
+    packs = stored(flagged.mapInArrow(partial(_packed, group_bytes=group_bytes), _PACKS), "lm-texts")
+    shared = stored(shared_grams(packs), "lm-shared")
+    parts = F.lit(1) / F.col("n_blocks")  # of one word, over all its rows: one
+    found = shared.filter("word").agg(*[F.sum(F.col(f"n_{m}") * parts) for m in (0, 1)], F.sum(parts)).first()
+    totals, distinct = [round(found[0] or 0), round(found[1] or 0)], round(found[2] or 0)
+    scored = partial(_scored, totals=totals, distinct=distinct)
+    counts = shared.filter("shared").select("block", "gram", "n_0", "n_1")
+    each = packs.groupBy("block").cogroup(counts.groupBy("block")).applyInArrow(
+        lambda left, right: scored(left, right), _SCORES
     )
+    return each.withColumn("score", F.col("loss_target") - F.col("loss_other"))
 
 
 def op5_lm_scoring(spark, sf_dir: str) -> DataFrame:
