@@ -33,6 +33,12 @@ HOLD_BYTES = 64 * 1024 * 1024
 BATCH_BYTES = 8 * 1024 * 1024
 BATCH_ROWS = 1024
 
+# Bits of a member's flags (the ZIP format).
+ENCRYPTED, PATCHED, STRONG_ENCRYPTION, UTF8_NAME = 1 << 0, 1 << 5, 1 << 6, 1 << 11
+# A member's own header: signature, flags, lengths of its name and of its extra field.
+LOCAL_HEADER, LOCAL_BYTES = "<4s2xH18xHH", 30
+LOCAL_SIGNATURE = b"PK\x03\x04"
+
 _DECODE_ERRORS = (zipfile.BadZipFile, zlib.error, EOFError, struct.error, OSError, ValueError)
 
 
@@ -42,11 +48,11 @@ class Refused(Exception):
     details: str
 
 
-def _translate(error: Exception) -> Refused:
-    text = str(error)
-    if isinstance(error, RuntimeError) and any(w in text.lower() for w in ("encrypted", "password")):
-        return Refused(PASSWORD_PROTECTED, text)
-    return Refused(CORRUPT_ARCHIVE, text)
+def _translate(error: Exception, info: zipfile.ZipInfo | None = None) -> Refused:
+    # Without a password an encrypted member is the one plain RuntimeError (others are its subclasses).
+    if type(error) is RuntimeError and info is not None and info.flag_bits & ENCRYPTED:
+        return Refused(PASSWORD_PROTECTED, str(error))
+    return Refused(CORRUPT_ARCHIVE, str(error))
 
 
 def open_archive(file: BinaryIO) -> zipfile.ZipFile:
@@ -79,7 +85,7 @@ def read_member(archive: zipfile.ZipFile, info: zipfile.ZipInfo, limit: int) ->
     try:
         return archive.read(info)
     except (*_DECODE_ERRORS, RuntimeError) as error:
-        raise _translate(error) from error
+        raise _translate(error, info) from error
 
 
 def _verify(archive: zipfile.ZipFile, info: zipfile.ZipInfo, limit: int) -> None:
@@ -89,7 +95,7 @@ def _verify(archive: zipfile.ZipFile, info: zipfile.ZipInfo, limit: int) -> None
             while member.read(HASH_CHUNK_BYTES):
                 pass
     except (*_DECODE_ERRORS, RuntimeError) as error:
-        raise _translate(error) from error
+        raise _translate(error, info) from error
 
 
 def member_name(info: zipfile.ZipInfo) -> str:
@@ -115,6 +121,89 @@ def members(file: BinaryIO, limit: int = MAX_MEMBER_BYTES) -> Iterator[tuple[int
             yield i, member_name(info), read_member(archive, info, limit)
 
 
+# --- members without the directory ------------------------------------------
+
+# Where a member lies (`until`: start of what follows) and what it takes to read it.
+PLACES_DDL = (
+    "array<struct<name string, header_name string, at bigint, until bigint, packed bigint, "
+    "size bigint, method int, flags int, crc bigint, attributes bigint>>"
+)
+PLACES_ARROW = pa.list_(
+    pa.struct(
+        [
+            ("name", pa.string()),
+            ("header_name", pa.string()),
+            ("at", pa.int64()),
+            ("until", pa.int64()),
+            ("packed", pa.int64()),
+            ("size", pa.int64()),
+            ("method", pa.int32()),
+            ("flags", pa.int32()),
+            ("crc", pa.int64()),
+            ("attributes", pa.int64()),
+        ]
+    )
+)
+
+
+def places(archive: zipfile.ZipFile) -> Iterator[dict]:
+    """The usable members by name, from one look at the directory of the archive."""
+    until, end = {}, archive.start_dir
+    for info in reversed(sorted(archive.infolist(), key=lambda i: i.header_offset)):
+        until[id(info)], end = end, info.header_offset
+    for info in usable_members(archive):
+        yield {
+            "name": member_name(info),
+            "header_name": info.orig_filename,
+            "at": info.header_offset,
+            "until": until[id(info)],
+            "packed": info.compress_size,
+            "size": info.file_size,
+            "method": info.compress_type,
+            "flags": info.flag_bits,
+            "crc": info.CRC,
+            "attributes": info.external_attr,
+        }
+
+
+def _past_header(file: BinaryIO, place: dict) -> None:
+    """Move to the data of a member, if its own header agrees with its place."""
+    file.seek(place["at"])
+    header = file.read(LOCAL_BYTES)
+    if len(header) < LOCAL_BYTES:
+        raise zipfile.BadZipFile("Truncated file header")
+    signature, flags, name_size, extra_size = struct.unpack(LOCAL_HEADER, header)
+    if signature != LOCAL_SIGNATURE:
+        raise zipfile.BadZipFile("Bad magic number for file header")
+    name = file.read(name_size)
+    for bit, what in ((PATCHED, "compressed patched data (flag bit 5)"), (STRONG_ENCRYPTION, "strong encryption (flag bit 6)")):
+        if place["flags"] & bit:
+            raise NotImplementedError(what)
+    if name.decode("utf-8" if flags & UTF8_NAME else "cp437") != place["header_name"]:
+        raise zipfile.BadZipFile(f"File name in directory {place['header_name']!r} and header {name!r} differ.")
+    data = place["at"] + LOCAL_BYTES + name_size + extra_size
+    if data + place["packed"] > place["until"]:
+        raise zipfile.BadZipFile(f"Overlapped entries: {place['header_name']!r} (possible zip bomb)")
+    file.seek(data)
+
+
+def read_place(file: BinaryIO, place: dict, limit: int) -> bytes:
+    """Bytes of one member, with the same refusals as when the whole archive is opened."""
+    info = zipfile.ZipInfo(place["header_name"])
+    info.filename = place["name"]
+    info.compress_type, info.compress_size = place["method"], place["packed"]
+    info.file_size, info.CRC = place["size"], place["crc"]
+    info.flag_bits, info.external_attr = place["flags"], place["attributes"]
+    _check_size(info, limit)
+    try:
+        _past_header(file, place)
+        if place["flags"] & ENCRYPTED:
+            raise RuntimeError(f"File {info!r} is encrypted, password required for extraction")
+        return zipfile.ZipExtFile(file, "rb", info).read()
+    except (*_DECODE_ERRORS, RuntimeError) as error:
+        raise _translate(error, info) from error
+
+
 # --- rows out of tasks ------------------------------------------------------
 
 # What opening a file or a container produces. `reason` is set on rows that

@@ -14,7 +14,7 @@ from lettermill import sources
 from lettermill.functions import identity, paths
 from lettermill.functions.manifest import manifest_struct
 from lettermill.operators import cdc, dedup
-from lettermill.operators.archive import spread
+from lettermill.operators.archive import PLACES_DDL, spread
 from lettermill.operators.mbox import rewrite_rows
 from lettermill.operators.unpack import (
     LEAF_COLUMNS,
@@ -31,7 +31,7 @@ from lettermill.sources.opening import ReadLimits, hash_files, open_slices, open
 from lettermill.storage import BLOB_SETTINGS, delete, new_work_dir, session_settings
 
 MODES = ("backfill", "incremental")
-_CARRY = ("file_sha256", "error", "abspath", "slice_lo", "slice_hi")
+_CARRY = ("file_sha256", "error", "abspath", "slice_lo", "slice_hi", "places")
 
 
 @dataclass(frozen=True)
@@ -381,6 +381,7 @@ class _Run:
             F.when(~leaf, F.coalesce("rewrite_error", F.lit(""))).alias("details"),
             *[null.alias(c) for c in ("file_sha256", "error", "abspath")],
             *[F.lit(None).cast("bigint").alias(c) for c in ("slice_lo", "slice_hi")],
+            F.lit(None).cast(PLACES_DDL).alias("places"),
             F.when(leaf, "leaf").otherwise("skip").alias("entry"),
         )
 

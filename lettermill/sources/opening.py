@@ -20,13 +20,14 @@ from pyspark.sql import types as T
 from lettermill.operators.archive import (
     OPENED_ARROW,
     OPENED_DDL,
+    PLACES_ARROW,
+    PLACES_DDL,
     Refused,
     RowBatcher,
-    member_name,
     member_rows,
     open_archive,
-    read_member,
-    usable_members,
+    places,
+    read_place,
 )
 from lettermill.schemas import (
     EMPTY_CONTAINER,
@@ -40,6 +41,8 @@ from lettermill.sources.large_mbox import ranges
 
 INLINE_BYTES = 256 * 1024 * 1024
 SLICE_BYTES = 64 * 1024 * 1024
+# Members of a slice, at most: its row carries where they lie.
+SLICE_MEMBERS = 8192
 # A Spark row cannot exceed 2 GiB; a single message above this fails its source.
 ROW_BYTES = 2_000_000_000
 
@@ -48,7 +51,7 @@ ITEM, SOURCE, SLICE, BIG_MBOX = "item", "source", "slice", "big_mbox"
 SOURCE_ROWS_DDL = (
     OPENED_DDL
     + ", row_type string, file_sha256 string, error string, abspath string, "
-    "slice_lo bigint, slice_hi bigint"
+    f"slice_lo bigint, slice_hi bigint, places {PLACES_DDL}"
 )
 SOURCE_ROWS_ARROW = pa.schema(
     [
@@ -59,6 +62,7 @@ SOURCE_ROWS_ARROW = pa.schema(
         ("abspath", pa.string()),
         ("slice_lo", pa.int64()),
         ("slice_hi", pa.int64()),
+        ("places", PLACES_ARROW),
     ]
 )
 
@@ -79,19 +83,19 @@ def hash_stream(path: str) -> str:
     return digest.hexdigest()
 
 
-def _slices(path: str, limits: ReadLimits) -> Iterator[tuple[int, int]]:
-    """Ranges of usable members whose declared sizes sum to about one slice."""
+def _slices(path: str, limits: ReadLimits) -> Iterator[tuple[int, list[dict]]]:
+    """Usable members, with the number of the first, whose declared sizes sum to about one slice."""
     with open_binary(path) as f, open_archive(f) as archive:
-        infos = usable_members(archive)
-        if not infos:
+        start, own, held = 0, [], 0
+        for place in places(archive):
+            if own and (held + place["size"] > limits.slice_bytes or len(own) == SLICE_MEMBERS):
+                yield start, own
+                start, own, held = start + len(own), [], 0
+            own.append(place)
+            held += place["size"]
+        if not own:
             raise Refused(EMPTY_CONTAINER, "")
-        start, held = 0, 0
-        for i, info in enumerate(infos):
-            if i > start and held + info.file_size > limits.slice_bytes:
-                yield start, i
-                start, held = i, 0
-            held += info.file_size
-        yield start, len(infos)
+        yield start, own
 
 
 def _open_one(file: dict, limits: ReadLimits) -> Iterator[dict]:
@@ -119,8 +123,9 @@ def _open_one(file: dict, limits: ReadLimits) -> Iterator[dict]:
         elif kind == "zip":
             sha = hash_stream(path)
             try:
-                for lo, hi in _slices(path, limits):
-                    yield item | {"row_type": SLICE, "abspath": path, "slice_lo": lo, "slice_hi": hi}
+                for lo, own in _slices(path, limits):
+                    part = {"row_type": SLICE, "abspath": path, "places": own}
+                    yield item | part | {"slice_lo": lo, "slice_hi": lo + len(own)}
             except Refused as refused:
                 yield item | {"reason": refused.reason, "details": refused.details}
         else:
@@ -152,7 +157,8 @@ def open_sources(files: DataFrame, limits: ReadLimits = ReadLimits()) -> DataFra
 
 
 def open_slices(slices: DataFrame, limits: ReadLimits = ReadLimits()) -> DataFrame:
-    """Members of big archives, slice by slice, read from the files in parallel.
+    """Members of big archives, slice by slice, read from the files in parallel: a task seeks to
+    its members, whatever else the archive holds.
 
     A bad member gives a reason row; the caller drops the other rows of that
     archive, which may come from other tasks.
@@ -161,12 +167,11 @@ def open_slices(slices: DataFrame, limits: ReadLimits = ReadLimits()) -> DataFra
     def read(part: dict) -> Iterator[dict]:
         same = {k: part[k] for k in ("source_id", "namespace", "partition", "relpath")}
         try:
-            with open_binary(part["abspath"]) as f, open_archive(f) as archive:
-                infos = usable_members(archive)[part["slice_lo"]:part["slice_hi"]]
-                for i, info in enumerate(infos, part["slice_lo"]):
-                    raw = read_member(archive, info, limits.max_member_bytes)
+            with open_binary(part["abspath"]) as f:
+                for i, place in enumerate(part["places"], part["slice_lo"]):
+                    raw = read_place(f, place, limits.max_member_bytes)
                     yield same | {
-                        "internal_path": f"{part['internal_path']}!{member_name(info)}",
+                        "internal_path": f"{part['internal_path']}!{place['name']}",
                         "container_depth": 1,
                         "pos": [i],
                         "raw": raw,
@@ -192,7 +197,7 @@ def open_slices(slices: DataFrame, limits: ReadLimits = ReadLimits()) -> DataFra
         yield from out.flush()
 
     wanted = ["source_id", "namespace", "partition", "relpath", "internal_path",
-              "abspath", "slice_lo", "slice_hi"]
+              "abspath", "slice_lo", "places"]
     return slices.select(*wanted).mapInArrow(run, SOURCE_ROWS_DDL)
 
 

@@ -241,3 +241,91 @@ def test_leaf_ids(spark, work):
     ids = {r.internal_path: r.email_id for r in rows.collect()}
     assert ids["a.eml"] == ids["b.mbox#0"] != ids["p.htm"]
     assert rows.filter(F.col("format") == "html").count() == 1
+
+
+# --- members by their place -------------------------------------------------
+
+
+class Watched(io.BytesIO):
+    """A file that remembers how many bytes were read."""
+
+    total = 0
+
+    def read(self, size=-1):
+        out = super().read(size)
+        self.total += len(out)
+        return out
+
+
+def packed_variously() -> bytes:
+    out = io.BytesIO(b"a stub before the archive")
+    out.seek(0, io.SEEK_END)
+    with zipfile.ZipFile(out, "a") as z:
+        for i, method in enumerate((zipfile.ZIP_STORED, zipfile.ZIP_DEFLATED, zipfile.ZIP_BZIP2, zipfile.ZIP_LZMA)):
+            z.writestr(zipfile.ZipInfo(f"{i} ü.eml"), MAIL_A * (i + 1) * 20, method)
+        z.writestr("empty.eml", b"")
+        z.writestr("dir/", b"")
+        z.writestr("../out.eml", MAIL_B)
+        z.writestr("twice.eml", MAIL_B)
+        with pytest.warns(UserWarning):
+            z.writestr("twice.eml", MAIL_C)
+    return out.getvalue()
+
+
+def read_both_ways(raw: bytes, limit: int = 1 << 20):
+    with archive.open_archive(io.BytesIO(raw)) as opened:
+        for info, place in zip(archive.usable_members(opened), archive.places(opened), strict=True):
+            ways = []
+            for read in (
+                lambda info=info: archive.read_member(opened, info, limit),
+                lambda place=place: archive.read_place(io.BytesIO(raw), place, limit),
+            ):
+                try:
+                    ways.append(read())
+                except Refused as refused:
+                    ways.append((refused.reason, refused.details))
+            yield place, ways
+
+
+def test_members_read_by_place_are_those_of_the_archive():
+    seen = list(read_both_ways(packed_variously()))
+    assert [p["name"] for p, _ in seen] == ["0 ü.eml", "1 ü.eml", "2 ü.eml", "3 ü.eml", "empty.eml", "twice.eml", "twice.eml"]
+    for _, (whole, placed) in seen:
+        assert isinstance(whole, bytes) and whole == placed
+
+
+@pytest.mark.parametrize("spoil", [mark_encrypted, damage, lambda raw: b"XX" + raw[2:], lambda raw: raw[:30] + b"?" + raw[31:]])
+def test_bad_members_read_by_place_are_refused_alike(spoil):
+    raw = spoil(make_zip([("a.eml", MAIL_A), ("password.eml", MAIL_B)]))
+    seen = list(read_both_ways(raw))
+    assert any(isinstance(whole, tuple) for _, (whole, _) in seen)
+    for _, (whole, placed) in seen:
+        assert whole == placed
+    for _, (whole, placed) in read_both_ways(raw, limit=3):
+        assert whole == placed and whole[1].startswith("member too large")
+
+
+@given(st.data())
+@settings(max_examples=150, deadline=None, suppress_health_check=list(HealthCheck))
+def test_any_damage_is_refused_alike(data):
+    raw = bytearray(make_zip([("a.eml", MAIL_A), ("b.eml", MAIL_B)]))
+    for _ in range(data.draw(st.integers(1, 3))):
+        raw[data.draw(st.integers(0, len(raw) - 1))] = data.draw(st.integers(0, 255))
+    try:
+        seen = list(read_both_ways(bytes(raw)))
+    except Refused:
+        return
+    for _, (whole, placed) in seen:
+        assert whole == placed
+
+
+def test_a_member_costs_the_same_however_many_others_there_are():
+    costs = []
+    for n in (10, 3000):
+        raw = make_zip([(f"{i:06d}.eml", MAIL_A + b"%06d" % i) for i in range(n)])
+        with archive.open_archive(io.BytesIO(raw)) as opened:
+            *_, last = archive.places(opened)
+        file = Watched(raw)
+        assert archive.read_place(file, last, 1 << 20) == MAIL_A + b"%06d" % (n - 1)
+        costs.append(file.total)
+    assert max(costs) < 5000
