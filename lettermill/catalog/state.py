@@ -48,9 +48,9 @@ def lineage_by_email(spark, sf_dir):
     edges = lineage(spark, sf_dir)
     most = (
         edges.groupBy("email_id").agg(F.count("*").alias("n"))
-        .agg(F.min_by("email_id", F.struct(-F.col("n"), F.col("email_id")))).first()[0]
+        .agg(F.min_by("email_id", F.struct(-F.col("n"), F.col("email_id"))).alias("email_id"))
     )
-    return reports.lineage_of_email(edges, most).select(
+    return reports.lineage_of_emails(edges, most).select(
         "email_id", "source_id", "partition", "internal_path"
     )
 

@@ -46,6 +46,11 @@ def lineage_of_email(lineage: DataFrame, email_id: str) -> DataFrame:
     return lineage.filter(F.col("email_id") == email_id)
 
 
+def lineage_of_emails(lineage: DataFrame, emails: DataFrame) -> DataFrame:
+    """Places of all emails in a table of email_id, of any size."""
+    return lineage.join(emails.select("email_id").distinct(), "email_id", "left_semi")
+
+
 def lineage_of_partition(lineage: DataFrame, partition: str, namespace: str | None = None) -> DataFrame:
     rows = lineage.filter(F.col("partition") == partition)
     return rows if namespace is None else rows.filter(F.col("namespace") == namespace)

@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lettermill import schemas as S
@@ -25,6 +25,8 @@ from lettermill.operators.mbox import (
 from lettermill.storage import BLOB_SETTINGS, exists, session_settings
 
 LEAF, SKIP, ZIP = "leaf", "skip", "zip"
+# Archives that a task of a wave opens, about.
+TASK_BYTES = 64 * 1024 * 1024
 
 LEAF_COLUMNS = [
     "source_id", "namespace", "partition", "relpath", "internal_path",
@@ -147,7 +149,7 @@ def classify_wave(
         F.when(leaf, F.when(kind == "html", S.HTML).otherwise(S.EML)).alias("format"),
         F.when(leaf, identity.email_id("namespace", "raw")).alias("email_id"),
         F.when(leaf, identity.content_sha256("raw")).alias("content_sha256"),
-        F.when(leaf, F.octet_length("raw").cast("bigint")).alias("size_bytes"),
+        F.when(leaf | (F.col("entry") == ZIP), F.octet_length("raw").cast("bigint")).alias("size_bytes"),
         F.when(F.col("entry") != SKIP, F.col("raw")).alias("raw"),
         "reason",
         F.when(F.col("entry") == SKIP, F.col("details")).alias("details"),
@@ -237,6 +239,25 @@ def unpack(
     return open_nested(result, limits, partitions)
 
 
+def by_bytes(archives: DataFrame, task_bytes: int = TASK_BYTES) -> DataFrame:
+    """Archives dealt to tasks of about equal bytes. One of more than half a task's share has a task
+    of its own; the others are dealt out by hash. Sizes are read without the archives, and what is
+    numbered and broadcast is at most two rows per task."""
+    sizes = archives.select("source_id", "pos", "size_bytes")
+    n, total = sizes.agg(F.count(F.lit(1)), F.coalesce(F.sum("size_bytes"), F.lit(0))).first()
+    tasks = max(1, total // task_bytes, min(n, archives.sparkSession.sparkContext.defaultParallelism))
+    share = max(1, total // tasks)
+    large = sizes.filter(F.col("size_bytes") * 2 > share)
+    n_large, in_large = large.agg(F.count(F.lit(1)), F.coalesce(F.sum("size_bytes"), F.lit(0))).first()
+    shared = -(-(total - in_large) // share) if n > n_large else 0
+    by_size = Window.orderBy(F.desc("size_bytes"), "source_id", "pos")
+    places = large.select("source_id", "pos", (F.row_number().over(by_size) - 1 + shared).alias("task"))
+    dealt = archives.join(F.broadcast(places), ["source_id", "pos"], "left").withColumn(
+        "task", F.coalesce("task", F.pmod(F.xxhash64("source_id", "pos"), F.lit(max(1, shared))).cast("int"))
+    )
+    return dealt.repartitionById(max(1, shared + n_large), F.col("task")).drop("task")
+
+
 def open_nested(
     result: Unpacked,
     limits: UnpackLimits,
@@ -247,7 +268,7 @@ def open_nested(
     those inside them, until none is left."""
     waves = range(result.waves) if waves is None else waves
     while (archives := result.read(ZIP, waves)) is not None:
-        archives = spread(archives, "source_id", "pos", partitions=partitions)
+        archives = spread(archives, "source_id", "pos", partitions=partitions) if partitions else by_bytes(archives)
         rows = classify_wave(explode_zip(archives, limits.max_member_bytes), limits)
         waves = [result.write(rows)]
     return result

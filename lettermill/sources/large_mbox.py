@@ -48,9 +48,9 @@ def range_messages(path: str, lo: int, hi: int | None) -> Iterator[bytes]:
     """Messages whose separator starts at lo or later and before hi."""
     with open_binary(path) as f:
         f.seek(max(lo - 1, 0))
-        data = f.read() if hi is None else f.read(hi - max(lo - 1, 0) + 5)
-        if lo == 0:
-            data = b"\n" + data
+        # a bytearray grows in place: a message over many steps is not copied at each
+        data = bytearray(b"\n" if lo == 0 else b"")
+        data += f.read() if hi is None else f.read(hi - max(lo - 1, 0) + 5)
         # data[0] is the byte before lo, so a separator found at i starts at lo + i
         at = data.find(b"\nFrom ")
         while at >= 0 and (hi is None or lo + at < hi):
@@ -63,7 +63,7 @@ def range_messages(path: str, lo: int, hi: int | None) -> Iterator[bytes]:
                 following = data.find(b"\nFrom ", seen)
             end = data.find(b"\n", at + 1)
             stop = len(data) if following < 0 else following
-            yield _message(data[end:stop] if 0 <= end < stop else b"", following < 0)
+            yield _message(bytes(data[end:stop]) if 0 <= end < stop else b"", following < 0)
             at = following
 
 

@@ -15,7 +15,7 @@ from lettermill.catalog.builders import damage, make_zip, mark_encrypted
 from lettermill.operators import archive
 from lettermill.operators.archive import Refused, members
 from lettermill.operators.mbox import explode_mbox, split_messages
-from lettermill.operators.unpack import UnpackLimits, unpack
+from lettermill.operators.unpack import UnpackLimits, by_bytes, unpack
 
 
 def item(path: str, raw: bytes, namespace: str = "t"):
@@ -329,3 +329,25 @@ def test_a_member_costs_the_same_however_many_others_there_are():
         assert archive.read_place(file, last, 1 << 20) == MAIL_A + b"%06d" % (n - 1)
         costs.append(file.total)
     assert max(costs) < 5000
+
+
+# --- waves by bytes ---------------------------------------------------------
+
+
+def test_a_big_archive_among_many_small_ones_has_a_task_of_its_own(spark):
+    sizes = [50] * 300 + [40_000, 9_000]
+    rows = [(f"s{i % 3}", [i], n, b"x" * n) for i, n in enumerate(sizes)]
+    table = spark.createDataFrame(rows, "source_id string, pos array<int>, size_bytes bigint, raw binary")
+    dealt = by_bytes(table, task_bytes=2_000)
+    assert dealt.columns == table.columns
+    tasks = dealt.groupBy(F.spark_partition_id().alias("p")).agg(F.count("*").alias("n"), F.sum("size_bytes").alias("b")).collect()
+    assert sum(t.n for t in tasks) == len(sizes)
+    assert {(t.n, t.b) for t in tasks if t.b >= 9_000} == {(1, 40_000), (1, 9_000)}
+    assert max(t.b for t in tasks if t.b < 9_000) < 3 * sum(sizes) / len(tasks)
+
+
+@pytest.mark.parametrize("sizes", [[], [0], [0, 0, 0], [5], [7] * 9])
+def test_waves_of_any_sizes_keep_their_archives(spark, sizes):
+    rows = [("s", [i], n, b"x" * n) for i, n in enumerate(sizes)]
+    table = spark.createDataFrame(rows, "source_id string, pos array<int>, size_bytes bigint, raw binary")
+    assert sorted(r.pos[0] for r in by_bytes(table, task_bytes=6).collect()) == list(range(len(sizes)))
