@@ -2,27 +2,32 @@
 
 On a bounded sample a neighbour graph is built and cut into balanced partitions, and a
 small network learns to tell a vector's partition. It then deals out every row of the
-table to its most probable partition and every query to several. Partitions are searched
-in blocks of bounded size, so that a frequent vector is no one task's work, and all
-distances are exact ones on the original vectors.
+table to its most probable partition and every query to several. Partitions that get
+very many rows are cut again in the same way, each by a network of its own. They are
+searched in blocks of bounded size, so that a frequent vector is no one task's work, and
+all distances are exact ones on the original vectors.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from collections.abc import Callable
+from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettermill.storage import stored
 
 #: Vectors that the partitions are learned from, at most, and neighbours of each in the graph.
 SAMPLE, EDGES = 16_384, 10
-#: Rows of the table for a partition, about, while the sample has LEAST vectors for each.
-PART_ROWS, LEAST = 1024, 64
+#: There are about sqrt(rows) / THIN partitions, while the sample has LEAST vectors for each.
+THIN, LEAST = 4, 64
+#: Partitions of more rows are cut again, into MOST_INNER at most: what all tasks hold is at most
+#: SAMPLE / LEAST networks for so many partitions.
+PART_ROWS, MOST_INNER = 32_768, 64
 #: A partition may hold so many times its share of the sample.
 SLACK = 1.15
 HIDDEN, EPOCHS = 96, 12
@@ -92,6 +97,7 @@ class Router:
     weights: tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
     parts: int
     probes: int
+    inner: dict[int, Router] = field(default_factory=dict)
 
     def scores(self, x: np.ndarray) -> np.ndarray:
         w1, b1, w2, b2 = self.weights
@@ -101,6 +107,19 @@ class Router:
         """The n most probable partitions of each vector, the likeliest first."""
         return np.argsort(-self.scores(x), axis=1, kind="stable")[:, :n]
 
+    def deal(self, x: np.ndarray, probes: Callable[[Router], int]) -> tuple[np.ndarray, np.ndarray]:
+        """Numbers of vectors, and the partitions to which each goes."""
+        top = self.top(x, probes(self))
+        rows, outer = np.repeat(np.arange(len(x)), top.shape[1]), top.ravel()
+        whole = ~np.isin(outer, list(self.inner))
+        out = [(rows[whole], outer[whole] * (MOST_INNER + 1))]
+        for p, router in self.inner.items():
+            own = rows[outer == p]
+            if len(own):
+                below, part = router.deal(x[own], probes)
+                out.append((own[below], p * (MOST_INNER + 1) + 1 + part // (MOST_INNER + 1)))
+        return np.concatenate([r for r, _ in out]), np.concatenate([p for _, p in out])
+
 
 def _train(x: np.ndarray, label: np.ndarray, parts: int) -> Router:
     random = np.random.default_rng(7)
@@ -130,11 +149,11 @@ def _train(x: np.ndarray, label: np.ndarray, parts: int) -> Router:
     return Router(centre, scale, tuple(w), parts, parts)
 
 
-def learn(sample: np.ndarray, rows: int) -> Router:
-    """Partitions and router for a table of `rows` vectors."""
+def learn(sample: np.ndarray, rows: int, most: int = SAMPLE) -> Router:
+    """Partitions, `most` at most, and router for a table of `rows` vectors."""
     n = len(sample)
     parts = 1
-    while parts * 2 * PART_ROWS <= rows and parts * 2 * LEAST <= n:
+    while parts * 2 * THIN <= rows**0.5 and parts * 2 * LEAST <= n and parts * 2 <= most:
         parts *= 2
     k = min(EDGES, n - 1)
     if parts == 1 or k < 1:
@@ -164,23 +183,56 @@ def valid_vectors(table: DataFrame) -> DataFrame:
     return rows.filter(F.size("vector") == (size[0]["size"] if size else 0))
 
 
-def _dealt(router: Router, probes: int):
+def _dealt(router: Router, probes: Callable[[Router], int]):
     def run(batches):
         for batch in batches:
             if not batch.num_rows:
                 continue
             flat = batch.column("vector").flatten().to_numpy(zero_copy_only=False)
-            top = router.top(flat.reshape(batch.num_rows, -1), probes)
-            rows = pa.array(np.repeat(np.arange(batch.num_rows), top.shape[1]))
-            again = batch.take(rows)
+            rows, parts = router.deal(flat.reshape(batch.num_rows, -1), probes)
+            again = batch.take(pa.array(rows))
             yield pa.record_batch(
-                [again.column("vec_id"), again.column("vector"), pa.array(top.ravel().astype(np.int32))],
+                [again.column("vec_id"), again.column("vector"), pa.array(parts.astype(np.int32))],
                 names=["vec_id", "vector", "part"],
             )
 
     return run
 
 
+def _drawn(rows: DataFrame, n: int | Column, sample: int, *key: str) -> DataFrame:
+    """About `sample` of `n` rows, by a hash."""
+    return rows.filter(F.pmod(F.xxhash64(*key), F.lit(n) if isinstance(n, int) else n) < sample)
+
+
+def _inner_routers(index: DataFrame, router: Router, sample: int) -> dict[int, Router]:
+    """Routers of the partitions that have got more than PART_ROWS rows. Each is learned in a task
+    from the partition's own sample of different vectors."""
+    sizes = index.groupBy("part").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > PART_ROWS)
+    sizes = stored(sizes, "sizes")  # a row per partition of the outer router
+    if sizes.isEmpty():
+        return {}
+    drawn = _drawn(index.join(F.broadcast(sizes), "part"), F.col("n"), sample, "vector")
+
+    def learned(group: pd.DataFrame) -> pd.DataFrame:
+        x = np.stack(group.vector.to_numpy())
+        own = learn(x, int(group.n.iloc[0]), MOST_INNER)
+        numbers = [[own.centre.tolist()], *[[w.ravel().tolist()] for w in own.weights]]
+        columns = dict(zip(("centre", "w1", "b1", "w2", "b2"), numbers, strict=True))
+        return pd.DataFrame(
+            {"part": [group.part.iloc[0]], "scale": [own.scale], "parts": [own.parts], "probes": [own.probes], **columns}
+        )
+
+    shape = "part int, scale double, parts int, probes int, " + ", ".join(
+        f"{c} array<double>" for c in ("centre", "w1", "b1", "w2", "b2")
+    )
+    out = {}
+    for r in drawn.select("part", "n", "vector").distinct().groupBy("part").applyInPandas(learned, shape).collect():
+        centre, w1, b1, w2, b2 = (np.array(r[c]) for c in ("centre", "w1", "b1", "w2", "b2"))
+        weights = w1.reshape(len(centre), -1), b1, w2.reshape(-1, r.parts), b2
+        out[r.part // (MOST_INNER + 1)] = Router(centre, r.scale, weights, r.parts, r.probes)
+    return out
+
+
 _DEALT = "vec_id long, vector array<double>, part int"
 _FOUND = "query_id long, vec_id long, score double"
 
@@ -235,7 +287,7 @@ def search(table: DataFrame, is_query, k: int = 10, sample: int = SAMPLE) -> Dat
     (vec_id, embedding) that meets the condition `is_query`, except the query's own vec_id.
 
     Partitions are learned from the `sample` rows that come first by a hash of vec_id; all rows
-    are indexed. A query that finds fewer than k in its partitions searches all of them.
+    are indexed. Partitions of more than PART_ROWS rows are cut again, from a sample each. A query that finds fewer than k in its partitions searches all of them.
     Vectors that are null, zero, or hold null or non-finite numbers take no part, nor those
     of another length than most. Ties go to the smaller vec_id. A repeated row is a
     candidate as often as it occurs; a repeated query is asked once, with its least vector.
@@ -243,21 +295,26 @@ def search(table: DataFrame, is_query, k: int = 10, sample: int = SAMPLE) -> Dat
     """
     rows = stored(valid_vectors(table), "vectors")
     n = rows.count()
-    picked = rows.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").collect()
-    vectors = np.array([r.vector for r in picked]) if picked else np.zeros((0, 1))
-    router = learn(vectors, n)
-    index = stored(rows.mapInArrow(_dealt(router, 1), _DEALT), "index")
+    likely = _drawn(rows, max(1, n), 2 * sample, "vec_id")  # far fewer than all to sort
+    picked = likely.orderBy(F.xxhash64("vec_id"), "vec_id").limit(sample).select("vector").toArrow().column("vector")
+    flat = picked.combine_chunks().flatten().to_numpy()
+    router = learn(flat.reshape(len(picked), -1) if len(picked) else np.zeros((0, 1)), n)
+    index = stored(rows.mapInArrow(_dealt(router, lambda r: 1), _DEALT), "index")
+    router.inner = _inner_routers(index, router, sample)
+    if router.inner:
+        index = stored(rows.mapInArrow(_dealt(router, lambda r: 1), _DEALT), "index")
     asked = stored(rows.filter(is_query).groupBy("vec_id").agg(F.min("vector").alias("vector")), "queries")
 
-    def found(queries: DataFrame, probes: int) -> DataFrame:
+    def found(queries: DataFrame, probes: Callable[[Router], int]) -> DataFrame:
         return _best(_search(queries.mapInArrow(_dealt(router, probes), _DEALT), index, k), k)
 
-    near = stored(found(asked, router.probes), "neighbours")
-    if router.probes < router.parts:
+    near = stored(found(asked, lambda r: r.probes), "neighbours")
+    if router.probes < router.parts or router.inner:
         short = asked.join(near.groupBy("query_id").count().filter(F.col("count") >= k), F.col("vec_id") == F.col("query_id"), "left_anti")
         short = stored(short, "queries")
         if short.count():
-            near = near.join(short, F.col("query_id") == short["vec_id"], "left_anti").unionByName(found(short, router.parts))
+            near = near.join(short, F.col("query_id") == short["vec_id"], "left_anti")
+            near = near.unionByName(found(short, lambda r: r.parts))
     return near.select("query_id", "rank", "vec_id", "score")
 
 

@@ -217,7 +217,8 @@ def test_lm_scoring_counts_every_word_apart(spark):
         assert np.allclose([out[i].loss_other, out[i].loss_target, out[i].score], [*want, want[1] - want[0]], atol=1e-9)
 
 
-def test_neighbours(spark, monkeypatch):
+@pytest.mark.parametrize("part_rows", [128, 32_768])
+def test_neighbours(spark, monkeypatch, part_rows):
     rng = np.random.default_rng(3)
     centres = rng.normal(0, 4, (24, 16))
     x = centres[rng.integers(0, 24, 3000)] + rng.normal(0, 1, (3000, 16))
@@ -226,7 +227,7 @@ def test_neighbours(spark, monkeypatch):
     odd = [(3000, None, 1), (3100, [0.0] * 16, 1), (3200, [float("nan")] * 16, 1), (3300, [1.0] * 5, 1), (None, x[0].tolist(), 1)]
     table = spark.createDataFrame(rows + odd, "vec_id long, embedding array<float>, part int")
     monkeypatch.setattr(neighbours, "BLOCK_ROWS", 300)
-    monkeypatch.setattr(neighbours, "PART_ROWS", 128)
+    monkeypatch.setattr(neighbours, "PART_ROWS", part_rows)
     found = defaultdict(list)
     for r in neighbours.search(table, F.col("vec_id") % 100 == 0).orderBy("query_id", "rank").collect():
         found[r.query_id].append((r.vec_id, r.score))
@@ -245,6 +246,25 @@ def test_neighbours(spark, monkeypatch):
     assert neighbours.search(table.limit(0), F.col("vec_id") % 100 == 0).count() == 0
 
 
+def test_partitions_of_many_rows_are_cut_again():
+    rng = np.random.default_rng(5)
+    centres = rng.normal(0, 4, (40, 8))
+    x = centres[rng.integers(0, 40, 6000)] + rng.normal(0, 1, (6000, 8))
+    router = neighbours.learn(x, len(x))
+    assert router.parts == 16 and router.probes < 16
+    plain = router.top(x, 1)[:, 0]
+    for p in range(0, 16, 2):
+        router.inner[p] = neighbours.learn(x[plain == p], 4000, 4)
+    rows, parts = router.deal(x, lambda r: 1)
+    assert np.array_equal(np.sort(rows), np.arange(len(x)))
+    outer, inner = np.divmod(parts, neighbours.MOST_INNER + 1)
+    assert np.array_equal(outer, plain[rows])
+    assert set(inner[outer % 2 == 1]) == {0} and len(set(inner[outer % 2 == 0])) > 2 and 0 not in inner[outer % 2 == 0]
+    rows, parts = router.deal(x[:50], lambda r: r.parts)
+    every = sum(router.inner[p].parts if p in router.inner else 1 for p in range(16))
+    assert len(set(zip(rows.tolist(), parts.tolist()))) == len(rows) == 50 * every  # noqa: B905
+
+
 def brute_stats(t: str) -> tuple:
     w = WORD.findall(t)
     seen = Counter(zip(w, w[1:], w[2:]))  # noqa: B905
