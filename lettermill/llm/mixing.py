@@ -1,7 +1,7 @@
 """Mixing sources to target weights: rake token weights to marginals, then sample.
 
 The weights of the cells (source x language x topic) are fitted to target shares by
-iterative proportional fitting. Values without a target of their own fall into the
+iterative proportional fitting, no cell beyond the tokens that it has. Values without a target of their own fall into the
 class "*", so the number of cells is bounded by the targets given, whatever the
 corpus: only that table is ever in one task or broadcast. Every document is then
 kept with the probability of its cell, by a hash of its id.
@@ -15,9 +15,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lettermill.llm.common import packed, whole_text
+from lettermill.storage import stored
 
 DIMS = ("source", "lang", "topic")
 MOST_CELLS = 100_000
+#: Window steps of one plan; the query's targets take 60.
+PLAN_STEPS = 64
 
 
 @dataclass(frozen=True)
@@ -27,7 +30,7 @@ class Targets:
     source: dict[str, float] = field(default_factory=lambda: {"src0": 0.25, "src1": 0.06, "src2": 0.06, "*": 0.63})
     lang: dict[str, float] = field(default_factory=lambda: {"en": 0.55, "de": 0.18, "fr": 0.15, "es": 0.11, "*": 0.01})
     topic: dict[str, float] = field(default_factory=lambda: {"tables": 0.1, "lists": 0.2, "*": 0.7})
-    rounds: int = 8
+    rounds: int = 16
     budget: float = 0.5  # of the corpus' tokens
     seed: str = "mix"
 
@@ -61,28 +64,48 @@ def _share(value: Column, shares: dict[str, float]) -> Column:
 
 
 def rake(cells: DataFrame, targets: Targets) -> DataFrame:
-    """source, lang, topic (classes), n_tokens -> the same with weight (share after raking)
-    and probability: what the cell should give of `budget` by what it has. A cell that has
-    less than it should give is kept whole.
+    """source, lang, topic (classes), n_tokens -> the same with weight (share of the kept tokens, at most
+    what the cell has: `cap`), share_source, share_lang, share_topic (what is aimed at) and
+    probability: weight by cap.
 
-    Targets of classes that hold no tokens are shared out among the others. One task:
-    `cells` has at most `targets.cells()` rows.
+    Targets of classes that hold no tokens are shared out among the others, and so is what a
+    class can't give: it is kept whole then. A cell at its cap stays there while the others of
+    its classes are raked up. One task: `cells` has at most `targets.cells()` rows.
     """
-    out = cells.coalesce(1).withColumn("weight", F.col("n_tokens").cast("double"))
-    wanted = {}
-    for d in DIMS:
-        share, by = _share(F.col(d), getattr(targets, d)), Window.partitionBy(d)
-        out = out.withColumn(f"t_{d}", share).withColumn(f"k_{d}", F.count(F.lit(1)).over(by))
-        wanted[d] = by
-    everywhere = Window.partitionBy()
+    everywhere, steps = Window.partitionBy(), 0
+
+    def cut(frame: DataFrame) -> DataFrame:
+        """Every so many steps the plan is cut by a written table: long ones can't be sent to tasks."""
+        nonlocal steps
+        steps += 1
+        return stored(frame, "raked") if steps % PLAN_STEPS == 0 else frame
+
+    out = cells.coalesce(1).withColumn("cap", F.col("n_tokens") / (F.sum("n_tokens").over(everywhere) * targets.budget))
+    wanted = {d: Window.partitionBy(d) for d in DIMS}
     for d in DIMS:
-        out = out.withColumn(f"t_{d}", F.col(f"t_{d}") / F.sum(F.col(f"t_{d}") / F.col(f"k_{d}")).over(everywhere))
+        t, k, c = f"share_{d}", f"k_{d}", f"c_{d}"
+        out = out.withColumns(
+            {
+                t: _share(F.col(d), getattr(targets, d)),
+                k: F.count(F.lit(1)).over(wanted[d]),
+                c: F.sum("cap").over(wanted[d]),
+            }
+        )
+        out = out.withColumn(t, F.col(t) / F.sum(F.col(t) / F.col(k)).over(everywhere))
+        for _ in range(len(getattr(targets, d))):  # each time one more class is found short, or none is left
+            short = F.col(t) >= F.col(c)
+            lack = 1 - F.sum(F.least(t, c) / F.col(k)).over(everywhere)
+            free = F.sum(F.when(~short, F.col(t) / F.col(k)).otherwise(0.0)).over(everywhere)
+            out = cut(out.withColumn(t, F.when(short, F.col(c)).when(free > 0, F.col(t) + lack * F.col(t) / free).otherwise(F.col(t))))
+        out = out.withColumn(t, F.least(t, c))
+    out = out.withColumn("weight", F.col("cap") * targets.budget)
     for _ in range(targets.rounds):
         for d in DIMS:
             total = F.sum("weight").over(wanted[d])
-            out = out.withColumn("weight", F.when(total > 0, F.col("weight") * F.col(f"t_{d}") / total).otherwise(0.0))
-    wants = F.col("weight") * F.sum("n_tokens").over(everywhere) * targets.budget
-    return out.select(*DIMS, "n_tokens", "weight", F.least(F.lit(1.0), wants / F.col("n_tokens")).alias("probability"))
+            raked = F.least(F.col("cap"), F.col("weight") * F.col(f"share_{d}") / total)
+            out = cut(out.withColumn("weight", F.when(total > 0, raked).otherwise(0.0)))
+    shares = [f"share_{d}" for d in DIMS]
+    return out.select(*DIMS, "n_tokens", "weight", *shares, F.least(F.lit(1.0), F.col("weight") / F.col("cap")).alias("probability"))
 
 
 def uniform(doc_id: Column, text: Column, seed: str) -> Column:
@@ -150,18 +173,31 @@ def mixed_sql(table: str, targets: Targets = Targets()) -> str:  # noqa: B008
     blank = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
     bars = "length(whole) - length(replace(whole, '|', ''))"
     breaks = "length(whole) - length(replace(whole, chr(10), '')) + 1"
-    steps, last = [], "mix_c0"
+    steps, last = [], "mix_k"
+
+    def step(name: str, select: str) -> None:
+        nonlocal last
+        steps.append(f"{name} AS MATERIALIZED (SELECT {select} FROM {last})")
+        last = name
+
+    for d in DIMS:
+        t, k, c = f"t_{d}", f"k_{d}", f"c_{d}"
+        step(f"mix_t_{d}", f"* REPLACE ({t} / sum({t} / {k}) OVER () AS {t})")
+        for i in range(len(getattr(targets, d))):
+            lack = f"(1 - sum(least({t}, {c}) / {k}) OVER ())"
+            free = f"sum(CASE WHEN {t} >= {c} THEN 0 ELSE {t} / {k} END) OVER ()"
+            more = f"CASE WHEN {t} >= {c} THEN {c} WHEN {free} > 0 THEN {t} + {lack} * {t} / {free} ELSE {t} END"
+            step(f"mix_t{i}_{d}", f"* REPLACE ({more} AS {t})")
+        step(f"mix_l_{d}", f"* REPLACE (least({t}, {c}) AS {t})")
     for i in range(targets.rounds):
         for d in DIMS:
-            here = f"mix_w{i}_{d}"
             total = f"sum(weight) OVER (PARTITION BY {d})"
-            steps.append(
-                f"{here} AS MATERIALIZED (SELECT * REPLACE (CASE WHEN {total} > 0 THEN weight * t_{d} / {total} "
-                f"ELSE 0 END AS weight) FROM {last})"
-            )
-            last = here
-    ks = ", ".join(f"{share(d)} AS s_{d}, count(*) OVER (PARTITION BY {d}) AS k_{d}" for d in DIMS)
-    ts = ", ".join(f"s_{d} / sum(s_{d} / k_{d}) OVER () AS t_{d}" for d in DIMS)
+            raked = f"CASE WHEN {total} > 0 THEN least(cap, weight * t_{d} / {total}) ELSE 0 END"
+            step(f"mix_w{i}_{d}", f"* REPLACE ({raked} AS weight)")
+    ks = ", ".join(
+        f"{share(d)} AS t_{d}, count(*) OVER (PARTITION BY {d}) AS k_{d}, sum(cap) OVER (PARTITION BY {d}) AS c_{d}" for d in DIMS
+    )
+    budget = f"{targets.budget!r}::DOUBLE"
     return f"""mix_words AS (
   SELECT doc_id, source AS src, lang AS lng, coalesce(text, '') AS whole,
     len(list_filter(string_split(translate(coalesce(text, ''), {blank}, '      '), ' '), lambda x: x <> '')) AS words
@@ -176,12 +212,12 @@ mix_docs AS (
         AS BIGINT) AS DOUBLE) / {16**12}::DOUBLE AS draw
     FROM mix_words)),
 mix_cells AS (SELECT source, lang, topic, CAST(sum(n_tokens) AS DOUBLE) AS n_tokens FROM mix_docs GROUP BY ALL),
-mix_k AS (SELECT *, n_tokens AS weight, {ks} FROM mix_cells),
-mix_c0 AS (SELECT *, {ts} FROM mix_k),
+mix_caps AS (SELECT *, n_tokens / (sum(n_tokens) OVER () * {budget}) AS cap FROM mix_cells),
+mix_k AS (SELECT *, cap * {budget} AS weight, {ks} FROM mix_caps),
 {(',' + chr(10)).join(steps)},
 mix_rates AS (
   SELECT source, lang, topic,
-    least(1.0::DOUBLE, weight * sum(n_tokens) OVER () * {targets.budget!r}::DOUBLE / n_tokens) AS probability
+    least(1.0::DOUBLE, weight / cap) AS probability
   FROM {last}),
 mix_rows AS (
   SELECT d.doc_id, d.n_tokens, d.source AS source_class, d.lang AS lang_class, d.topic_name AS topic,

@@ -66,7 +66,7 @@ def test_mixing(spark, edge, nothing):
     assert {r.source_class for r in out if r.row.source is None} == {"*"}
     assert mix(nothing).count() == 0
     # raking by hand
-    t = Targets(source={"a": 0.5, "*": 0.5}, lang={"x": 0.3, "*": 0.7}, topic={"*": 1.0}, rounds=8, budget=1.0)
+    t = Targets(source={"a": 0.5, "*": 0.5}, lang={"x": 0.3, "*": 0.7}, topic={"*": 1.0}, rounds=8, budget=0.2)  # no cell at its cap
     cells = [("a", "x", "*", 10), ("a", "*", "*", 30), ("*", "x", "*", 40), ("*", "*", "*", 20)]
     got = {(r.source, r.lang): r.weight for r in rake(spark.createDataFrame(cells, "source string, lang string, topic string, n_tokens long"), t).collect()}
     w = np.array([[10.0, 30.0], [40.0, 20.0]])
@@ -76,6 +76,27 @@ def test_mixing(spark, edge, nothing):
     assert np.allclose([[got["a", "x"], got["a", "*"]], [got["*", "x"], got["*", "*"]]], w)
 
 
+def test_raking_within_what_cells_have(spark):
+    shape = "source string, lang string, topic string, n_tokens long"
+    cells = [("a", "x", "*", 5), ("a", "*", "*", 40), ("b", "x", "*", 300), ("b", "*", "*", 55), ("*", "x", "*", 200), ("*", "*", "*", 400)]
+    t = Targets(source={"a": 0.4, "b": 0.2, "*": 0.4}, lang={"x": 0.3, "*": 0.7}, topic={"*": 1.0}, rounds=60, budget=0.5)
+    got = rake(spark.createDataFrame(cells, shape), t).toPandas()
+    total = sum(c[3] for c in cells) * 0.5
+    assert (got.weight * total <= got.n_tokens * (1 + 1e-12)).all()
+    assert np.allclose(got.probability, got.weight * total / got.n_tokens)
+    # 45 of 500 tokens is all that a has: it is kept whole, the rest of its share goes to b and * as 0.2 to 0.4
+    aim = {"a": 0.09, "b": 0.91 / 3, "*": 0.91 * 2 / 3}
+    for values, wanted in ((got.source, aim), (got.lang, {"x": 0.3, "*": 0.7})):
+        reached = got.weight.groupby(values).sum()
+        assert np.allclose([reached[v] for v in wanted], list(wanted.values()), atol=1e-4)
+    assert (got[got.source == "a"].probability > 0.999).all()
+    assert np.allclose(got.groupby("source").share_source.first()[list(aim)], list(aim.values()))
+    # a budget of everything keeps everything
+    whole = rake(spark.createDataFrame(cells, shape), Targets(source=t.source, lang=t.lang, topic=t.topic, budget=1.0)).toPandas()
+    assert np.allclose(whole.probability, 1)
+    assert rake(spark.createDataFrame([], shape), t).count() == 0
+
+
 @pytest.fixture(scope="module")
 def library():
     bpe = load(default_path())
