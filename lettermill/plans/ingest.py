@@ -6,7 +6,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass, field, fields
 from datetime import datetime, timezone
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from lettermill import schemas as S
@@ -27,7 +27,7 @@ from lettermill.operators.unpack import (
 from lettermill.plans.state import LEDGER, MERGE, ConcurrentRun, Part, StateStore
 from lettermill.sources.listing import Wanted, list_bucket, with_stats
 from lettermill.sources.large_mbox import read_large_mboxes
-from lettermill.sources.opening import ReadLimits, hash_files, open_slices, open_sources
+from lettermill.sources.opening import SLICE_BYTES, ReadLimits, hash_files, open_slices, open_sources
 from lettermill.storage import BLOB_SETTINGS, delete, new_work_dir, session_settings
 
 MODES = ("backfill", "incremental")
@@ -310,6 +310,17 @@ class _Run:
             min(files, self.spark.sparkContext.defaultParallelism),
         )
 
+    def _slice_tasks(self, slices: DataFrame, size: Column) -> int:
+        """Tasks for slices: a short row stands for much work, so a full slice has one to itself, but
+        small ones share it, however many they are."""
+        n, total = slices.agg(F.count(F.lit(1)), F.coalesce(F.sum(size), F.lit(0))).first()
+        return max(
+            1,
+            -(-total // SLICE_BYTES),
+            n // self.options.files_per_task,
+            min(n, self.spark.sparkContext.defaultParallelism),
+        )
+
     def _started_rows(self) -> DataFrame:
         return cdc.started(self.candidates, self.run, self.now)
 
@@ -326,10 +337,10 @@ class _Run:
 
         slices = result.raw_read("slice", [first])
         if slices is not None:
-            # A slice is a short row that stands for much work: one task each.
-            tasks = slices.count()
+            unpacked = F.aggregate("places", F.lit(0).cast("bigint"), lambda n, p: n + p["size"])
             members = open_slices(
-                spread(slices, "source_id", "slice_lo", partitions=tasks), self.options.read
+                spread(slices, "source_id", "slice_lo", partitions=self._slice_tasks(slices, unpacked)),
+                self.options.read,
             )
             wave = result.write(classify_wave(members, limits, _CARRY))
             bad = result.raw_read("skip", [wave])
@@ -339,8 +350,9 @@ class _Run:
 
         big = result.raw_read("big_mbox", [first])
         if big is not None:
+            own = F.coalesce("slice_hi", F.col("slice_lo") + self.options.slice_bytes) - F.col("slice_lo")
             messages, unread = read_large_mboxes(
-                big, max(1, big.count()), lambda name, rows: self._scratch(f"mbox-{name}", rows)
+                big, self._slice_tasks(big, own), lambda name, rows: self._scratch(f"mbox-{name}", rows)
             )
             result.write(self._large_mbox_wave(messages))
             # a mailbox that can't be read fails its source, not the run

@@ -191,8 +191,8 @@ def open_slices(slices: DataFrame, limits: ReadLimits = ReadLimits()) -> DataFra
     def run(batches):
         out = RowBatcher(SOURCE_ROWS_ARROW)
         for batch in batches:
-            for part in batch.to_pylist():
-                for row in read(part):
+            for i in range(batch.num_rows):  # a row may carry thousands of places
+                for row in read(batch.slice(i, 1).to_pylist()[0]):
                     yield from out.add(row)
         yield from out.flush()
 

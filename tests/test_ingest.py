@@ -329,6 +329,34 @@ def test_big_mailboxes_of_any_name(spark, bucket, slice_bytes):
     assert len(tables[0][2]) == 1 + len(names) + 2
 
 
+def test_many_small_slices_share_tasks(spark, bucket, monkeypatch):
+    for i in range(40):
+        bucket.put(make_mbox(MAIL_A, MAIL_B + b"%d\n" % i), f"{i}.mbox")
+        bucket.put(make_zip([("a.eml", MAIL_C + b"%d" % i), ("b.eml", MAIL_D)]), f"{i}.zip")
+    tasks = {"slices": [], "ranges": []}
+    spread, read = plan.spread, plan.read_large_mboxes
+
+    def dealt(rows, *keys, partitions=None):
+        if "slice_lo" in keys:
+            tasks["slices"].append(partitions)
+        return spread(rows, *keys, partitions=partitions)
+
+    def ranged(rows, n, scratch):
+        tasks["ranges"].append(n)
+        return read(rows, n, scratch)
+
+    monkeypatch.setattr(plan, "spread", dealt)
+    monkeypatch.setattr(plan, "read_large_mboxes", ranged)
+    stats = ingest(spark, str(bucket), bucket.state, RunOptions(inline_bytes=0, slice_bytes=10))
+    assert (stats.files_failed, stats.emails_staged) == (0, 1 + 40 + 40 + 1)
+    most = spark.sparkContext.defaultParallelism
+    assert tasks == {"slices": [most], "ranges": [most]}
+    # a full slice still has a task of its own
+    run = plan._Run(spark, None, bucket.state, RunOptions())
+    full = spark.range(3 * most).select(F.lit(plan.SLICE_BYTES).alias("n"))
+    assert run._slice_tasks(full, F.col("n")) == 3 * most
+
+
 def test_big_mailbox_that_fails_is_one_source(spark, bucket, monkeypatch):
     bucket.put(make_mbox(MAIL_A, MAIL_B), "a.mbox")
     bucket.put(make_mbox(MAIL_C, b"long " * 500), "b.mbox")
