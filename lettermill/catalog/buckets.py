@@ -19,7 +19,7 @@ from lettermill.functions import identity
 from lettermill.plans.ingest import RunOptions, export_pool, ingest, scan_bucket
 from lettermill.plans.state import StateStore
 from lettermill.sources.opening import hash_files
-from lettermill.storage import new_work_dir
+from lettermill.storage import new_work_dir, small_batches
 
 
 def _partition():
@@ -42,7 +42,7 @@ def contents(spark, sf_dir):
             "content": mailbox(text, F.concat(F.col("lang"), F.lit(" "), text)).cast("binary"),
         }
     )
-    packs = docs.filter(F.col("doc_id") % 3 == 1).withColumn(
+    packs = docs.filter(F.col("doc_id") % 3 == 1).repartition("doc_id").withColumn(
         "relpath", F.concat(F.lit("packs/"), number, F.lit(".zip"))
     )
     packs = pack_zip(
@@ -61,6 +61,7 @@ def contents(spark, sf_dir):
 def write_bucket(files, root, overwrite=False):
     """Write the files, one task per share of them."""
     sources.register(files.sparkSession)
+    small_batches(files.sparkSession)
     files.select(
         F.concat_ws("/", "namespace", "partition", "relpath").alias("path"), "content"
     ).write.format("file_tree").mode("append").option(

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from lettermill.storage import small_batches
+
 
 def make_zip(members: list[tuple[str, bytes]]) -> bytes:
     out = io.BytesIO()
@@ -50,20 +52,20 @@ def members(*pairs: tuple[str, Column]) -> Column:
 
 
 def pack_zip(frame: DataFrame, column: str, out: str) -> DataFrame:
-    """Replace an array<struct<name, content>> column by an archive of it.
+    """Replace an array<struct<name, content>> column by an archive of it, where the rows are.
 
-    Compressing costs far more than a shuffle of the texts, and `doc_id` spreads
-    them evenly however the table is cut into files.
+    Compressing costs far more than a shuffle of the texts: callers spread the table first,
+    once, before the texts are repeated in members.
     """
-    frame = frame.repartition("doc_id")
+    small_batches(frame.sparkSession)
     at = frame.columns.index(column)
     kept = [f for f in frame.schema.fields if f.name != column]
 
     def run(batches):
         for batch in batches:
             packed = [
-                None if row is None else make_zip([(m["name"], m["content"]) for m in row])
-                for row in batch.column(at).to_pylist()
+                make_zip([(m["name"], m["content"]) for m in row.as_py()]) if row.is_valid else None
+                for row in batch.column(at)
             ]
             yield pa.RecordBatch.from_arrays(
                 [*[batch.column(f.name) for f in kept], pa.array(packed, pa.binary())],

@@ -95,6 +95,11 @@ def _archives(frame, name="relpath"):
     return as_items(located)
 
 
+def _spread_documents(spark, sf_dir):
+    """Documents spread evenly however the table is cut into files."""
+    return table(spark, sf_dir, "documents").select("doc_id", "text", "lang").repartition("doc_id")
+
+
 @query(
     "zip_roundtrip",
     f"""WITH m AS (
@@ -108,7 +113,7 @@ def _archives(frame, name="relpath"):
 def zip_roundtrip(spark, sf_dir):
     """Documents packed and unpacked; directories and unsafe names vanish."""
     packed = pack_zip(
-        table(spark, sf_dir, "documents").select(
+        _spread_documents(spark, sf_dir).select(
             "doc_id",
             members(
                 ("z.txt", F.col("lang")), ("b.html", framed_text()), ("a/", F.lit("")),
@@ -129,7 +134,7 @@ def nested(spark, sf_dir):
     note.txt and top.eml, unpacked."""
     text = F.col("text")
     inner = pack_zip(
-        table(spark, sf_dir, "documents").select(
+        _spread_documents(spark, sf_dir).select(
             "doc_id", "text", "lang",
             members(("mail.mbox", mailbox(text, F.concat(F.col("lang"), F.lit(" "), text))),
                     ("page.html", framed_text())).alias("members"),

@@ -3,7 +3,8 @@
 Each wave classifies its items, splits mailboxes into messages, and writes what
 it found: mail leaves with their ids, skips, and the archives still to open.
 The next wave opens those archives, spread over the cluster one by one. Waves
-end when no archive is left, at the latest at the depth limit.
+end when no archive is left, at the latest at the depth limit. Small archives
+are opened where they are met: moving them costs more than opening them.
 """
 
 from __future__ import annotations
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from lettermill import schemas as S
 from lettermill.functions import identity, paths
-from lettermill.operators.archive import explode_zip, spread
+from lettermill.operators.archive import explode_zip, open_small, spread
 from lettermill.operators.mbox import (
     message_bytes,
     message_parts,
@@ -235,7 +236,8 @@ def unpack(
     """Unpack items held in rows (columns of `schemas.ITEMS`, optionally reason
     and details). `work` is a shared folder that must outlive the result."""
     result = Unpacked(items.sparkSession, work)
-    result.write(classify_wave(items, limits))
+    opened = open_small(items, limits.max_member_bytes, limits.max_depth, limits.cut_hash)
+    result.write(classify_wave(opened, limits))
     return open_nested(result, limits, partitions)
 
 
@@ -269,6 +271,7 @@ def open_nested(
     waves = range(result.waves) if waves is None else waves
     while (archives := result.read(ZIP, waves)) is not None:
         archives = spread(archives, "source_id", "pos", partitions=partitions) if partitions else by_bytes(archives)
-        rows = classify_wave(explode_zip(archives, limits.max_member_bytes), limits)
+        opened = explode_zip(archives, limits.max_member_bytes, limits.max_depth, limits.cut_hash)
+        rows = classify_wave(opened, limits)
         waves = [result.write(rows)]
     return result

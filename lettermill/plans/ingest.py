@@ -55,7 +55,7 @@ class RunOptions:
 
     @property
     def read(self) -> ReadLimits:
-        return ReadLimits(self.max_depth, self.max_member_bytes, self.inline_bytes, self.slice_bytes)
+        return ReadLimits(self.max_depth, self.max_member_bytes, self.inline_bytes, self.slice_bytes, self.cut_hash)
 
 
 @dataclass

@@ -24,7 +24,7 @@ from lettermill.operators.archive import (
     PLACES_DDL,
     Refused,
     RowBatcher,
-    member_rows,
+    nested_rows,
     open_archive,
     places,
     read_place,
@@ -73,6 +73,7 @@ class ReadLimits:
     max_member_bytes: int = MAX_MEMBER_BYTES
     inline_bytes: int = INLINE_BYTES
     slice_bytes: int = SLICE_BYTES
+    cut_hash: bool = True
 
 
 def hash_stream(path: str) -> str:
@@ -116,7 +117,9 @@ def _open_one(file: dict, limits: ReadLimits) -> Iterator[dict]:
                 content = f.read()
             sha = hashlib.sha256(content).hexdigest()
             if kind == "zip":
-                rows = member_rows(item, io.BytesIO(content), limits.max_member_bytes)
+                rows = nested_rows(
+                    item, io.BytesIO(content), limits.max_member_bytes, limits.max_depth, limits.cut_hash
+                )
                 yield from ({"row_type": ITEM} | row for row in rows)
             else:
                 yield item | {"raw": content}

@@ -11,9 +11,11 @@ from pyspark.sql import SparkSession
 
 # Frames that carry mail bytes: few rows per Arrow batch, since one row may hold
 # a whole archive; and the few kinds of rows of a wave are written side by side,
-# without a sort of the bytes.
+# without a sort of the bytes. Copies of a mail lie side by side, where zstd finds them.
 BLOB_SETTINGS = {
     "spark.sql.execution.arrow.maxRecordsPerBatch": "64",
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
+    "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.maxConcurrentOutputFileWriters": "16",
 }
 
@@ -31,6 +33,17 @@ def session_settings(spark: SparkSession, settings: dict[str, str]):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Hand bytes to Python a few MB at a time, unless the session says otherwise: a worker holds a batch in
+    several forms at once, and several workers share an executor."""
+    for name, value in {
+        "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
+        "spark.sql.execution.arrow.maxRecordsPerBatch": "2000",
+    }.items():
+        if spark.conf.get(name, None) is None:
+            spark.conf.set(name, value)
+
+
 def _fs(spark: SparkSession, path: str):
     jvm = spark._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)

@@ -2,8 +2,10 @@ from __future__ import annotations
 
 import io
 import mailbox
+import random
 import zipfile
 
+import pyarrow as pa
 import pytest
 from conftest import MAIL_A, MAIL_B, MAIL_C, PAGE, make_mbox
 from hypothesis import HealthCheck, given, settings
@@ -11,7 +13,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from lettermill import schemas as S
-from lettermill.catalog.builders import damage, make_zip, mark_encrypted
+from lettermill.catalog.builders import damage, make_zip, mark_encrypted, members as packed_members, pack_zip
 from lettermill.operators import archive
 from lettermill.operators.archive import Refused, members
 from lettermill.operators.mbox import explode_mbox, split_messages
@@ -351,3 +353,50 @@ def test_waves_of_any_sizes_keep_their_archives(spark, sizes):
     rows = [("s", [i], n, b"x" * n) for i, n in enumerate(sizes)]
     table = spark.createDataFrame(rows, "source_id string, pos array<int>, size_bytes bigint, raw binary")
     assert sorted(r.pos[0] for r in by_bytes(table, task_bytes=6).collect()) == list(range(len(sizes)))
+
+
+# --- small archives are opened where they are -------------------------------
+
+
+def test_small_archives_need_no_waves(spark, work):
+    inner = make_zip([("mail.mbox", make_mbox(MAIL_B, MAIL_C)), ("low.ZIP", make_zip([("x.eml", MAIL_A)]))])
+    bad = make_zip([("victim.eml", MAIL_B)])[:32]
+    small = [("a.zip", make_zip([("in.zip", inner), ("top.eml", MAIL_A), ("bad.zip", bad)])), ("b#c.zip", inner)]
+    noise = random.Random(3).randbytes(archive.NESTED_BYTES + 9)  # does not compress
+    large = [("a.zip", make_zip([("in.zip", inner), ("top.eml", MAIL_A), ("bad.zip", bad), ("z.png", noise)])), small[1]]
+    limits = UnpackLimits(max_depth=3)
+    one, more = run(spark, work, *small, limits=limits), run(spark, work + "-large", *large, limits=limits)
+    assert (one.waves, more.waves) == (1, 2)
+    assert leaves(one) == leaves(more)
+    assert sorted(leaves(one)) == [
+        "a.zip!in.zip!low.ZIP!x.eml", "a.zip!in.zip!mail.mbox#0", "a.zip!in.zip!mail.mbox#1", "a.zip!top.eml"
+    ]
+    assert skips(more).pop("a.zip!z.png") and "a.zip!bad.zip" in skips(one)
+    assert skips(one) == {k: v for k, v in skips(more).items() if k != "a.zip!z.png"}
+    shallow = run(spark, work + "-shallow", *small, limits=UnpackLimits(max_depth=2))
+    assert skips(shallow)["a.zip!in.zip!low.ZIP"][0] == S.DEPTH_LIMIT_EXCEEDED
+
+
+def test_what_is_opened_in_place_is_bounded(monkeypatch):
+    inner = make_zip([("x.eml", MAIL_A)])
+    raw = make_zip([(f"{i}.zip", inner) for i in range(5)])
+    row = {"source_id": "s", "namespace": "n", "partition": "p", "relpath": "r.zip", "internal_path": "r.zip",
+           "container_depth": 0, "pos": []}
+    monkeypatch.setattr(archive, "NESTED_BYTES", 3 * len(inner))
+    found = [r["internal_path"] for r in archive.nested_rows(row, io.BytesIO(raw), 1 << 20, 8)]
+    assert found == [f"r.zip!{i}.zip!x.eml" for i in range(3)] + ["r.zip!3.zip", "r.zip!4.zip"]
+
+
+def test_rows_go_to_python_in_small_batches(spark):
+    text = F.repeat(F.lit("x"), 10_000)
+    docs = spark.range(3000, numPartitions=1).select("id", packed_members(("a.eml", text)).alias("m"))
+    packed = pack_zip(docs, "m", "raw")
+    assert "Exchange" not in packed._jdf.queryExecution().executedPlan().toString()
+
+    def sizes(batches):
+        for b in batches:
+            yield pa.record_batch([pa.array([b.nbytes], pa.int64())], names=["n"])
+
+    # what pack_zip sets for its own input holds for any bytes of the query
+    most = docs.mapInArrow(sizes, "n long").agg(F.max("n")).first()[0]
+    assert most < 6_000_000
