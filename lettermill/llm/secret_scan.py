@@ -3,9 +3,9 @@
 Three patterns find secrets of known form. A field over the tokens of a text adds those
 of like look and setting: each token is the beginning of a secret, inside one, or
 outside, by its shape, what stands around it and what kind of file it is in. It learns
-from the spans of the patterns, on a bounded sample of runs. Only tokens that could be a
-secret at all may be tagged (MIN_CHARS with a digit, or LONG_CHARS); all others are
-outside, so that the chain falls into runs that Viterbi decodes one by one, exactly.
+from the spans of the patterns, on a bounded sample of windows. Every token of a text is
+scored, and the whole chain is decoded exactly: where scores alone prove a token outside,
+the chain falls into parts that Viterbi decodes one by one.
 """
 
 from __future__ import annotations
@@ -38,14 +38,17 @@ _ASSIGN = re.compile(
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]+")
 MIN_CHARS, LONG_CHARS = 6, 20
-#: Runs that the field learns from: so many with a secret, and so many without.
+#: Windows that the field learns from: so many with a secret, and so many without.
 SAMPLE = 3000
-#: Tokens of a run that it learns from, around the first secret.
-RUN_TOKENS = 32
+#: Tokens of a window that it learns from.
+RUN_TOKENS = 8
 TAGS = 3  # outside, begin, inside
 _TOKEN = np.zeros(256, bool)
 _TOKEN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-"]] = True
-_BEFORE = re.compile(r"(?i)(pass|pwd|secret|token|key|auth|credential|bearer)\w*[\"']?\s*(?:[:=]|is)?\s*[\"']?$")
+#: Different tokens whose own features a task remembers at once.
+KNOWN = 200_000
+_CUES = (b"pass", b"pwd", b"secret", b"token", b"key", b"auth", b"credential", b"bearer")
+_BEFORE = re.compile(rb"(?i)(pass|pwd|secret|token|key|auth|credential|bearer)\w*[\"']?[^\S\n]*(?:[:=]|is)?[^\S\n]*[\"']?$")
 
 
 def base_spans(text: str) -> list[tuple[int, int, int, int]]:
@@ -62,15 +65,18 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
 
 @dataclass(slots=True)
 class Runs:
-    """Runs of neighbouring tokens of a text that may be secrets."""
+    """All tokens of a text, in order, and their features (token x feature)."""
 
-    spans: list[list[tuple[int, int]]]
-    features: list[np.ndarray]
+    spans: np.ndarray  # token x (start, end), in code points
+    features: np.ndarray
+    likely: np.ndarray  # tokens of a length and look that secrets often have; a draw looks at it, no verdict
 
 
-def runs_of(texts: list[bytes]) -> tuple[list[Runs | None], np.ndarray]:
-    """Runs of each text (None: it has none), and whether it holds a token long enough for a hex secret."""
-    raw = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
+def runs_of(texts: list[bytes], known: dict[bytes, bytes] | None = None) -> tuple[list[Runs | None], np.ndarray]:
+    """Tokens of each text (None: it has none), and whether it holds one long enough for a hex secret.
+    `known` remembers what tokens say by themselves."""
+    block = b"\n".join([*texts, b""])
+    raw = np.frombuffer(block, np.uint8)
     bounds = np.concatenate([[0], np.cumsum([len(t) + 1 for t in texts])])
     inside = np.zeros(len(raw) + 2, np.int8)
     inside[1:-1] = _TOKEN[raw]
@@ -79,63 +85,89 @@ def runs_of(texts: list[bytes]) -> tuple[list[Runs | None], np.ndarray]:
     digits = np.concatenate([[0], np.cumsum((raw >= 48) & (raw <= 57))])
     sizes = ends - starts
     may = ((sizes >= MIN_CHARS) & (digits[ends] > digits[starts])) | (sizes >= LONG_CHARS)
-    at = np.flatnonzero(may)
-    owner = np.searchsorted(bounds, starts[at], "right") - 1
+    first = np.searchsorted(starts, bounds)
+    features = _features(block, raw, starts, ends, {} if known is None else known)
     out: list[Runs | None] = [None] * len(texts)
     long = np.zeros(len(texts), bool)
-    long[owner[sizes[at] >= 24]] = True
-    cuts = np.flatnonzero(np.diff(owner)) + 1
-    for own in np.split(np.arange(len(at)), cuts) if len(at) else ():
-        d = int(owner[own[0]])
-        data = texts[d]
-        text = data.decode()
-        places = None if len(text) == len(data) else np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80) - 1
-        s, e = starts[at[own]] - bounds[d], ends[at[own]] - bounds[d]
-        if places is not None:
+    for d, data in enumerate(texts):
+        own = slice(int(first[d]), int(first[d + 1]))
+        if own.start == own.stop:
+            continue
+        long[d] = sizes[own].max() >= 24
+        s, e = starts[own] - bounds[d], ends[own] - bounds[d]
+        if not data.isascii():
+            places = np.cumsum((np.frombuffer(data, np.uint8) & 0xC0) != 0x80) - 1
             s, e = places[s], places[e - 1] + 1
-        file = _file_features(text, len(own))
-        spans, features = [], []
-        number = at[own]
-        for i in range(len(own)):
-            if i == 0 or number[i] != number[i - 1] + 1:
-                spans.append([])
-                features.append([])
-            spans[-1].append((int(s[i]), int(e[i])))
-            features[-1].append(_features(text, int(s[i]), int(e[i])) + file)
-        out[d] = Runs(spans, [np.array(f, np.uint8) for f in features])
+        features[own, -3:] = _file_features(data, int(may[own].sum()))
+        out[d] = Runs(np.stack([s, e], axis=1), features[own], may[own])
     return out, long
 
 
-def _file_features(text: str, tokens: int) -> list[bool]:
-    head = len(text) + 1
-    marks = sum(text.count(c) for c in "{};=<>") * 50 > head
-    return [tokens > 3, marks, text.count("\n") * 60 > head]
+def _file_features(data: bytes, tokens: int) -> list[bool]:
+    head = len(data) + 1
+    marks = sum(data.count(c) for c in (b"{", b"}", b";", b"=", b"<", b">")) * 50 > head
+    return [tokens > 3, marks, data.count(b"\n") * 60 > head]
 
 
-def _features(text: str, s: int, e: int) -> list[bool]:
-    t, n = text[s:e], e - s
+def _own_features(token: bytes) -> bytes:
+    t, n = token.decode(), len(token)
     digits = sum(c.isdigit() for c in t)
     upper, lower = any(c.isupper() for c in t), any(c.islower() for c in t)
     vowels = sum(c in "aeiouAEIOU" for c in t)
-    before, after = text[max(0, s - 32) : s], text[e : e + 1]
-    last = before.rstrip(" ")[-1:]
-    return [
+    return bytes([
         True, n < 12, 12 <= n < 20, 20 <= n < 32, n >= 32,
         digits == 0, digits == n, 0 < digits < 0.15 * n, digits >= 0.3 * n,
         upper and lower and digits > 0, upper and not lower, lower and not upper,
         all(c in "0123456789abcdef" for c in t), "/" in t, "+" in t, "_" in t, "-" in t,
         vowels < 0.2 * n, vowels > 0.35 * n, len(set(t)) > 0.5 * n,
-        t.startswith("AKIA"), bool(re.match(r"(?:sk|pk|ghp|gho|xox[a-z]|AIza|eyJ)", t)),
-        last in ":=" and last != "", last in "\"'" and last != "", after in "\"'" and after != "", last == "/",
-        bool(_BEFORE.search(before)), last == "@" or after == "@",
-    ]
-
-
-def tags_of(run: list[tuple[int, int]], secrets: list[tuple[int, int]]) -> list[int]:
-    """Tags that known secrets (start, end) give to a run of tokens."""
-    out, before = [], None
-    for s, e in run:
-        hit = next((i for i, (a, b) in enumerate(secrets) if s < b and a < e), None)
+        t.startswith("AKIA"), bool(re.match(r"(?:sk|pk|ghp|gho|xox[a-z]|AIza|eyJ)", t)), n < MIN_CHARS,
+    ])
+
+
+def _features(block: bytes, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, known: dict[bytes, bytes]) -> np.ndarray:
+    """What tokens say by themselves, what stands around them, and three columns for their file."""
+    own = []
+    for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
+        t = block[s:e]
+        f = known.get(t)
+        if f is None:
+            f = _own_features(t)
+            if len(known) < KNOWN and e - s <= LONG_CHARS:
+                known[t] = f
+        own.append(f)
+    one = np.frombuffer(b"".join(own), np.uint8).reshape(len(starts), -1 if len(starts) else 0)
+    # texts are parted by a line feed, which is none of the signs looked for
+    solid = np.maximum.accumulate(np.where(raw != 32, np.arange(len(raw)), -1))
+    at = np.where(starts > 0, solid[starts - 1], -1) if len(starts) else starts
+    last = np.where((at >= 0) & (starts - at <= 32), raw[at], 0) if len(starts) else starts
+    after = raw[ends]
+    quote = lambda c: (c == 34) | (c == 39)
+    lower = block.lower()
+    cues = []
+    for word in _CUES:
+        i = lower.find(word)
+        while i >= 0:
+            cues.append(i)
+            i = lower.find(word, i + 1)
+    cues = np.sort(np.array(cues, np.int64))
+    told = np.searchsorted(cues, starts) > np.searchsorted(cues, starts - 32)
+    for i in np.flatnonzero(told):
+        s = int(starts[i])
+        told[i] = _BEFORE.search(block[max(0, s - 32) : s]) is not None
+    around = [(last == 58) | (last == 61), quote(last), quote(after), last == 47, told, (last == 64) | (after == 64)]
+    file = np.zeros((len(starts), 3), np.uint8)
+    return np.concatenate([one, np.stack(around, axis=1).astype(np.uint8), file], axis=1)
+
+
+def tags_of(run, secrets: list[tuple[int, int]]) -> list[int]:
+    """Tags that known secrets (start, end), by start, give to tokens in order."""
+    out, before, at = [], None, 0
+    if not secrets:
+        return [0] * len(run)
+    for s, e in np.asarray(run).tolist():
+        while at < len(secrets) and secrets[at][1] <= s:
+            at += 1
+        hit = at if at < len(secrets) and secrets[at][0] < e else None
         out.append(0 if hit is None else 2 if hit == before else 1)
         before = hit
     return out
@@ -149,9 +181,40 @@ class Field:
     def scores(self, x: np.ndarray) -> np.ndarray:
         return x.astype(float) @ self.emit
 
+    def open_parts(self, scores: np.ndarray) -> list[tuple[int, int]]:
+        """Parts of a chain outside of which every token is outside in all best taggings.
+
+        Such a token can be taken outside whatever its neighbours are, at a gain: the loss by the
+        moves around it is at most a constant, and an inside after it, which then has to be a
+        beginning, loses no more than it does beside any tag that follows. As outside also stands
+        before and after a chain, what is best for the parts is best for the whole.
+        """
+        m = self.move
+        lead = scores[:, 0, None] - scores[:, 1:]  # outside over begin, inside
+        # what the next token loses as a beginning instead of an inside, by the tag after it
+        turn = np.append(scores[1:, 1] - scores[1:, 2], 0.0) + (m[1] - m[2]).min()
+        # by tag before: out of it, into what follows
+        gain = np.full(len(scores), np.inf)
+        for before in range(TAGS):
+            for own in (1, 2):
+                step = m[before, 0] - m[before, own]
+                ends = min(m[0, 0] - m[own, 0], m[0, 1] - m[own, 1])
+                goes_on = m[0, 1] - m[own, 2] + turn
+                gain = np.minimum(gain, lead[:, own - 1] + step + np.minimum(ends, goes_on))
+        open_ = np.concatenate([[0], (gain <= 1e-6).astype(np.int8), [0]])
+        edges = np.diff(open_)
+        return list(zip(np.flatnonzero(edges == 1).tolist(), np.flatnonzero(edges == -1).tolist(), strict=True))
+
     def decode(self, x: np.ndarray) -> list[int]:
-        """The best tags of a run, by Viterbi; ties go to the lower tag."""
-        scores, back = self.scores(x), []
+        """The best tags of a chain, by Viterbi; ties go to the lower tag."""
+        scores = self.scores(x)
+        out = [0] * len(x)
+        for a, b in self.open_parts(scores):
+            out[a:b] = self._best(scores[a:b])
+        return out
+
+    def _best(self, scores: np.ndarray) -> list[int]:
+        back: list[np.ndarray] = []
         best = self.move[0] + scores[0]
         for row in scores[1:]:
             through = best[:, None] + self.move
@@ -223,20 +286,29 @@ def _secrets(text: str) -> list[tuple[int, int]]:
 
 
 def _examples(batches):
+    known: dict[bytes, bytes] = {}
     for batch in batches:
         texts = [t.encode() for t in batch.column("text").to_pylist()]
         rows = []
         for a, b in text_blocks([len(t) for t in texts]):
-            for i, runs in enumerate(runs_of(texts[a:b])[0]):
+            for i, runs in enumerate(runs_of(texts[a:b], known)[0]):
                 if runs is None:
                     continue
-                secrets = _secrets(texts[a + i].decode())
-                for run, x in zip(runs.spans, runs.features, strict=True):
-                    tags = bytes(tags_of(run, secrets))
-                    draw = hashlib.md5(texts[a + i] + repr(run).encode()).digest()
-                    # long runs (tables of numbers) teach by the tokens around their first secret
-                    at = max(0, next((k for k, t in enumerate(tags) if t), 0) - RUN_TOKENS // 2)
-                    rows.append((draw[:8], any(tags), x[at : at + RUN_TOKENS].tobytes(), tags[at : at + RUN_TOKENS]))
+                tags = np.array(tags_of(runs.spans, _secrets(texts[a + i].decode())), np.uint8)
+                # a window around each first token of a secret, of a likely token without one, and at a drawn place
+                digest = hashlib.md5(texts[a + i]).digest()
+                n = len(tags)
+                begins, near = np.flatnonzero(tags == 1), np.flatnonzero(runs.likely & (tags == 0))
+                chosen = {}
+                for at in [*begins.tolist(), *near.tolist(), int.from_bytes(digest[:4], "little") % n]:
+                    # a window starts beside a token that is outside, or at one that begins
+                    own = slice(max(0, at - RUN_TOKENS // 2), at + RUN_TOKENS // 2)
+                    if tags[own.start] != 2:
+                        chosen.setdefault(own.start // (RUN_TOKENS // 2), own)
+                for own in chosen.values():
+                    kind = bool(tags[own].any())
+                    draw = hashlib.md5(digest + own.start.to_bytes(8, "little")).digest()
+                    rows.append((draw[:8], kind, runs.features[own].tobytes(), tags[own].tobytes()))
         cols = [list(c) for c in zip(*rows, strict=True)] if rows else [[], [], [], []]
         yield pa.record_batch(
             [pa.array(cols[0], pa.binary()), pa.array(cols[1], pa.bool_()), pa.array(cols[2], pa.binary()),
@@ -262,15 +334,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Field | None:
 def spans_of(text: str, runs: Runs | None, field: Field | None, base: list) -> list[tuple[int, int, int]]:
     """All spans (start, kind, end): the base ones, and those of the field that touch none of them."""
     out = [(s, k, e) for s, k, e, _ in base]
-    for run, x in zip(runs.spans, runs.features, strict=True) if runs and field else ():
-        tags = field.decode(x)
+    if runs and field:
+        run, tags = runs.spans, field.decode(runs.features)
         i = 0
         while i < len(tags):
             if tags[i]:
                 j = i + 1
                 while j < len(tags) and tags[j] == 2:
                     j += 1
-                s, e = run[i][0], run[j - 1][1]
+                s, e = int(run[i][0]), int(run[j - 1][1])
                 if not any(s < b and a < e for a, _, b, _ in base):
                     out.append((s, 3, e))
                 i = j
@@ -281,10 +353,11 @@ def spans_of(text: str, runs: Runs | None, field: Field | None, base: list) -> l
 
 def _scanned(field: Field | None):
     def run(batches):
+        known: dict[bytes, bytes] = {}
         for batch in batches:
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             for a, b in text_blocks([len(t) for t in texts]):
-                runs, long = runs_of(texts[a:b])
+                runs, long = runs_of(texts[a:b], known)
                 rows = []
                 for i, own in enumerate(runs):
                     data = texts[a + i]

@@ -371,6 +371,37 @@ def test_secret_scan(spark, edge, nothing):
     assert scan_secrets(nothing).count() == 0
 
 
+def test_field_looks_at_every_token(spark):
+    """Secrets of few letters and no digit, of which the field learns from the patterns."""
+    secret = lambda i: "".join("bcdfghjkQRSTVWXZ"[int(c, 16)] for c in hashlib.sha1(str(i).encode()).hexdigest()[:9])
+    texts = [f"{story(i, 30)} {'password' if i % 2 else 'secret'}: '{secret(i)}' {story(i, 9)}" for i in range(200)]
+    texts += [f"{story(i, 30)} credential: '{secret(i)}' {story(i, 9)}" for i in range(200, 220)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    out = {r.doc_id: [tuple(s) for s in r.spans] for r in scan_secrets(docs).collect()}
+    found = sum(any(k == "field" and texts[i][a:b] == secret(i) for k, a, b in out[i]) for i in range(200, 220))
+    assert found >= 15
+    assert sum(k == "field" for i in range(220) for k, _, _ in out[i]) <= found + 5
+
+
+def test_chains_fall_into_parts_exactly():
+    from lettermill.llm.secret_scan import Field
+
+    rng = np.random.default_rng(11)
+    shorter = 0
+    for _ in range(400):
+        move = rng.normal(0, 2, (3, 3))
+        move[0, 2] = -1e4
+        emit = rng.normal(0, 2, (6, 3))
+        emit[0, 0] += rng.uniform(0, 9)
+        field, x = Field(emit, move), rng.integers(0, 2, (int(rng.integers(1, 40)), 6)).astype(np.uint8)
+        x[:, 0] = 1
+        s = field.scores(x)
+        score = lambda t: sum(s[i, v] for i, v in enumerate(t)) + sum(field.move[a, b] for a, b in zip([0, *t], [*t, 0]))  # noqa: B023, B905, E731
+        assert math.isclose(score(field.decode(x)), score(field._best(s)), abs_tol=1e-9)
+        shorter += sum(b - a for a, b in field.open_parts(field.scores(x))) < len(x)
+    assert shorter > 100
+
+
 def test_field_decodes_the_best_tags():
     from itertools import product
 
