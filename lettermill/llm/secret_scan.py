@@ -353,11 +353,11 @@ def spans_of(text: str, runs: Runs | None, field: Field | None, base: list) -> l
 
 def _scanned(field: Field | None):
     def run(batches):
-        known: dict[bytes, bytes] = {}
+        seen: dict[bytes, bytes] = {}
         for batch in batches:
             texts = [t.encode() for t in batch.column("text").to_pylist()]
             for a, b in text_blocks([len(t) for t in texts]):
-                runs, long = runs_of(texts[a:b], known)
+                runs, long = runs_of(texts[a:b], seen)
                 rows = []
                 for i, own in enumerate(runs):
                     data = texts[a + i]
