@@ -92,6 +92,87 @@ def emissions(w: Weights, ids: np.ndarray, keep: list | None = None) -> np.ndarr
     return features @ w.out + w.out_bias
 
 
+class Reader:
+    """Gives what `emissions` gives, for reading many windows of any length: units lie in rows, so that every
+    step works on whole rows in place, and one product adds what symbol, bias and the step before say."""
+
+    def __init__(self, w: Weights):
+        dim, hidden, kind = w.embed.shape[1], w.gates_on.shape[1], w.out.dtype
+        half = np.ones(4 * hidden, kind)
+        half[: 3 * hidden] = 0.5  # a sigmoid is half of one more than the tanh of half its argument
+        # the halves left out of a step's result are in the weights that read it
+        self.weights = [
+            np.vstack([w.gates_on[d] * half / 2, w.gates_in[d] * half, w.gates_bias[d] * half]).T.copy() for d in range(2)
+        ]
+        self.embed, self.out, self.bias = w.embed.T.copy(), (w.out.T / 2).copy(), w.out_bias[:, None]
+        self.dim, self.hidden, self.kind = dim, hidden, kind
+        self.room: dict[tuple[int, int], tuple] = {}
+
+    def _room(self, n: int, time: int) -> tuple:
+        """Arrays for so many windows, kept for the next ones."""
+        if (n, time) not in self.room:
+            self.room.clear()
+            self.room[n, time] = (
+                np.empty((time, 2 * self.hidden, n), self.kind),
+                np.empty((self.hidden + self.dim + 1, n), self.kind),
+                np.empty((4 * self.hidden, n), self.kind),
+                np.empty((2, self.hidden, n), self.kind),
+                np.empty((time, len(self.out), n), self.kind),
+            )
+        return self.room[n, time]
+
+    def scores(self, ids: np.ndarray) -> np.ndarray:
+        """Tag scores (time x window x tag) of windows (window x time), good until the next call."""
+        n, time = ids.shape
+        hidden, gates = self.hidden, 3 * self.hidden
+        features, before, z, (c, own), out = self._room(n, time)
+        i, f, o, g = z.reshape(4, hidden, n)
+        h, x = before[:hidden], before[hidden:-1]
+        before[-1] = 1
+        at = ids.T.astype(np.intp)
+        for d in range(2):
+            h[:], c[:] = 0, 0
+            for t in range(time) if d == 0 else range(time - 1, -1, -1):
+                np.take(self.embed, at[t], axis=1, out=x, mode="clip")
+                np.matmul(self.weights[d], before, out=z)
+                np.tanh(z, out=z)
+                z[:gates] += 1
+                c *= f
+                i *= g
+                c += i
+                c *= 0.5
+                np.tanh(c, out=own)
+                np.multiply(o, own, out=h)
+                features[t, d * hidden : (d + 1) * hidden] = h
+        np.matmul(self.out, features, out=out)
+        out += self.bias
+        return out.transpose(0, 2, 1)
+
+
+def undecided(w: Weights, emit: np.ndarray) -> np.ndarray:
+    """Sequences that a bound does not prove outside throughout: those where a path that has left outside can be
+    worth more than one that never does. As long as none is, a span begins at no gain from what came
+    before it, so the gains of all spans of a kind that end here follow from those that end one step before."""
+    begin, inside = np.arange(1, emit.shape[2], 2), np.arange(2, emit.shape[2], 2)
+
+    def gain(x) -> np.ndarray:
+        return (x - w.move[0, 0]).astype(emit.dtype)[:, None]
+
+    enter, on, again = gain(w.move[:, begin].max(axis=0)), gain(w.move[begin, inside]), gain(w.move[inside, inside])
+    leave = [np.maximum(0, gain(w.move[own, 0])) for own in (begin, inside)]
+    scores = emit.transpose(0, 2, 1)
+    over = scores[:, 1:] - scores[:, :1]
+    begun = over[0, ::2] + (w.first[begin] - w.first[0]).astype(emit.dtype)[:, None]
+    gone_on = np.full_like(begun, -np.inf)
+    most = begun + leave[0]
+    for now in over[1:]:
+        gone_on = np.maximum(begun + on, gone_on + again) + now[1::2]
+        begun = now[::2] + enter
+        np.maximum(most, begun + leave[0], out=most)
+        np.maximum(most, gone_on + leave[1], out=most)
+    return (most > -0.01).any(axis=0)
+
+
 def _learn_back(w: Weights, keep: list, by_emission: np.ndarray) -> list[np.ndarray]:
     """Gradients of all weights but the CRF's, from those by the tag scores."""
     features, both, x = keep[-3:]

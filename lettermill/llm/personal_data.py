@@ -2,15 +2,17 @@
 
 Four patterns find mail and network addresses, card and phone numbers. A tagger
 (`char_tagger`) learns from their spans, on a bounded sample of windows, also with spans
-written as the patterns don't know them (a phone number without +, `name (at) host`, other
-separators in a card number), and adds what looks and stands like them. It reads only the
-stretches of a text around digits, @ and (at): all that it learns to find holds one of them.
-
-A stretch is cut into overlapping windows. Each is tagged and decoded; where neighbours
-disagree on what they share, the tag scores of all windows of the stretch are averaged, less
-weight toward a window's ends, and the stretch is decoded once as a whole. What a tagger of
-characters can't see is then tested: the check digit of a card, the numbers of digits and
-parts, and that no letter or digit goes on beside the span.
+written as the patterns don't know them (a phone number without +, `name (at) host`, `name at host`, other
+separators in a card number), and adds what looks and stands like them. It learns from
+windows around digits, @ and (at) and at drawn places, and reads every character of a text.
+
+A text is cut into overlapping windows from its start to its end. Each is tagged, and
+decoded unless its scores prove it outside throughout. A stretch is a run of windows that
+hold something, with one on either side; where neighbours in it disagree on what they share,
+the tag scores of all its windows are averaged, less weight toward a window's ends, and the
+stretch is decoded once as a whole. What a tagger of characters can't see is then tested:
+the check digit of a card, the numbers of digits and parts, and that no letter or digit goes
+on beside the span.
 """
 
 from __future__ import annotations
@@ -24,19 +26,24 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.char_tagger import PAD, WINDOW, Weights, decode, emissions, symbols, train
+from lettermill.llm.char_tagger import PAD, WINDOW, Reader, Weights, decode, symbols, train, undecided
 from lettermill.llm.common import text_batches, whole_text
 from lettermill.llm.words import text_blocks
 from lettermill.storage import stored
 
 PATTERNS = ("email", "ip", "card", "phone")
 KINDS = (*PATTERNS, *(f"field_{k}" for k in PATTERNS))
-#: Windows that the tagger learns from: at most so many of each kind, and as many without a span.
+#: The kind of a drawn window without an anchor; 0 is one around an anchor without a span.
+PLAIN = len(PATTERNS) + 1
+#: Windows that the tagger learns from: at most so many of each kind, as many around anchors without a span,
+#: and as many at drawn places without an anchor.
 SAMPLE = 400
-#: Characters around an anchor, and how far windows of a stretch lie apart.
+#: Characters around an anchor, and how far the windows to learn from lie apart.
 MARGIN, STRIDE = 24, 32
+#: Characters of a window when texts are read, and those that it shares with the next one.
+LONG, SHARED = 256, 32
 #: Windows tagged at once.
-_AT_ONCE = 1024
+_AT_ONCE = 256
 
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 _HOST = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
@@ -102,7 +109,7 @@ def stretches(text: str) -> list[tuple[int, int]]:
 
 
 def windows(text: str, a: int, b: int) -> list[int]:
-    """Where the windows of a stretch start; they may reach over its end, and over the text's."""
+    """Where the windows around anchors start; they may reach over the end of their part, and over the text's."""
     return list(range(a, max(a + 1, b - WINDOW + STRIDE), STRIDE))
 
 
@@ -126,24 +133,25 @@ def tags_of(spans: list[tuple[int, int, int]], start: int, size: int = WINDOW) -
 
 
 def variants(text: str, spans: list[tuple[int, int, int]], start: int):
-    """(text, spans) with each span near `start` written in a way that its pattern doesn't know."""
+    """(text, spans) with each span near `start` written in ways that its pattern doesn't know."""
     for kind, a, b in spans:
         if not (start <= a and b <= start + WINDOW):
             continue
         own = text[a:b]
         turn = int.from_bytes(hashlib.md5(own.encode()).digest()[:2], "little")
         if kind == 0:
-            own = own.replace("@", ("(at)", " (at) ", "[at]")[turn % 3])
+            forms = [own.replace("@", ("(at)", " (at) ", "[at]")[turn % 3]), own.replace("@", " at ")]
         elif kind == 2:
             digits = _NO_DIGIT.sub("", own)
-            own = (".", "/", "  ")[turn % 3].join(digits[i : i + 4] for i in range(0, len(digits), 4))
+            forms = [(".", "/", "  ")[turn % 3].join(digits[i : i + 4] for i in range(0, len(digits), 4))]
         elif kind == 3:
-            own = own[1:]
+            forms = [own[1:]]
         else:
             continue
         left = max(0, start)
-        changed = text[left:a] + own + text[b : left + WINDOW]
-        yield changed, [(kind, a - left, a - left + len(own))]
+        for form in forms:
+            changed = text[left:a] + form + text[b : left + WINDOW]
+            yield changed, [(kind, a - left, a - left + len(form))]
 
 
 def _examples(batches):
@@ -152,9 +160,10 @@ def _examples(batches):
         for value in batch.column("text"):
             text = value.as_py()
             parts = stretches(text)
-            if not parts:
-                continue
-            spans = base_spans(text)
+            drawn = int.from_bytes(hashlib.md5(text.encode()).digest()[:8], "little") % max(1, len(text) - WINDOW + 1)
+            if text and not _ANCHOR.search(text, drawn, drawn + WINDOW):
+                rows.add((PLAIN, cut(text, drawn).tobytes(), bytes(WINDOW)))
+            spans = base_spans(text) if parts else []
             for a, b in parts:
                 near = [s for s in spans if s[1] < b and s[2] > a]
                 for start in windows(text, a, b):
@@ -171,44 +180,42 @@ def _examples(batches):
 
 
 def samples(docs: DataFrame, sample: int = SAMPLE) -> list:
-    """At most `sample` different windows of each kind, and without a span, drawn by digest."""
+    """At most `sample` different windows of each kind, and of both sorts without a span, drawn by digest."""
     texts = docs.select(whole_text().alias("text"))
     found = stored(texts.mapInArrow(_examples, "kind int, x binary, y binary"), "pii-windows")
     rows = []
-    for kind in range(len(PATTERNS) + 1):
+    for kind in range(PLAIN + 1):
         one = found.filter(F.col("kind") == kind).withColumn("draw", F.md5(F.concat("x", "y")))
         rows += one.groupBy("draw", "x", "y").count().orderBy("draw").limit(sample).collect()
     return rows
 
 
 def fit(docs: DataFrame, sample: int = SAMPLE, steps: int = 250) -> Weights | None:
-    """The tagger, from at most 5 x `sample` windows; None if the patterns find nothing."""
+    """The tagger, from at most 6 x `sample` windows; None if the patterns find nothing."""
     rows = samples(docs, sample)
     if not any(any(r.y) for r in rows):
         return None
     x = np.stack([np.frombuffer(bytes(r.x), np.uint8) for r in rows])
     y = np.stack([np.frombuffer(bytes(r.y), np.uint8) for r in rows])
-    return train(x, y, len(PATTERNS), steps)
-
-
-_SLOPE = np.minimum(np.arange(WINDOW), np.arange(WINDOW)[::-1]) + 1.0
+    return train(x, y, len(PATTERNS), steps, batch=128)
 
 
 def reconciled(weights: Weights, emit: np.ndarray, tags: np.ndarray) -> np.ndarray:
     """Tags of a whole stretch from those of its windows (time x window)."""
-    n = tags.shape[1]
-    shared = WINDOW - STRIDE
-    size = STRIDE * (n - 1) + WINDOW
-    if all((tags[STRIDE:, i] == tags[:shared, i + 1]).all() for i in range(n - 1)):
+    long, n = tags.shape
+    step = long - SHARED
+    size = step * n + SHARED
+    if (tags[step:, :-1] == tags[:SHARED, 1:]).all():
         out = np.empty(size, np.uint8)
         for i in range(n):
-            out[STRIDE * i : STRIDE * i + WINDOW] = tags[:, i]
+            out[step * i : step * i + long] = tags[:, i]
         return out
+    slope = np.minimum(np.arange(long), np.arange(long)[::-1])[:, None] + 1.0
     total, weight = np.zeros((size, emit.shape[2])), np.zeros((size, 1))
     for i in range(n):
-        at = slice(STRIDE * i, STRIDE * i + WINDOW)
-        total[at] += emit[:, i] * _SLOPE[:, None]
-        weight[at] += _SLOPE[:, None]
+        at = slice(step * i, step * i + long)
+        total[at] += emit[:, i] * slope
+        weight[at] += slope
     return decode(weights, (total / weight)[:, None])[:, 0]
 
 
@@ -228,37 +235,75 @@ def holds(kind: int, text: str, a: int, b: int) -> bool:
     return 9 <= len(digits) <= 15
 
 
+def long_windows(text: str) -> np.ndarray:
+    """The windows of a whole text (window x time); the last one may reach over its end."""
+    step = LONG - SHARED
+    n = max(1, -(-(len(text) - SHARED) // step))
+    own = np.full(n * step + SHARED, PAD, np.uint8)
+    own[: len(text)] = symbols(text)
+    return np.lib.stride_tricks.sliding_window_view(own, LONG)[::step]
+
+
+def _blocks(texts: list[str]):
+    """All windows of the texts, _AT_ONCE at a time: text and number of each, and their symbols."""
+    held, places, ids = 0, [], []
+    for i, text in enumerate(texts):
+        rows = long_windows(text) if text else ()
+        at = 0
+        while at < len(rows):
+            some = rows[at : at + _AT_ONCE - held]
+            places += [(i, at + k) for k in range(len(some))]
+            ids.append(some)
+            held, at = held + len(some), at + len(some)
+            if held == _AT_ONCE:
+                yield places, np.concatenate(ids)
+                held, places, ids = 0, [], []
+    if held:
+        yield places, np.concatenate(ids)
+
+
 def field_spans(weights: Weights, texts: list[str]) -> list[list[tuple[int, int, int]]]:
-    """(kind, start, end) that the tagger finds in each text."""
+    """(kind, start, end) that the tagger finds in each text. Every window of every text is tagged."""
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
-    queue: list[tuple[int, int, int]] = []  # text, start of the stretch, windows
-    ids: list[np.ndarray] = []
+    stretch: list[tuple[int, int, np.ndarray, np.ndarray]] = []  # text, number, scores and tags of its windows
 
-    def flush():
-        if not ids:
+    def settle():
+        if not stretch:
             return
-        x = np.stack(ids)
-        emit = np.concatenate([emissions(weights, x[i : i + _AT_ONCE]) for i in range(0, len(x), _AT_ONCE)], axis=1)
-        tags = np.concatenate([decode(weights, emit[:, i : i + _AT_ONCE]) for i in range(0, len(x), _AT_ONCE)], axis=1)
-        done = 0
-        for owner, start, n in queue:
-            at = slice(done, done + n)
-            done += n
-            if tags[:, at].any():
-                text = texts[owner]
-                found = _spans(reconciled(weights, emit[:, at], tags[:, at]), start, len(text))
-                out[owner] += [s for s in found if holds(s[0], text, s[1], s[2])]
-        queue.clear()
-        ids.clear()
-
-    for i, text in enumerate(texts):
-        for a, b in stretches(text):
-            starts = windows(text, a, b)
-            queue.append((i, a, len(starts)))
-            ids += [cut(text, s) for s in starts]
-            if len(ids) >= 4 * _AT_ONCE:
-                flush()
-    flush()
+        owner, start, *_ = stretch[0]
+        emit, tags = (np.stack([row[k] for row in stretch], axis=1) for k in (2, 3))
+        text = texts[owner]
+        found = _spans(reconciled(weights, emit, tags), start * (LONG - SHARED), len(text))
+        out[owner].extend(s for s in found if holds(s[0], text, s[1], s[2]))
+        stretch.clear()
+
+    reader = Reader(weights)
+    before = None  # the last window that is in no stretch: the next one may take it in
+    holding = False  # whether the last window holds something
+    for places, ids in _blocks(texts):
+        emit = reader.scores(ids)
+        tags = np.zeros((LONG, len(places)), np.uint8)
+        open_ = np.flatnonzero(undecided(weights, emit))
+        if len(open_):
+            tags[:, open_] = decode(weights, emit[:, open_])
+        some = tags.any(axis=0)
+        # a stretch goes on until two windows in a row hold nothing
+        for k in np.flatnonzero(some | np.append(some[1:], True) | np.insert(some[:-1], 0, True)).tolist():
+            row = (*places[k], emit[:, k].copy(), tags[:, k])
+            last = stretch[-1] if stretch else before
+            follows = last is not None and last[0] == row[0] and last[1] + 1 == row[1]
+            if some[k]:
+                if not follows:
+                    settle()
+                elif not stretch:
+                    stretch.append(before)
+                stretch.append(row)
+            elif follows and stretch and holding:
+                stretch.append(row)
+            else:
+                settle()
+            before, holding = row, bool(some[k])
+    settle()
     return out
 
 

@@ -277,6 +277,43 @@ def test_personal_data(spark, edge, nothing, tmp_path):
     assert personal_data.find_personal_data(nothing).count() == 0
 
 
+def test_every_window_is_read(spark):
+    rng = np.random.default_rng(5)
+    w = char_tagger.Weights.new(4, 12, 24, rng)
+    w.out_bias[0] += 0.5
+    w = w.lightened()
+    ids = rng.integers(0, char_tagger.SYMBOLS, (40, 90)).astype(np.uint8)
+    emit = char_tagger.emissions(w, ids)
+    reader = char_tagger.Reader(w)
+    for some in (ids, ids[:7], ids[::-1]):  # room is used again
+        assert np.allclose(reader.scores(some), char_tagger.emissions(w, some), atol=1e-5)
+    for gain in (0.0, 0.3, 0.6, 2.0):  # what the bound lets through holds all that is not outside throughout
+        some = emit + np.eye(9, dtype=np.float32)[0] * np.float32(gain)
+        assert not char_tagger.decode(w, some)[:, ~char_tagger.undecided(w, some)].any()
+    assert not char_tagger.undecided(w, emit + np.eye(9, dtype=np.float32)[0] * np.float32(50)).any()
+    # windows cover each text, alone and across blocks
+    texts = ["", "ab", "x" * 300, "".join(map(chr, rng.integers(32, 300, 250_000)))]
+    seen = {}
+    for places, rows in personal_data._blocks(texts):
+        assert len(places) == len(rows) <= personal_data._AT_ONCE
+        for (i, no), row in zip(places, rows, strict=True):
+            assert no == seen.get(i, (-1, 0))[0] + 1
+            a = no * (personal_data.LONG - personal_data.SHARED)
+            own = char_tagger.symbols(texts[i][a : a + personal_data.LONG])
+            assert (row[: len(own)] == own).all() and (row[len(own) :] == char_tagger.PAD).all()
+            seen[i] = no, a + personal_data.LONG
+    assert [seen.get(i, (0, 0))[1] >= len(t) for i, t in enumerate(texts)] == [True] * 4
+    # an address without a digit, an @ or an (at), anywhere in a text of any length
+    learnt = labelled_texts(1200, 1)
+    weights = personal_data.fit(spark.createDataFrame(list(enumerate(learnt)), "doc_id long, text string"), sample=200)
+    plain = "das der ein und ist " * 30
+    new = [f"{plain[: 7 * i]}wort.{'abcdefgh'[i % 8] * 3} at mail.example.com {plain}" for i in range(60)]
+    assert not any(personal_data.stretches(t) for t in new)
+    found = personal_data.field_spans(weights, new)
+    assert sum(any(t[a:b].endswith("mail.example.com") for k, a, b in f if k == 0) for t, f in zip(new, found, strict=True)) >= 30
+    assert found == [personal_data.field_spans(weights, [t])[0] for t in new]  # however texts share blocks
+
+
 def test_tagger_gradients_and_reconciliation():
     rng = np.random.default_rng(0)
     w = char_tagger.Weights.new(2, 3, 4, rng)
