@@ -13,7 +13,9 @@ from __future__ import annotations
 import json
 import os
 import re
+from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 
@@ -23,6 +25,8 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 MARGIN = 24
 #: Text encoded in one call; bounds the memory that encodings take.
 BLOCK_CHARS = 400_000
+#: Characters of a run between word starts that is worth remembering, and runs remembered between two clearings.
+RUN_CHARS, RUNS = 64, 1 << 18
 
 
 def default_path() -> str:
@@ -78,8 +82,12 @@ class Bpe:
         """Encodings with word numbers and places."""
         return self.tokenizer.encode_batch(texts, add_special_tokens=False)
 
+    def fast(self, texts: list[str]) -> list:
+        """Encodings with ids only."""
+        return self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+
     def ids(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [e.ids for e in self.fast(texts)]
 
     @lru_cache(maxsize=1)  # noqa: B019
     def token_bytes(self) -> list[bytes]:
@@ -100,6 +108,38 @@ class Bpe:
         return b"".join([table[i] for i in ids]).decode("utf-8", "replace")
 
 
+#: A space as in _SURE below, written so that the search runs from space to space.
+_BETWEEN = re.compile(r" (?<=[\w!-~] )(?=[\w!-~])")
+
+
+class Runs:
+    """What the runs between certain word starts give, remembered. Ids never cross a word start, so the runs of a text
+    give together what the whole of it gives; for texts without special strings, of a tokenizer that `splits`."""
+
+    def __init__(self, bpe: Bpe, value: Callable):
+        self.bpe, self.value, self.known = bpe, value, {}
+
+    def _values(self, texts: list[str]) -> list:
+        return [self.value(e) for a, b in blocks(texts) for e in self.bpe.fast(texts[a:b])]
+
+    def of(self, texts: list[str]) -> list[list]:
+        """The values of the runs of each text, in order; each run after the first one starts with its space."""
+        known, firsts, rest = self.known, [], []
+        for t in texts:
+            first, *own = _BETWEEN.split(t)
+            firsts.append(first)
+            rest.append(own)
+        new = list(dict.fromkeys(chain.from_iterable(rest)).keys() - known.keys())
+        known.update(zip(new, self._values([" " + w for w in new]), strict=True))
+        out = [[v, *map(known.__getitem__, own)] for v, own in zip(self._values(firsts), rest, strict=True)]
+        for w in new:
+            if len(w) >= RUN_CHARS:
+                del known[w]
+        if len(known) > RUNS:
+            known.clear()
+        return out
+
+
 def word_starts(encoding) -> tuple[np.ndarray, np.ndarray]:
     """Places and token numbers of all word starts of an encoding."""
     words = encoding.word_ids

@@ -14,7 +14,6 @@ those of the whole text.
 from __future__ import annotations
 
 import hashlib
-import re
 from array import array
 from dataclasses import dataclass
 
@@ -23,17 +22,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.bpe import Bpe, blocks, default_path, first_word_start, last_word_start, load
+from lettermill.llm.bpe import Bpe, Runs, blocks, default_path, first_word_start, last_word_start, load
 from lettermill.llm.common import text_batches, whole_text
 
 #: Bytes of a chunk: at least, about one cut in so many blanks, at most.
 LEAST, ONE_IN, MOST = 512, 512, 8192
 #: Bytes of chunks and ids remembered in a task; older ones are encoded again if they return.
 MEMO_BYTES = 32 << 20
-#: Characters of a run between word starts that is worth remembering, and runs remembered between two clearings.
-RUN_CHARS, RUNS = 64, 1 << 18
-#: Between these places ids are those of the whole text: see `bpe`, a lone space starts a word whatever stands around.
-_WORD_START = re.compile(r"(?<=[\w!-~])(?= [\w!-~])")
 
 
 def cut_places(data: bytes) -> list[int]:
@@ -72,27 +67,12 @@ class Piece:
 class ChunkEncoder:
     def __init__(self, bpe: Bpe):
         self.bpe, self.memo, self.held = bpe, {}, 0
-        self.runs: dict[str, bytes] = {}
+        self.runs = Runs(bpe, lambda e: array("I", e.ids).tobytes())
         self.lengths = np.array([len(b) for b in bpe.token_bytes()], np.int64) if bpe.byte_level else None
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         """Ids of texts; of runs between word starts that were seen before, from memory."""
-        cut = [_WORD_START.split(t) for t in texts]
-        found, out = self.runs, []
-        new = list(dict.fromkeys(w for own in cut for w in own if w not in found))
-        long = []
-        for a, b in blocks(new):
-            for w, ids in zip(new[a:b], self.bpe.ids(new[a:b]), strict=True):
-                found[w] = array("I", ids).tobytes()
-                if len(w) > RUN_CHARS:
-                    long.append(w)
-        for own in cut:
-            out.append(np.frombuffer(b"".join(map(found.__getitem__, own)), np.uint32))
-        for w in long:
-            del found[w]
-        if len(found) > RUNS:
-            found.clear()
-        return out
+        return [np.frombuffer(b"".join(own), np.uint32) for own in self.runs.of(texts)]
 
     def _pieces(self, chunks: list[str]) -> list[Piece]:
         """A piece for each chunk; unseen ones are encoded in one call."""

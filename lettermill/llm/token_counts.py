@@ -1,6 +1,7 @@
 """Token counts with overlap resynchronisation.
 
-Short texts are counted where they lie. A huge text is cut into chunks that any
+Short texts are counted where they lie, run by run between certain word starts; a run that a task
+has seen before is not encoded again. A huge text is cut into chunks that any
 task may take. Each chunk is encoded on into the next one, and so is the beginning
 of the next one by itself; from the first word start that both have, they agree.
 The chunk then counts its tokens up to there, less those that the next chunk will
@@ -13,10 +14,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lettermill.llm.bpe import MARGIN, Bpe, blocks, default_path, load, word_starts
+from lettermill.llm.bpe import MARGIN, Bpe, Runs, blocks, default_path, load, word_starts
 from lettermill.llm.common import digest16, whole_text
 from lettermill.storage import stored
 
@@ -28,6 +30,22 @@ OVERLAP = 512
 LONGER = 8
 
 
+def _counter(bpe: Bpe):
+    """Token counts of whole texts; where words can't be told apart for certain, and in texts with special
+    strings, without a look at runs."""
+    if not bpe.splits:
+        return lambda texts: [len(e) for e in bpe.fast(texts)]
+    runs = Runs(bpe, len)
+
+    def count(texts: list[str]) -> list[int]:
+        special = [bool(bpe.special_at and bpe.special_at.search(t)) for t in texts]
+        counts = iter(runs.of([t for t, s in zip(texts, special, strict=True) if not s]))
+        whole = iter(bpe.fast([t for t, s in zip(texts, special, strict=True) if s]))
+        return [len(next(whole)) if s else sum(next(counts)) for s in special]
+
+    return count
+
+
 def _count_whole(path: str):
     def run(batches):
         if path.endswith(".model"):
@@ -36,16 +54,16 @@ def _count_whole(path: str):
             model = sentencepiece.SentencePieceProcessor(model_file=path)
             count = lambda texts: [len(i) for i in model.encode(texts, num_threads=1)]
         else:
-            bpe = load(path)
-            count = lambda texts: [len(i) for i in bpe.ids(texts)]
+            count = _counter(load(path))
         for batch in batches:
-            texts = batch.column("text").to_pylist()
+            column = batch.column("text")
+            texts = column.to_pylist()
             for a, b in blocks(texts):
                 own = texts[a:b]
                 yield pa.record_batch(
                     [
                         batch.column("doc_id").slice(a, b - a),
-                        pa.array([len(t.encode()) for t in own], pa.int64()),
+                        pc.cast(pc.binary_length(column.slice(a, b - a)), pa.int64()),
                         pa.array(count(own), pa.int64()),
                     ],
                     names=["doc_id", "n_bytes", "n_tokens"],
