@@ -48,6 +48,7 @@ _TOKEN[[ord(c) for c in "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz012
 #: Different tokens whose own features a task remembers at once.
 KNOWN = 200_000
 _CUES = (b"pass", b"pwd", b"secret", b"token", b"key", b"auth", b"credential", b"bearer")
+_KNOWN_START = re.compile(rb"(?:sk|pk|ghp|gho|xox[a-z]|AIza|eyJ)")
 _BEFORE = re.compile(rb"(?i)(pass|pwd|secret|token|key|auth|credential|bearer)\w*[\"']?[^\S\n]*(?:[:=]|is)?[^\S\n]*[\"']?$")
 
 
@@ -63,6 +64,14 @@ def base_spans(text: str) -> list[tuple[int, int, int, int]]:
     return sorted(out)
 
 
+def may_match(data: bytes, long: bool) -> bool:
+    """Whether a pattern can match at all in a text; `long`: it has a token long enough for a hex secret."""
+    if long or b"AKIA" in data:
+        return True
+    lower = data.lower()
+    return any(w in lower for w in _WORDS)
+
+
 @dataclass(slots=True)
 class Runs:
     """All tokens of a text, in order, and their features (token x feature)."""
@@ -110,31 +119,29 @@ def _file_features(data: bytes, tokens: int) -> list[bool]:
 
 
 def _own_features(token: bytes) -> bytes:
-    t, n = token.decode(), len(token)
-    digits = sum(c.isdigit() for c in t)
-    upper, lower = any(c.isupper() for c in t), any(c.islower() for c in t)
-    vowels = sum(c in "aeiouAEIOU" for c in t)
+    n, lowered = len(token), token.lower()
+    digits = n - len(token.translate(None, b"0123456789"))
+    upper, lower = lowered != token, token.upper() != token
+    vowels = n - len(lowered.translate(None, b"aeiou"))
     return bytes([
         True, n < 12, 12 <= n < 20, 20 <= n < 32, n >= 32,
         digits == 0, digits == n, 0 < digits < 0.15 * n, digits >= 0.3 * n,
         upper and lower and digits > 0, upper and not lower, lower and not upper,
-        all(c in "0123456789abcdef" for c in t), "/" in t, "+" in t, "_" in t, "-" in t,
-        vowels < 0.2 * n, vowels > 0.35 * n, len(set(t)) > 0.5 * n,
-        t.startswith("AKIA"), bool(re.match(r"(?:sk|pk|ghp|gho|xox[a-z]|AIza|eyJ)", t)), n < MIN_CHARS,
+        not token.translate(None, b"0123456789abcdef"), b"/" in token, b"+" in token, b"_" in token, b"-" in token,
+        vowels < 0.2 * n, vowels > 0.35 * n, len(set(token)) > 0.5 * n,
+        token.startswith(b"AKIA"), bool(_KNOWN_START.match(token)), n < MIN_CHARS,
     ])
 
 
 def _features(block: bytes, raw: np.ndarray, starts: np.ndarray, ends: np.ndarray, known: dict[bytes, bytes]) -> np.ndarray:
     """What tokens say by themselves, what stands around them, and three columns for their file."""
-    own = []
-    for s, e in zip(starts.tolist(), ends.tolist(), strict=True):
-        t = block[s:e]
-        f = known.get(t)
-        if f is None:
-            f = _own_features(t)
-            if len(known) < KNOWN and e - s <= LONG_CHARS:
-                known[t] = f
-        own.append(f)
+    tokens = [block[s:e] for s, e in zip(starts.tolist(), ends.tolist(), strict=True)]
+    own = list(map(known.get, tokens))
+    for i in [i for i, f in enumerate(own) if f is None]:
+        t = tokens[i]
+        own[i] = f = known.get(t) or _own_features(t)
+        if len(known) < KNOWN and len(t) <= LONG_CHARS:
+            known[t] = f
     one = np.frombuffer(b"".join(own), np.uint8).reshape(len(starts), -1 if len(starts) else 0)
     # texts are parted by a line feed, which is none of the signs looked for
     solid = np.maximum.accumulate(np.where(raw != 32, np.arange(len(raw)), -1))
@@ -291,12 +298,13 @@ def _examples(batches):
         texts = [t.encode() for t in batch.column("text").to_pylist()]
         rows = []
         for a, b in text_blocks([len(t) for t in texts]):
-            for i, runs in enumerate(runs_of(texts[a:b], known)[0]):
+            for data, runs, long in zip(texts[a:b], *runs_of(texts[a:b], known), strict=True):
                 if runs is None:
                     continue
-                tags = np.array(tags_of(runs.spans, _secrets(texts[a + i].decode())), np.uint8)
+                secrets = _secrets(data.decode()) if may_match(data, long) else []
+                tags = np.array(tags_of(runs.spans, secrets), np.uint8)
                 # a window around each first token of a secret, of a likely token without one, and at a drawn place
-                digest = hashlib.md5(texts[a + i]).digest()
+                digest = hashlib.md5(data).digest()
                 n = len(tags)
                 begins, near = np.flatnonzero(tags == 1), np.flatnonzero(runs.likely & (tags == 0))
                 chosen = {}
@@ -361,8 +369,7 @@ def _scanned(field: Field | None):
                 rows = []
                 for i, own in enumerate(runs):
                     data = texts[a + i]
-                    lower = data.lower()
-                    known = long[i] or b"AKIA" in data or any(w in lower for w in _WORDS)
+                    known = may_match(data, long[i])
                     text = data.decode() if known or own else ""
                     base = base_spans(text) if known else []
                     every = spans_of(text, own, field, base)
