@@ -282,7 +282,9 @@ def _exploded(batches):
 def _by_rare_shingles(rest: DataFrame, bodies: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """key, root -> all pairs of different roots that can reach `percent`. With shingles in one order,
     rarest first, two sets that share enough meet within the first n - need + 1 of each, where need is
-    percent of n: no set of at least percent of n shingles shares less."""
+    percent of n: no set of at least percent of n shingles shares less. Before the first shingle that two sets
+    share lie only those that they do not, so its places bound what they share: in a group of near copies
+    the shingles of few classes come first, and pairs below `percent` mostly do not meet at all."""
     texts = rest.join(bodies, "key").select("key", "text")
     shingles = stored(texts.mapInArrow(_exploded, "key binary, shingle long"), "shingles")
     often = stored(shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), "often")
@@ -292,14 +294,19 @@ def _by_rare_shingles(rest: DataFrame, bodies: DataFrame, classes: DataFrame, pe
     need = F.ceil(F.col("n_shingles") * percent / 100)
     places = (F.size("s") - need + 1).cast("int")  # the n - size(s) single ones come first
     front = stored(
-        sized.filter(places > 0).select("key", "root", "n_shingles", F.explode(F.slice("s", F.lit(1), places)).alias("e"))
-        .select("key", "root", "n_shingles", "e.shingle"),
+        sized.filter(places > 0)
+        .select("key", "root", "n_shingles", F.size("s").alias("n"), F.posexplode(F.slice("s", F.lit(1), places)).alias("at", "e"))
+        .select("key", "root", "n_shingles", "e.shingle", (F.col("n") - F.col("at")).alias("left")),
         "fronts",
     )
-    x = front.select("shingle", F.col("key").alias("a"), F.col("root").alias("root_a"), F.col("n_shingles").alias("n_a"))
-    y = front.select("shingle", F.col("key").alias("b"), F.col("root").alias("root_b"), F.col("n_shingles").alias("n_b"))
-    sizes = 100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")
-    return x.join(y, "shingle").filter("a < b AND root_a <> root_b").filter(sizes).select("a", "b").distinct()
+    x, y = (
+        front.select("shingle", *[F.col(c).alias(f"{c}_{side}") for c in ("key", "root", "n_shingles", "left")])
+        for side in ("a", "b")
+    )
+    # at most what either has from here on, this one included
+    shared = F.least("left_a", "left_b") * (100 + percent) >= percent * (F.col("n_shingles_a") + F.col("n_shingles_b"))
+    pairs = x.join(y, "shingle").filter("key_a < key_b AND root_a <> root_b").filter(shared)
+    return pairs.select(F.col("key_a").alias("a"), F.col("key_b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, percent: int = PERCENT, keys: bool = False) -> DataFrame:

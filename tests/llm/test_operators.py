@@ -421,6 +421,32 @@ def test_patterns_run_only_where_they_can_match(monkeypatch):
         assert list(own[17:19]) == [vowels < 0.2 * n, vowels > 0.35 * n]
 
 
+def test_pairs_below_the_threshold_seldom_meet(spark):
+    """A group of near copies whose pairs are all just below the threshold, and some above it."""
+    import zstandard
+    from lettermill.llm.near_dedup import _by_rare_shingles, shingle_sets, similar
+
+    base = story(78, 400).split()
+    texts = []
+    for i in range(120):
+        w = list(base)
+        for k in range(14 if i % 10 else 2):
+            w[(i * 37 + k * 41) % 400] = f"new{i}x{k}"
+        texts.append(" ".join(w[: 400 - i % 4]))
+    sets = shingle_sets([t.encode() for t in texts])
+    press = zstandard.ZstdCompressor()
+    key = lambda i: bytes([i])
+    bodies = spark.createDataFrame([(key(i), press.compress(t.encode())) for i, t in enumerate(texts)], "key binary, text binary")
+    classes = spark.createDataFrame([(key(i), len(s)) for i, s in enumerate(sets)], "key binary, n_shingles long")
+    rest = spark.createDataFrame([(key(i), key(i)) for i in range(120)], "key binary, root binary")
+    for percent in (80, 85, 90):
+        found = {(r.a[0], r.b[0]) for r in _by_rare_shingles(rest, bodies, classes, percent).collect()}
+        want = {(i, j) for i in range(120) for j in range(i + 1, 120) if similar(sets[i], sets[j], percent)}
+        assert want <= found
+        assert len(found) <= len(want) + 0.1 * 120 * 119 / 2
+    assert want
+
+
 def test_field_looks_at_every_token(spark):
     """Secrets of few letters and no digit, of which the field learns from the patterns."""
     secret = lambda i: "".join("bcdfghjkQRSTVWXZ"[int(c, 16)] for c in hashlib.sha1(str(i).encode()).hexdigest()[:9])
