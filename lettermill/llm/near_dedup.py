@@ -272,11 +272,11 @@ def _apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
 def _exploded(batches):
     unpress = zstandard.ZstdDecompressor()
     for batch in batches:
-        keys, texts = batch.column("key"), batch.column("text")
+        numbers, texts = batch.column("no"), batch.column("text")
         for i in range(batch.num_rows):
             own = shingle_sets([unpress.decompress(texts[i].as_py())])[0]
-            key = pa.array([keys[i].as_py()] * len(own), pa.binary())
-            yield pa.record_batch([key, pa.array(own.view(np.int64))], names=["key", "shingle"])
+            no = np.full(len(own), numbers[i].as_py(), np.int64)
+            yield pa.record_batch([pa.array(no), pa.array(own.view(np.int64))], names=["no", "shingle"])
 
 
 def _by_rare_shingles(rest: DataFrame, bodies: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
@@ -285,12 +285,15 @@ def _by_rare_shingles(rest: DataFrame, bodies: DataFrame, classes: DataFrame, pe
     percent of n: no set of at least percent of n shingles shares less. Before the first shingle that two sets
     share lie only those that they do not, so its places bound what they share: in a group of near copies
     the shingles of few classes come first, and pairs below `percent` mostly do not meet at all."""
-    texts = rest.join(bodies, "key").select("key", "text")
-    shingles = stored(texts.mapInArrow(_exploded, "key binary, shingle long"), "shingles")
+    # all shingles move twice: with a number, not with a key
+    rest = rest.join(classes.select("key", "n_shingles"), "key")
+    rest = stored(rest.withColumn("no", F.monotonically_increasing_id()), "numbered")
+    texts = rest.join(bodies, "key").select("no", "text")
+    shingles = stored(texts.mapInArrow(_exploded, "no long, shingle long"), "shingles")
     often = stored(shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), "often")
     # a shingle of one class only meets nothing, but takes a place at the front
-    ranked = shingles.join(often, "shingle").groupBy("key").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("s"))
-    sized = ranked.join(classes.select("key", "n_shingles"), "key").join(rest, "key")
+    ranked = shingles.join(often, "shingle").groupBy("no").agg(F.array_sort(F.collect_list(F.struct("often", "shingle"))).alias("s"))
+    sized = ranked.join(rest, "no")
     need = F.ceil(F.col("n_shingles") * percent / 100)
     places = (F.size("s") - need + 1).cast("int")  # the n - size(s) single ones come first
     front = stored(
