@@ -93,59 +93,68 @@ def emissions(w: Weights, ids: np.ndarray, keep: list | None = None) -> np.ndarr
 
 
 class Reader:
-    """Gives what `emissions` gives, for reading many windows of any length: units lie in rows, so that every
-    step works on whole rows in place, and one product adds what symbol, bias and the step before say."""
+    """Gives what `emissions` gives, for reading many windows of any length. Both directions step side by side;
+    units lie in rows, so that every step works on whole rows in place, and all that a step touches stays in the
+    processor's cache: one product adds what symbol, bias and the step before say, and gives the tag scores of
+    the step before, too."""
 
     def __init__(self, w: Weights):
         dim, hidden, kind = w.embed.shape[1], w.gates_on.shape[1], w.out.dtype
+        tags = w.out.shape[1]
         half = np.ones(4 * hidden, kind)
         half[: 3 * hidden] = 0.5  # a sigmoid is half of one more than the tanh of half its argument
         # the halves left out of a step's result are in the weights that read it
-        self.weights = [
-            np.vstack([w.gates_on[d] * half / 2, w.gates_in[d] * half, w.gates_bias[d] * half]).T.copy() for d in range(2)
-        ]
-        self.embed, self.out, self.bias = w.embed.T.copy(), (w.out.T / 2).copy(), w.out_bias[:, None]
-        self.dim, self.hidden, self.kind = dim, hidden, kind
-        self.room: dict[tuple[int, int], tuple] = {}
-
-    def _room(self, n: int, time: int) -> tuple:
-        """Arrays for so many windows, kept for the next ones."""
-        if (n, time) not in self.room:
-            self.room.clear()
-            self.room[n, time] = (
-                np.empty((time, 2 * self.hidden, n), self.kind),
-                np.empty((self.hidden + self.dim + 1, n), self.kind),
-                np.empty((4 * self.hidden, n), self.kind),
-                np.empty((2, self.hidden, n), self.kind),
-                np.empty((time, len(self.out), n), self.kind),
-            )
-        return self.room[n, time]
+        self.weights = np.zeros((2, tags + 4 * hidden, hidden + dim + 1), kind)
+        for d, own in enumerate(self.weights):
+            own[:tags, :hidden] = w.out[d * hidden : (d + 1) * hidden].T / 2
+            i, f, o, g = np.vstack([w.gates_on[d] * half / 2, w.gates_in[d] * half, w.gates_bias[d] * half]).T.reshape(4, hidden, -1)
+            own[tags:] = np.vstack([o, i, f, g])
+        self.weights[0, :tags, -1] = w.out_bias
+        self.embed = w.embed.T.copy()
+        self.tags, self.dim, self.hidden, self.kind = tags, dim, hidden, kind
+        self.room: list[np.ndarray] = []
+
+    def _room(self, n: int, time: int) -> list[np.ndarray]:
+        """Arrays for so many windows, in room that is kept for the next ones."""
+        shapes = [
+            (self.hidden + self.dim + 1, 2, n), (self.tags + 5 * self.hidden, 2, n),
+            (self.hidden, 2, n), (time, self.tags, n), (time, 2, n),
+        ]
+        sizes = [int(np.prod(shape)) for shape in shapes]
+        if not self.room or any(size > len(own) for size, own in zip(sizes, self.room, strict=True)):
+            self.room = [np.empty(size, kind) for size, kind in zip(sizes, [*[self.kind] * 4, np.intp], strict=True)]
+        return [own[:size].reshape(shape) for own, size, shape in zip(self.room, sizes, shapes, strict=True)]
 
     def scores(self, ids: np.ndarray) -> np.ndarray:
         """Tag scores (time x window x tag) of windows (window x time), good until the next call."""
         n, time = ids.shape
-        hidden, gates = self.hidden, 3 * self.hidden
-        features, before, z, (c, own), out = self._room(n, time)
-        i, f, o, g = z.reshape(4, hidden, n)
+        hidden, tags = self.hidden, self.tags
+        before, z, own, out, at = self._room(n, time)
         h, x = before[:hidden], before[hidden:-1]
+        last, o, i, f, g, c = np.split(z, [tags + k * hidden for k in range(5)])
+        gates, sigmoids = z[tags:-hidden], z[tags : tags + 3 * hidden]
+        kept, new = z[tags + hidden : tags + 3 * hidden], z[tags + 3 * hidden :]  # i and f, g and c
+        by_direction, result = before.transpose(1, 0, 2), z[:-hidden].transpose(1, 0, 2)
+        at[:, 0] = ids.T
+        at[:, 1] = at[::-1, 0]
         before[-1] = 1
-        at = ids.T.astype(np.intp)
-        for d in range(2):
-            h[:], c[:] = 0, 0
-            for t in range(time) if d == 0 else range(time - 1, -1, -1):
+        h[:], c[:] = 0, 0
+        for t in range(time + 1):
+            if t < time:
                 np.take(self.embed, at[t], axis=1, out=x, mode="clip")
-                np.matmul(self.weights[d], before, out=z)
-                np.tanh(z, out=z)
-                z[:gates] += 1
-                c *= f
-                i *= g
-                c += i
+            np.matmul(self.weights, by_direction, out=result)
+            if t:  # each place is met by one direction first, then by the other
+                for d, place in enumerate((t - 1, time - t)):
+                    met = 2 * t > time + 1 or (2 * t == time + 1 and d)
+                    np.add(out[place], last[:, d], out=out[place]) if met else np.copyto(out[place], last[:, d])
+            if t < time:
+                np.tanh(gates, out=gates)
+                sigmoids += 1
+                kept *= new
+                np.add(i, f, out=c)
                 c *= 0.5
                 np.tanh(c, out=own)
                 np.multiply(o, own, out=h)
-                features[t, d * hidden : (d + 1) * hidden] = h
-        np.matmul(self.out, features, out=out)
-        out += self.bias
         return out.transpose(0, 2, 1)
 
 
@@ -160,17 +169,25 @@ def undecided(w: Weights, emit: np.ndarray) -> np.ndarray:
 
     enter, on, again = gain(w.move[:, begin].max(axis=0)), gain(w.move[begin, inside]), gain(w.move[inside, inside])
     leave = [np.maximum(0, gain(w.move[own, 0])) for own in (begin, inside)]
+    first = gain(w.first[begin] - w.first[0] + w.move[0, 0])
     scores = emit.transpose(0, 2, 1)
-    over = scores[:, 1:] - scores[:, :1]
-    begun = over[0, ::2] + (w.first[begin] - w.first[0]).astype(emit.dtype)[:, None]
-    gone_on = np.full_like(begun, -np.inf)
-    most = begun + leave[0]
-    for now in over[1:]:
-        gone_on = np.maximum(begun + on, gone_on + again) + now[1::2]
-        begun = now[::2] + enter
-        np.maximum(most, begun + leave[0], out=most)
-        np.maximum(most, gone_on + leave[1], out=most)
-    return (most > -0.01).any(axis=0)
+    # the most of a span that begins anywhere, that has gone on up to here, and that goes on with the next step
+    top = np.full((len(begin), emit.shape[1]), -np.inf, emit.dtype)
+    most, gone_on = top.copy(), top.copy()
+    for t in range(0, len(scores), 32):  # so many steps stay in the processor's cache
+        some = scores[t : t + 32]
+        begun, steps = some[:, 1::2] - some[:, :1], some[:, 2::2] - some[:, :1]
+        begun += enter
+        if not t:
+            begun[0] += first - enter
+        np.maximum(top, begun.max(axis=0), out=top)
+        begun += on - again
+        steps += again
+        for start, step in zip(begun, steps, strict=True):
+            gone_on += step
+            np.maximum(most, gone_on, out=most)
+            np.maximum(gone_on, start, out=gone_on)
+    return (np.maximum(top + leave[0], most + leave[1]) > -0.01).any(axis=0)
 
 
 def _learn_back(w: Weights, keep: list, by_emission: np.ndarray) -> list[np.ndarray]:

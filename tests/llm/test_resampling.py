@@ -344,3 +344,21 @@ def test_tagger_gradients_and_reconciliation():
     alone = char_tagger.decode(w, emit)
     whole = personal_data.reconciled(w, emit, alone)
     assert len(whole) == 96 and whole[40] in (0, 1) and not whole[:40].any()
+
+
+def test_open_windows_are_decoded_together(monkeypatch):
+    rng = np.random.default_rng(11)
+    w = char_tagger.Weights.new(4, 12, 24, rng).lightened()
+    w.out_bias[0] += 0.7
+    texts = ["".join(map(chr, rng.integers(32, 127, n))) for n in (9000, 40, 70_000, 300, 60_000)]
+    alone = [personal_data.field_spans(w, [t])[0] for t in texts]
+    times: list[tuple[int, int]] = []
+    decode = char_tagger.decode
+    monkeypatch.setattr(personal_data, "decode", lambda w, emit: times.append(emit.shape[:2]) or decode(w, emit))
+    assert personal_data.field_spans(w, texts) == alone
+    windows = sum(len(personal_data.long_windows(t)) for t in texts)
+    assert windows > 2 * personal_data._AT_ONCE and sum(n for time, n in times if time == personal_data.LONG) > 100
+    # all open windows at once, and the stretches that disagree by their size
+    assert len(times) <= len({time for time, _ in times}) + 1  # the last stretch ends with the last text
+    monkeypatch.setattr(personal_data, "_WAIT", 5)  # stretches reach from one decoding into the next
+    assert personal_data.field_spans(w, texts) == alone
