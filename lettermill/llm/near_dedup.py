@@ -243,6 +243,22 @@ def _with_sides(pairs: DataFrame, table: DataFrame, *columns: str) -> DataFrame:
     return pairs
 
 
+def _picked(rows: DataFrame, numbers: DataFrame) -> DataFrame:
+    """The rows whose `no` is among the numbers. Only a bit for each row is sent around (4 KB for each 32,768 of a
+    partition, or part of that), so that the other rows are left out where they lie, whatever they hold."""
+    bucket, at = F.bitmap_bucket_number("no"), F.bitmap_bit_position("no").cast("int")
+    bits = numbers.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("no")).alias("bits"))
+    byte = F.conv(F.hex(F.substring(F.col("bits"), F.floor(at / 8).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    held = rows.join(F.broadcast(bits), bucket == F.col("bucket")).filter(F.getbit(byte, F.pmod(at, F.lit(8))) == 1)
+    return held.select(*rows.columns)
+
+
+def _texts_of(pairs: DataFrame, bodies: DataFrame) -> DataFrame:
+    """key, text of the classes in pairs."""
+    keys = pairs.select(F.explode(F.array("a", "b")).alias("key")).distinct()
+    return _picked(bodies, keys.join(bodies.select("key", "no"), "key")).select("key", "text")
+
+
 def _plausible(pairs: DataFrame, classes: DataFrame, percent: int) -> DataFrame:
     """Pairs that sizes and sketches allow, with what their sketches share."""
     both = _with_sides(pairs, classes, "n_shingles", "sketch")
@@ -288,7 +304,7 @@ def _by_rare_shingles(rest: DataFrame, bodies: DataFrame, classes: DataFrame, pe
     # all shingles move twice: with a number, not with a key
     rest = rest.join(classes.select("key", "n_shingles"), "key")
     rest = stored(rest.withColumn("no", F.monotonically_increasing_id()), "numbered")
-    texts = rest.join(bodies, "key").select("no", "text")
+    texts = rest.join(bodies.select("key", "text"), "key").select("no", "text")
     shingles = stored(texts.mapInArrow(_exploded, "no long, shingle long"), "shingles")
     often = stored(shingles.groupBy("shingle").agg(F.count(F.lit(1)).alias("often")).filter("often > 1"), "often")
     # a shingle of one class only meets nothing, but takes a place at the front
@@ -336,7 +352,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, keys: bool = False)
         texts.mapInArrow(
             _sketched(trees(percent)),
             "doc_id long, digest binary, n_shingles long, body binary, roots array<long>, sketch array<tinyint>, packed binary",
-        ),
+        ).withColumn("no", F.monotonically_increasing_id()),
         "sketches",
     )
     classes = stored(
@@ -347,6 +363,7 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, keys: bool = False)
             F.first("n_shingles").alias("n_shingles"),
             F.first("roots").alias("roots"),
             F.first("sketch").alias("sketch"),
+            F.min("no").alias("no"),  # any text of a class has its shingles
         )
         .withColumn("key", _key(F.col("least"), F.col("body"))),
         "classes",
@@ -358,18 +375,15 @@ def near_duplicates(docs: DataFrame, percent: int = PERCENT, keys: bool = False)
     # every later candidate shares a first node with another class, but only plausible pairs need texts;
     # classes of large nodes may meet anew further down
     wanted = found.select(F.col("a").alias("key")).unionByName(found.select(F.col("b").alias("key")))
-    wanted = wanted.unionByName(large.select("key")).distinct().join(classes, "key").select("key", "body", "least")
-    bodies = stored(
-        rows.select("doc_id", "body", "packed")
-        .join(wanted.withColumnRenamed("body", "of_body"), F.col("body").eqNullSafe(F.col("of_body")) & F.col("doc_id").eqNullSafe(F.col("least")))
-        .groupBy("key")
-        .agg(F.first("packed").alias("text")),
-        "bodies",
-    )
+    wanted = wanted.unionByName(large.select("key")).distinct().join(classes, "key").select("key", "no")
+    wanted = stored(wanted, "wanted")
+    bodies = _picked(rows.select("no", F.col("packed").alias("text")), wanted)
+    bodies = stored(bodies.join(wanted, "no").select("key", "no", "text"), "bodies")
 
     def connected(pairs: DataFrame, roots: DataFrame | None) -> tuple[DataFrame, bool]:
         """Components with the pairs that their full sets confirm, and whether that paid."""
-        sides = _with_sides(pairs.select("a", "b"), bodies, "text")
+        texts = stored(_texts_of(pairs, bodies), "texts")
+        sides = _with_sides(pairs.select("a", "b"), texts, "text")
         links = stored(sides.mapInArrow(_confirmed(percent), "a binary, b binary"), "confirmed")
         if roots is not None:
             n = links.count()

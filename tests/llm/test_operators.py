@@ -447,6 +447,24 @@ def test_pairs_below_the_threshold_seldom_meet(spark):
     assert want
 
 
+def test_only_the_texts_of_pairs_move(spark):
+    """Rows are picked by their numbers where they lie: neither the rows nor their texts are shuffled for it."""
+    from lettermill.llm.near_dedup import _picked, _texts_of
+
+    rows = spark.range(0, 150_000, 1, 3).select(F.monotonically_increasing_id().alias("no"), F.col("id").cast("string").alias("text"))
+    every = [r.no for r in rows.select("no").collect()]
+    edges = [0, 7, 8, 32766, 32767, 32768, 32769, 49_999, 1 << 33, (1 << 33) + 32768, (2 << 33) + 1, 5 << 33]
+    some = {*edges, *every[11::97]}
+    numbers = spark.createDataFrame([(n,) for n in [*some, *edges]], "no long")
+    got = _picked(rows, numbers)
+    assert sorted(r.no for r in got.collect()) == sorted(some & set(every)) and got.columns == rows.columns
+    assert "Exchange hashpartitioning(no" not in got._jdf.queryExecution().executedPlan().toString()
+    assert _picked(rows, numbers.limit(0)).count() == 0
+    bodies = rows.withColumn("key", F.col("text").cast("binary"))
+    pairs = spark.createDataFrame([(b"5", b"77"), (b"5", b"149999"), (b"6", b"none")], "a binary, b binary")
+    assert sorted((bytes(r.key), r.text) for r in _texts_of(pairs, bodies).collect()) == [(t.encode(), t) for t in ("149999", "5", "6", "77")]
+
+
 def test_field_looks_at_every_token(spark):
     """Secrets of few letters and no digit, of which the field learns from the patterns."""
     secret = lambda i: "".join("bcdfghjkQRSTVWXZ"[int(c, 16)] for c in hashlib.sha1(str(i).encode()).hexdigest()[:9])
