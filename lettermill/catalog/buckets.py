@@ -19,7 +19,10 @@ from lettermill.functions import identity
 from lettermill.plans.ingest import RunOptions, export_pool, ingest, scan_bucket
 from lettermill.plans.state import StateStore
 from lettermill.sources.opening import hash_files
-from lettermill.storage import new_work_dir, small_batches
+from lettermill.storage import FREE_SHUFFLES, delete, new_work_dir, session_settings, small_batches
+
+#: Rounds in which a bucket is filled and emptied, at most, and bytes of documents that one stands for, at least.
+ROUNDS, ROUND_BYTES = 4, 32 << 20
 
 
 def _partition():
@@ -27,15 +30,21 @@ def _partition():
     return F.concat(F.lit("timestamp=2024-07-"), day)
 
 
-def contents(spark, sf_dir):
+def _day():
+    return F.coalesce(_partition(), F.lit(""))
+
+
+def contents(spark, sf_dir, days=None):
     """namespace, partition, relpath and content of every file of the bucket:
-    the derived mail files, a mailbox or an archive next to two of three."""
-    docs = table(spark, sf_dir, "documents").withColumns(
+    the derived mail files, a mailbox or an archive next to two of three.
+    With `days`, the files of these date directories alone."""
+    wanted = F.lit(True) if days is None else _day().isin(days)
+    docs = table(spark, sf_dir, "documents").filter(wanted).withColumns(
         {"namespace": F.col("source"), "partition": _partition()}
     )
     number, text = F.col("doc_id").cast("string"), F.col("text")
     columns = ["doc_id", "namespace", "partition", "relpath", "content"]
-    plain = bucket_files(spark, sf_dir).withColumn("content", F.col("raw"))
+    plain = bucket_files(spark, sf_dir).filter(wanted).withColumn("content", F.col("raw"))
     boxes = docs.filter(F.col("doc_id") % 3 == 0).withColumns(
         {
             "relpath": F.concat(F.lit("boxes/"), number, F.lit(".mbox")),
@@ -62,11 +71,11 @@ def write_bucket(files, root, overwrite=False):
     """Write the files, one task per share of them."""
     sources.register(files.sparkSession)
     small_batches(files.sparkSession)
-    files.select(
-        F.concat_ws("/", "namespace", "partition", "relpath").alias("path"), "content"
-    ).write.format("file_tree").mode("append").option(
-        "overwrite_files", str(overwrite).lower()
-    ).save(root)
+    rows = files.select(F.concat_ws("/", "namespace", "partition", "relpath").alias("path"), "content")
+    with session_settings(files.sparkSession, FREE_SHUFFLES):
+        rows.write.format("file_tree").mode("append").option(
+            "overwrite_files", str(overwrite).lower()
+        ).save(root)
 
 
 def _fresh(spark, sf_dir, label):
@@ -75,6 +84,40 @@ def _fresh(spark, sf_dir, label):
     return f"{work}/bucket", f"{work}/state"
 
 
+def _rounds(spark, sf_dir):
+    """The days of the bucket in their order, in rounds of about equal bytes; None stands for all of them."""
+    docs = table(spark, sf_dir, "documents")
+    size = F.coalesce(F.octet_length("text"), F.lit(0))
+    days = docs.groupBy(_day().alias("day")).agg(F.sum(size).alias("bytes")).orderBy("day").collect()
+    total = sum(r["bytes"] for r in days)
+    n = min(ROUNDS, total // ROUND_BYTES)
+    if n < 2:
+        return [None]
+    rounds, before = {}, 0
+    for day, own in days:
+        at = n * (2 * before + own) // (2 * total)  # where the middle of the day lies
+        rounds.setdefault(min(n - 1, at), []).append(day)
+        before += own
+    return list(rounds.values())
+
+
+def _ingested(spark, sf_dir, label):
+    """The state after a backfill of the bucket.
+
+    As files the bucket is several times as large as its documents, so it never stands there as a
+    whole: the files of some days are written, ingested and deleted before those of the next days.
+    Ids are scoped by tenant, and a tenant's files are in order of their days: who was seen first is
+    the same as in a single run.
+    """
+    work = new_work_dir(spark, label)
+    bucket, state = f"{work}/bucket", f"{work}/state"
+    for days in _rounds(spark, sf_dir):
+        write_bucket(contents(spark, sf_dir, days), bucket)
+        ingest(spark, bucket, state, RunOptions(mode="backfill"))
+        delete(spark, bucket)
+    return state
+
+
 BUCKET_CTE = f"""{FILES_CTE},
   boxes AS (SELECT doc_id, namespace, partition, {mailbox_sql('text', "d.lang || ' ' || text")} AS box
     FROM files f JOIN documents d USING (doc_id) WHERE doc_id % 3 = 0),
@@ -212,8 +255,7 @@ def bucket_rerun(spark, sf_dir):
 )
 def pool_export(spark, sf_dir):
     """The pool as files; a second export finds them all in place."""
-    bucket, state = _fresh(spark, sf_dir, "export")
-    ingest(spark, bucket, state, RunOptions(mode="backfill"))
+    state = _ingested(spark, sf_dir, "export")
     target = f"{state}/export"
     export_pool(spark, state, target)
     export_pool(spark, state, target)

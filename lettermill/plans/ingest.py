@@ -28,7 +28,7 @@ from lettermill.plans.state import LEDGER, MERGE, ConcurrentRun, Part, StateStor
 from lettermill.sources.listing import Wanted, list_bucket, with_stats
 from lettermill.sources.large_mbox import read_large_mboxes
 from lettermill.sources.opening import SLICE_BYTES, ReadLimits, hash_files, open_slices, open_sources
-from lettermill.storage import BLOB_SETTINGS, delete, new_work_dir, session_settings
+from lettermill.storage import BLOB_SETTINGS, delete, new_work_dir, session_settings, small_batches
 
 MODES = ("backfill", "incremental")
 _CARRY = ("file_sha256", "error", "abspath", "slice_lo", "slice_hi", "places")
@@ -561,6 +561,7 @@ class _Run:
 def export_pool(spark: SparkSession, state: str, target: str) -> None:
     """Write committed pool blobs as files `<aa>/<id><ext>` below `target`."""
     sources.register(spark)
+    small_batches(spark)
     pool = StateStore(spark, state).read("pool")
     pool.select(
         identity.pool_relpath("email_id", F.col("ext")).alias("path"),

@@ -9,6 +9,9 @@ from contextlib import contextmanager
 
 from pyspark.sql import SparkSession
 
+# Shuffled bytes are deleted with the job that moved them, not when the driver collects its
+# garbage. For jobs whose frame is used once.
+FREE_SHUFFLES = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true"}
 # Frames that carry mail bytes: few rows per Arrow batch, since one row may hold
 # a whole archive; and the few kinds of rows of a wave are written side by side,
 # without a sort of the bytes. Copies of a mail lie side by side, where zstd finds them.
@@ -17,6 +20,7 @@ BLOB_SETTINGS = {
     "spark.sql.execution.arrow.maxBytesPerBatch": str(8 << 20),
     "spark.sql.parquet.compression.codec": "zstd",
     "spark.sql.maxConcurrentOutputFileWriters": "16",
+    **FREE_SHUFFLES,
 }
 
 
