@@ -19,7 +19,7 @@ from lettermill.functions import identity
 from lettermill.plans.ingest import RunOptions, export_pool, ingest, scan_bucket
 from lettermill.plans.state import StateStore
 from lettermill.sources.opening import hash_files
-from lettermill.storage import FREE_SHUFFLES, delete, new_work_dir, session_settings, small_batches
+from lettermill.storage import FREE_SHUFFLES, delete_tree, new_work_dir, session_settings, small_batches
 
 #: Rounds in which a bucket is filled and emptied, at most, and bytes of documents that one stands for, at least.
 ROUNDS, ROUND_BYTES = 4, 32 << 20
@@ -114,7 +114,7 @@ def _ingested(spark, sf_dir, label):
     for days in _rounds(spark, sf_dir):
         write_bucket(contents(spark, sf_dir, days), bucket)
         ingest(spark, bucket, state, RunOptions(mode="backfill"))
-        delete(spark, bucket)
+        delete_tree(spark, bucket)
     return state
 
 
