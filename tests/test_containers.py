@@ -321,6 +321,16 @@ def test_any_damage_is_refused_alike(data):
         assert whole == placed
 
 
+def test_members_said_to_start_at_the_same_place_are_refused_alike():
+    raw = bytearray(make_zip([("a.eml", MAIL_A), ("b.eml", MAIL_B)]))
+    at = raw.rfind(b"PK\x01\x02") + 42  # where the directory says that the last member starts
+    raw[at:at + 4] = bytes(4)
+    seen = list(read_both_ways(bytes(raw)))
+    assert len({place["at"] for place, _ in seen}) == 1
+    for _, (whole, placed) in seen:
+        assert whole == placed
+
+
 def test_a_member_costs_the_same_however_many_others_there_are():
     costs = []
     for n in (10, 3000):
